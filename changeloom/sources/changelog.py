@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..functions.types import coerce, is_bad_value
 from ..operators import checks
-from ..operators.apply import STREAM
+from ..operators.apply import POSITION, STREAM
 from ..operators.facts import TABLE, attach_facts
 from .files import BAD_RECORD, csv_options, csv_schema, list_files, path_exists, read_csv_rows, read_whole_text
 
@@ -251,16 +251,17 @@ def typed_rows(
     diagnostics: str | None = None,
     **coercion,
 ) -> DataFrame:
-    """Change rows with typed data columns.
+    """Change rows with the typed columns in the struct ``data``, apart from the meta columns,
+    so that a table may have columns named ``op`` or ``date``. Values come from ``v0..``.
 
     ``raise`` fails the job at the first broken row, in the same pass that reads it;
     ``quarantine`` drops broken rows here, and :func:`structural_violations` and
     :func:`value_violations` return them.
     """
     if on_error == "raise":
+        record = F.col("record") if "record" in fields.columns else F.coalesce(F.col(BAD_RECORD), F.concat_ws(",", *META))
         message = F.concat(
-            F.lit("change row breaks rule "), F.col("rule"), F.lit(" in "), F.col("path"), F.lit(": "),
-            F.coalesce(F.col(BAD_RECORD), F.concat_ws(",", *META)),
+            F.lit("change row breaks rule "), F.col("rule"), F.lit(" in "), F.col("path"), F.lit(": "), record
         )
         op = F.when(F.col("rule").isNull(), F.col("op")).otherwise(F.raise_error(message).cast("string"))
         rows = fields.withColumn("op", op).where(F.col("op").isNotNull())
@@ -273,9 +274,30 @@ def typed_rows(
         coerce(F.col(f"v{i}"), kind, on_error=mode, **coercion).alias(name)
         for i, (name, kind) in enumerate(columns)
     ]
-    place = ["table_version", "partition_id", "date", "file_index", "block_start", "row_seq"]
-    rows = rows.select("op", *TABLE, "commit_ts", *place, *values)
-    return rows if diagnostics is None else with_diagnostics(rows, diagnostics)
+    if diagnostics is not None:
+        values += source_columns(diagnostics)
+    return rows.select("op", *TABLE, "commit_ts", *POSITION, F.struct(*values).alias("data"))
+
+
+def source_columns(prefix: str) -> list[Column]:
+    """The optional columns that say where a change came from."""
+    names_ = ("commit_ts", *TABLE)
+    return [F.col(n).alias(prefix + n) for n in names_]
+
+
+LANDED = (*TABLE, *POSITION, "op", "commit_ts", "rule", "record", "path")
+
+
+def landed_rows(fields: DataFrame, n_values: int) -> DataFrame:
+    """Change rows in the one shape of the landing table: values are an array of text."""
+    record = F.when(F.col("rule").isNotNull(), F.coalesce(F.col(BAD_RECORD), F.concat_ws(",", *META)))
+    values = F.array(*[F.col(v) for v in value_fields(n_values)])
+    return fields.withColumn("record", record).select(*LANDED, values.alias("row_values"))
+
+
+def fields_of_landed(landed: DataFrame, n_values: int) -> DataFrame:
+    """Back from the landing shape to one text column per value."""
+    return landed.withColumns({v: F.get("row_values", F.lit(i)) for i, v in enumerate(value_fields(n_values))})
 
 
 def value_violations(fields: DataFrame, columns: Sequence[tuple[str, str]], **coercion) -> DataFrame:
@@ -290,14 +312,3 @@ def value_violations(fields: DataFrame, columns: Sequence[tuple[str, str]], **co
     good = fields.where("rule IS NULL")
     place = [*TABLE, "table_version", "path", "block_start", "row_seq"]
     return good.select(*place, F.explode(F.array_compact(F.array(*found))).alias("b")).select(*place, "b.*")
-
-
-def with_diagnostics(rows: DataFrame, prefix: str = "_cdc_") -> DataFrame:
-    """Add the commit time and source names as columns of the data."""
-    return rows.withColumns(
-        {
-            f"{prefix}commit_ts": F.col("commit_ts"),
-            f"{prefix}source_schema": F.col("source_schema"),
-            f"{prefix}source_table": F.col("source_table"),
-        }
-    )

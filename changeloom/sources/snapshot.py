@@ -119,9 +119,13 @@ def typed_rows(
     columns: Sequence[tuple[str, str]],
     *,
     on_error: str = "raise",
+    diagnostics: tuple[str, str, str] | None = None,
     **coercion,
 ) -> DataFrame:
-    """Typed snapshot rows with their place (``file_order, block_start, row_seq``)."""
+    """Snapshot rows with their place (``file_order, block_start, row_seq``) and typed ``data``.
+
+    ``diagnostics`` is the prefix of the source columns and the names of schema and table.
+    """
     if on_error == "raise":
         message = F.concat(F.lit("snapshot row has the wrong width in "), F.col("path"), F.lit(": "), F.col(BAD_RECORD))
         order = F.when(F.col(BAD_RECORD).isNull(), F.col("file_order")).otherwise(F.raise_error(message).cast("string"))
@@ -135,15 +139,11 @@ def typed_rows(
         coerce(F.col(f"c{i}"), kind, on_error=mode, **coercion).alias(name)
         for i, (name, kind) in enumerate(columns)
     ]
-    return rows.select(*FILE_ORDER, *values)
-
-
-def with_diagnostics(rows: DataFrame, schema: str, table: str, prefix: str = "_cdc_") -> DataFrame:
-    """Source columns of snapshot rows: commit time 0 and the source names."""
-    return rows.withColumns(
-        {
-            f"{prefix}commit_ts": F.lit(0).cast("bigint"),
-            f"{prefix}source_schema": F.lit(schema),
-            f"{prefix}source_table": F.lit(table),
-        }
-    )
+    if diagnostics is not None:
+        prefix, schema, table = diagnostics
+        values += [
+            F.lit(0).cast("bigint").alias(f"{prefix}commit_ts"),
+            F.lit(schema).alias(f"{prefix}source_schema"),
+            F.lit(table).alias(f"{prefix}source_table"),
+        ]
+    return rows.select(*FILE_ORDER, F.struct(*values).alias("data"))
