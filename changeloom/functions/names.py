@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # --- fixed values: layout of the change-log workspace -----------------------------------
 SCHEMA_FILE = r"^([^/]+)/([^/]+)/meta/schema_(\d+)_(\d+)\.json$"
-INDEX_FILE = r"^([^/]+)/([^/]+)/([^/]+)/((?:[^/]+/)*)meta/CDC(?:_([^./]+))?\.index$"
+INDEX_FILE = r"^[^/]+/[^/]+/[^/]+/(?:[^/]+/)*meta/CDC(?:_([^./]+))?\.index$"
 DATA_FILE = r"^CDC(\d+)\.csv$"
 WRITER_DATA_FILE = r"^CDC_(.+)_(\d+)\.csv$"
 DATE_DIR = r"^\d{4}(-\d{2}){0,2}$"

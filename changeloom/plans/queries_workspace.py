@@ -75,7 +75,7 @@ def csv_roundtrip_events(spark, sf):
         versions = [v for v in range(0, views.bounds(spark, sf).n, step) if (v == 2 * step) == wide]
         dirs = [f"{base}/{t}/{v}" for t in views.TABLES for v in versions]
         raw = fs.read_csv_rows(spark, dirs, [*log.META, *log.value_fields(n)], glob="CDC*.csv", recursive=True)
-        rows = log.split_rows(raw, n).withColumns(log.place_columns(root))
+        rows = log.with_place(log.split_rows(raw, n), root)
         parts.append(
             rows.select("source_table", "table_version", F.col("ts_text").cast("bigint").alias("commit_ts"),
                         "op", F.col("v1").alias("value_text"), F.col("v2").alias("props"))
@@ -112,7 +112,7 @@ def row_position_order(spark, sf):
     # rows of the wider version do not fit here; their commit time is taken from the record
     record = F.split(F.col(fs.BAD_RECORD), ",")
     ts = F.coalesce(F.col("ts"), F.get(record, F.lit(3))).try_cast("bigint")
-    rows = raw.withColumns(log.place_columns(root)).withColumn("ts", ts).where("ts IS NOT NULL")
+    rows = log.with_place(raw, root).withColumn("ts", ts).where("ts IS NOT NULL")
     place = F.struct("block_start", "row_seq")
     return rows.groupBy("source_table", "table_version", "date", "file_index").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min_by("ts", place).alias("first_ts"), F.max_by("ts", place).alias("last_ts")
@@ -168,11 +168,11 @@ def _part_ddl(spark, sf):
     )
     stem = F.when(key % 10 == 6, F.concat(F.lit("t_"), F.floor(key / 100).cast("string"))).otherwise(name)
     text = F.when(key % 10 == 6, F.concat(F.lit("CREATE TABLE `t_"), F.floor(key / 100).cast("string"), F.lit("` (\n `id` int,\n PRIMARY KEY (`id`));"))).otherwise(text)
-    rows = table_rows = views.table(spark, sf, "part").select(
+    rows = views.table(spark, sf, "part").select(
         F.when(key % 10 == 6, "twice").otherwise("app").alias("source_schema"), stem.alias("source_table"),
         name.alias("path"), text.alias("text"), "p_partkey",
     )
-    return cat.parse_ddl(table_rows)
+    return cat.parse_ddl(rows)
 
 
 @query(

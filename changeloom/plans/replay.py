@@ -136,20 +136,11 @@ def guard_snapshot(spark: SparkSession, root: str, saved: DataFrame) -> int:
 
 
 def find_ranges(
-    spark: SparkSession, root: str, registry: DataFrame, effective: DataFrame, upper: int,
-    streams: DataFrame | None, options: Options,
+    spark: SparkSession, root: str, versions: Sequence[tuple[str, str, int]], streams: DataFrame | None, options: Options
 ) -> DataFrame:
-    """File ranges with something new: visible, of managed tables, not late, and checked."""
-    wanted = ap.skip_late_versions(log.visible_versions(registry, upper), effective)
-    versions = [tuple(r) for r in wanted.select(*TABLE, "table_version").toLocalIterator()]
+    """File ranges of the given versions that hold something new."""
     indexes = log.read_indexes(spark, root, versions, options.date_separator)
-    ranges = log.file_ranges(indexes)
-    if options.strict:
-        checks.raise_if_any(log.index_violations(indexes), "unusable index files")
-        checks.raise_if_any(
-            checks.missing_definitions(ranges, registry).select("path"), "index files without a definition"
-        )
-    return log.new_ranges(ranges, streams)
+    return log.new_ranges(log.file_ranges(indexes, options.strict), streams)
 
 
 def layouts_of(definitions: Sequence[Row]) -> dict[tuple, list[int]]:
@@ -254,13 +245,15 @@ def by_table(rows) -> dict[tuple[str, str], Row]:
     return {(r.source_schema, r.source_table): r for r in rows}
 
 
-def load_snapshot(spark: SparkSession, root: str, store: StateStore, options: Options) -> int:
+def load_snapshot(
+    spark: SparkSession, root: str, store: StateStore, options: Options, tables: list[Row] | None = None
+) -> int:
     """Load the snapshot of every table that does not have it yet; returns the current run."""
     current = store.latest_run()
     saved = store.tables(current)
     position = guard_snapshot(spark, root, saved)
     known = by_table(saved.collect())
-    tables = cat.catalog(spark, root, options.tables, options.strict).collect()
+    tables = tables or cat.catalog(spark, root, options.tables, options.strict).collect()
     waiting = [t for t in tables if not (known.get((t.source_schema, t.source_table)) or Row(snapshot_done=False)).snapshot_done]
     if not waiting:
         return current
@@ -286,11 +279,12 @@ def load_snapshot(spark: SparkSession, root: str, store: StateStore, options: Op
 
 
 def plan_log(
-    spark: SparkSession, root: str, store: StateStore, current: int, options: Options
+    spark: SparkSession, root: str, store: StateStore, current: int, options: Options,
+    tables: list[Row] | None = None,
 ) -> Plan | Result:
     """Everything a change-log run must know, or why there is nothing to do."""
     saved_rows = store.tables(current)
-    tables = cat.catalog(spark, root, options.tables, options.strict).collect()
+    tables = tables or cat.catalog(spark, root, options.tables, options.strict).collect()
     saved = by_table(saved_rows.collect())
     done = [saved.get((t.source_schema, t.source_table)) for t in tables]
     if not all(r is not None and r.snapshot_done for r in done):
@@ -329,7 +323,7 @@ def plan_log(
     return Plan(
         tables, saved, position, upper, registry, grouped, effective,
         {k: r.truncate_version for k, r in cuts.items()},
-        find_ranges(spark, root, registry, effective, upper, streams, options),
+        find_ranges(spark, root, [(*k, d.table_version) for k, ds in grouped.items() for d in ds], streams, options),
     )
 
 
@@ -448,10 +442,12 @@ def _finish_log(spark, store, current, run, plan, applied, options, batch_id) ->
     return Result(run, plan.upper, None, stats)
 
 
-def apply_log(spark: SparkSession, root: str, store: StateStore, options: Options) -> Result:
+def apply_log(
+    spark: SparkSession, root: str, store: StateStore, options: Options, tables: list[Row] | None = None
+) -> Result:
     """One batch run of the change log up to its checkpoint."""
     current = store.latest_run()
-    plan = plan_log(spark, root, store, current, options)
+    plan = plan_log(spark, root, store, current, options, tables)
     if isinstance(plan, Result):
         return plan
     run = current + 1
@@ -507,8 +503,9 @@ def replay(spark: SparkSession, root: str, out: str, *, buckets: int = 64, **opt
     """
     settings = Options(**options)
     store = StateStore(spark, out, buckets)
-    load_snapshot(spark, root, store, settings)
-    return apply_log(spark, root, store, settings)
+    tables = cat.catalog(spark, root, settings.tables, settings.strict).collect()
+    load_snapshot(spark, root, store, settings, tables)
+    return apply_log(spark, root, store, settings, tables)
 
 
 def read_changes(
@@ -524,9 +521,9 @@ def read_changes(
     )
     found = reg.effective_columns(reg.registry(spark, root, one, upper, options.strict, [key]), one)
     definitions = found.collect()
-    registry = spark.createDataFrame(definitions, found.schema)
-    effective = ap.effective_watermarks(ap.baseline_versions(registry, lower))
-    ranges = find_ranges(spark, root, registry, effective, upper, None, options)
+    baseline = max((d.table_version for d in definitions if d.table_version <= lower), default=0)
+    definitions = [d for d in definitions if d.table_version >= baseline]
+    ranges = find_ranges(spark, root, [(*key, d.table_version) for d in definitions], None, options)
     collected = ranges.collect()
     schema = table_schema(table, [column_pairs(d.columns) for d in definitions], options)
     rows = read_landing_rows(

@@ -51,31 +51,35 @@ def unknown_files(spark: SparkSession, root: str, scope: Sequence[tuple[str, str
     return files.where(~names.below(F.col("path"), base).rlike(names.SCHEMA_FILE)).select("path")
 
 
-def parse_index_path(relative: Column, date_separator: str = "day") -> dict[str, Column]:
-    """Columns of an index file's path below the change-log directory.
+def _place(parts: Column, n_tail: int, date_separator: str) -> dict[str, Column]:
+    """Place columns of a path below the change-log directory, split at ``/``.
 
-    The layout is ``schema/table/version/[partition/][date/]meta/CDC.index``.
+    The layout is ``schema/table/version/[partition/][date/]`` and ``n_tail`` more names.
     """
-    middle = F.filter(F.split(F.regexp_extract(relative, names.INDEX_FILE, 4), "/"), lambda p: p != "")
-    last = F.get(middle, F.size(middle) - 1)
+    end = F.size(parts) - n_tail
+    last = F.get(parts, end - 1)
     # a bare four-digit name is a year only where dates may be that short
-    dated = last.rlike(names.DATE_DIR)
+    dated = (end > 3) & last.rlike(names.DATE_DIR)
     if date_separator in ("day", "month"):
         dated = dated & last.contains("-")
     is_date = F.coalesce(dated, F.lit(False))
-    before = F.when(is_date, F.slice(middle, 1, F.greatest(F.size(middle) - 1, F.lit(0)))).otherwise(middle)
-    part = F.get(before, F.size(before) - 1)
-    version = F.regexp_extract(relative, names.INDEX_FILE, 3)
+    end = end - F.when(is_date, 1).otherwise(0)
+    part = F.when(end > 3, F.get(parts, end - 1).try_cast("bigint")).otherwise(F.lit(0))
     return {
-        "source_schema": F.regexp_extract(relative, names.INDEX_FILE, 1),
-        "source_table": F.regexp_extract(relative, names.INDEX_FILE, 2),
-        "table_version": version.try_cast("bigint"),
-        "partition_id": F.when(F.size(before) == 0, F.lit(0)).otherwise(part.try_cast("bigint")).cast("bigint"),
+        "source_schema": F.get(parts, F.lit(0)),
+        "source_table": F.get(parts, F.lit(1)),
+        "table_version": F.get(parts, F.lit(2)).try_cast("bigint"),
+        "partition_id": part.cast("bigint"),
         "date": F.when(is_date, last).otherwise(F.lit("")),
-        "path_writer": F.regexp_extract(relative, names.INDEX_FILE, 5),
     }
 
 
+def parse_index_path(relative: Column, date_separator: str = "day") -> dict[str, Column]:
+    """Columns of an index file's path below the change-log directory."""
+    writer = F.regexp_extract(relative, names.INDEX_FILE, 1)
+    return {**_place(F.split(relative, "/"), 2, date_separator), "path_writer": writer}
+
+
 def parse_index_text(text: Column) -> dict[str, Column]:
     """Newest file number, its number of digits, and the writer id that must not be there."""
     first = F.trim(F.regexp_replace(F.element_at(F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), "\n"), 1), r"\r", ""))
@@ -118,10 +122,19 @@ def index_violations(indexes: DataFrame) -> DataFrame:
     return indexes.withColumn("rule", index_rule()).where("rule IS NOT NULL").select("path", "rule")
 
 
-def file_ranges(indexes: DataFrame) -> DataFrame:
-    """One row per readable index; directories that are neither partition nor date are passed over."""
-    good = indexes.where(index_rule().isNull() & F.col("partition_id").isNotNull())
-    return good.select(*STREAM, "date", "latest_file_index", "file_width", "data_dir", "path")
+def file_ranges(indexes: DataFrame, strict: bool = False) -> DataFrame:
+    """One row per readable index; directories that are neither partition nor date are passed over.
+
+    Strict mode fails on an unusable index in the pass that reads it.
+    """
+    rows = indexes.where(F.col("partition_id").isNotNull() | (F.col("path_writer") != ""))
+    if strict:
+        message = F.concat(F.lit("unusable index file ("), index_rule(), F.lit("): "), F.col("path"))
+        latest = F.when(index_rule().isNull(), F.col("latest_file_index")).otherwise(F.raise_error(message).cast("bigint"))
+        rows = rows.withColumn("latest_file_index", latest)
+    else:
+        rows = rows.where(index_rule().isNull())
+    return rows.select(*STREAM, "date", "latest_file_index", "file_width", "data_dir", "path")
 
 
 def visible_versions(rows: DataFrame, upper: int | Column) -> DataFrame:
@@ -209,14 +222,15 @@ def row_rule() -> Column:
     )
 
 
-def place_columns(root: str, date_separator: str = "day") -> dict[str, Column]:
-    """Version, partition, date and file number of a data file, from its path."""
-    path = names.below(F.col("path"), increment_dir(root))
-    as_index = F.concat(names.parent_dir(path), F.lit("/meta/CDC.index"))
-    columns = parse_index_path(as_index, date_separator)
-    columns.pop("path_writer")
-    columns["file_index"] = F.regexp_extract(names.file_name(path), names.DATA_FILE, 1).try_cast("bigint")
-    return columns
+def with_place(rows: DataFrame, root: str, date_separator: str = "day") -> DataFrame:
+    """Add version, partition, date and file number of the data file that a row came from.
+
+    This runs for every row, so the path is split once and no long pattern is matched.
+    """
+    split = rows.withColumn("_parts", F.split(names.below(F.col("path"), increment_dir(root)), "/"))
+    parts = F.col("_parts")
+    number = F.regexp_extract(F.element_at(parts, -1), names.DATA_FILE, 1).try_cast("bigint")
+    return split.withColumns({**_place(parts, 1, date_separator), "file_index": number}).drop("_parts")
 
 
 def read_fields(
@@ -232,7 +246,7 @@ def read_fields(
     """Rows of change files as text, with place columns and the rule they break, if any."""
     meta = [*META, "flag"] if extra_field else list(META)
     raw = read_csv_rows(spark, paths, [*meta, *value_fields(n_values)], glob="CDC*.csv", multiline=multiline)
-    rows = split_rows(raw, n_values, extra_field).withColumns(place_columns(root, date_separator))
+    rows = with_place(split_rows(raw, n_values, extra_field), root, date_separator)
     return rows.withColumn("rule", row_rule()).withColumn("commit_ts", F.col("ts_text").try_cast("bigint"))
 
 

@@ -55,7 +55,15 @@ def child_prefixes(files: DataFrame, root: str) -> DataFrame:
 
 
 def source_path() -> Column:
-    return plain_path(percent_decode(F.col("_metadata.file_path")))
+    """Plain path of the file a row comes from.
+
+    It is worked out for every row, hence no patterns: the part of the URI after scheme and
+    authority, decoded only where something is encoded.
+    """
+    uri = F.col("_metadata.file_path")
+    start = F.expr("locate('/', _metadata.file_path, locate('//', _metadata.file_path) + 2)")
+    path = F.substr(uri, start)
+    return F.when(path.contains("%"), percent_decode(path)).otherwise(path)
 
 
 def read_whole_text(spark: SparkSession, roots: str | Sequence[str], glob: str | None = None) -> DataFrame:
