@@ -10,22 +10,29 @@ from pyspark.sql import functions as F
 TABLE = ("source_schema", "source_table")
 
 
+# Facts counted on the driver are broadcast up to this many rows, a few megabytes.
+BROADCAST_ROWS = 50_000
+SPREAD = 32
+
+
 def attach_facts(
     rows: DataFrame,
     facts: DataFrame,
     on: Sequence[str] = TABLE,
     how: str = "left",
-    spread: int = 32,
+    n_facts: int | None = None,
 ) -> DataFrame:
-    """Join many rows with few facts without relying on a broadcast.
+    """Join many rows with few facts; ``facts`` holds one row per key.
 
-    ``facts`` holds one row per key, so Spark normally broadcasts it by its own size check.
-    When it grows past ``spark.sql.autoBroadcastJoinThreshold`` the join falls back to a
-    shuffle; one table may hold a third of all rows, so each key is then spread over
-    ``spread`` parts instead of landing in one task.
+    A caller that made the facts on the driver knows their number and passes ``n_facts``; up to
+    ``BROADCAST_ROWS`` they are broadcast. In all other cases Spark decides by its own size
+    check, and where that leads to a shuffle each key is spread over ``SPREAD`` parts, because
+    one table may hold a third of all rows.
     """
+    if n_facts is not None and n_facts <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(facts), list(on), how)
     mixed = [c for c in ("row_seq", "block_start", "file_index", "commit_ts") if c in rows.columns]
-    part = F.pmod(F.xxhash64(*(mixed or rows.columns)), F.lit(spread)).cast("int")
-    copies = facts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    part = F.pmod(F.xxhash64(*(mixed or rows.columns)), F.lit(SPREAD)).cast("int")
+    copies = facts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     joined = rows.withColumn("_part", part).join(copies, [*on, "_part"], how)
     return joined.drop("_part")

@@ -328,10 +328,7 @@ def index_ranges(spark, sf):
 def change_events(spark, sf):
     """Typed rows of all tables and versions inside the window; one version has a column more."""
     root, b = ws.write_workspace(spark, sf), views.bounds(spark, sf)
-    parts = [read_changes(spark, root, t, b.lower, b.upper) for t in cat.catalog(spark, root).collect()]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    rows = read_changes(spark, root, cat.catalog(spark, root).collect(), b.lower, b.upper)
     seen = F.date_format("data.seen", "yyyy-MM-dd").alias("seen")
     return rows.select("op", "source_table", "commit_ts", "table_version", "date", "file_index",
                        "data.pk", "data.value", "data.props", seen)

@@ -122,6 +122,16 @@ def read_snapshot(spark: SparkSession, root: str, table: Row, options: Options |
     return ap.dedupe_rows(keyed, aliases, snap.FILE_ORDER).select("data.*")
 
 
+def managed_tables(spark: SparkSession, root: str, options: Options) -> list[Row]:
+    """Catalog rows of the chosen tables; two tables must not share an output name."""
+    tables = cat.catalog(spark, root, options.tables, options.strict).collect()
+    names = [t.target_table for t in tables]
+    shared = sorted({n for n in names if names.count(n) > 1})
+    if shared:
+        raise checks.InputError(f"several source tables have the output name {shared}")
+    return tables
+
+
 def guard_snapshot(spark: SparkSession, root: str, saved: DataFrame) -> int:
     """Position of the snapshot; raises when the dump is gone or is not the one of earlier runs."""
     if not path_exists(spark, snap.snapshot_dir(root)):
@@ -164,26 +174,33 @@ def range_paths(ranges: Sequence[Row]) -> list[str]:
 
 
 def read_landing_rows(
-    spark: SparkSession, root: str, definitions: Sequence[Row], paths_of: Callable[[list[int]], list[str]], options: Options
+    spark: SparkSession, root: str, definitions: Sequence[Row], paths_of: Callable[[set], list[str]], options: Options
 ) -> DataFrame | None:
-    """Rows of change files in the landing shape, one scan per column list."""
+    """Rows of change files in the landing shape: one scan per row width, for all tables at once.
+
+    ``paths_of`` gives the paths to read for a set of ``(schema, table, version)``.
+    """
+    widths: dict[int, set] = defaultdict(set)
+    for d in definitions:
+        widths[len(d.columns)].add((d.source_schema, d.source_table, d.table_version))
     parts = []
-    for layout, versions in layouts_of(definitions).items():
+    for n, versions in widths.items():
         paths = paths_of(versions)
         if paths:
             fields = log.read_fields(
-                spark, root, paths, len(layout), extra_field=options.extra_field,
+                spark, root, paths, n, extra_field=options.extra_field,
                 multiline=options.multiline, date_separator=options.date_separator,
             )
-            parts.append(log.landed_rows(fields, len(layout)))
+            parts.append(log.landed_rows(fields, n))
     return union_all(parts) if parts else None
 
 
-def in_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+def in_ranges(rows: DataFrame, ranges: DataFrame, n_ranges: int) -> DataFrame:
     """Rows of files that the index names and progress does not cover."""
     wanted = ranges.select(*ap.STREAM, "date", "first_file_index", "latest_file_index")
     inside = F.col("file_index").between(F.col("first_file_index"), F.col("latest_file_index"))
-    return attach_facts(rows, wanted, [*ap.STREAM, "date"], how="inner").where(inside).select(*rows.columns)
+    joined = attach_facts(rows, wanted, [*ap.STREAM, "date"], "inner", n_ranges)
+    return joined.where(inside).select(*rows.columns)
 
 
 def typed_changes(
@@ -234,6 +251,15 @@ class Plan:
     effective: DataFrame
     truncated: dict[tuple[str, str], int]
     ranges: DataFrame
+    range_rows: list[Row]
+
+    def touched(self) -> set[tuple[str, str]]:
+        """Tables with files to read."""
+        return {(r.source_schema, r.source_table) for r in self.range_rows}
+
+    def lowers(self, spark: SparkSession) -> DataFrame:
+        rows = [(*k, self.lower(k)) for k in by_table(self.tables)]
+        return spark.createDataFrame(rows, "source_schema string, source_table string, lower_ts bigint")
 
     def lower(self, key: tuple[str, str]) -> int:
         """Everything up to the last checkpoint of the table is in its state already."""
@@ -253,7 +279,7 @@ def load_snapshot(
     saved = store.tables(current)
     position = guard_snapshot(spark, root, saved)
     known = by_table(saved.collect())
-    tables = tables or cat.catalog(spark, root, options.tables, options.strict).collect()
+    tables = tables or managed_tables(spark, root, options)
     waiting = [t for t in tables if not (known.get((t.source_schema, t.source_table)) or Row(snapshot_done=False)).snapshot_done]
     if not waiting:
         return current
@@ -284,7 +310,7 @@ def plan_log(
 ) -> Plan | Result:
     """Everything a change-log run must know, or why there is nothing to do."""
     saved_rows = store.tables(current)
-    tables = tables or cat.catalog(spark, root, options.tables, options.strict).collect()
+    tables = tables or managed_tables(spark, root, options)
     saved = by_table(saved_rows.collect())
     done = [saved.get((t.source_schema, t.source_table)) for t in tables]
     if not all(r is not None and r.snapshot_done for r in done):
@@ -320,22 +346,35 @@ def plan_log(
         key = (r.source_schema, r.source_table)
         if key not in oldest or r.table_version >= oldest[key].effective_version:
             grouped[key].append(r)
+    ranges = find_ranges(spark, root, [(*k, d.table_version) for k, ds in grouped.items() for d in ds], streams, options)
+    ranges = ranges.drop("path")
+    range_rows = ranges.collect()
     return Plan(
         tables, saved, position, upper, registry, grouped, effective,
         {k: r.truncate_version for k, r in cuts.items()},
-        find_ranges(spark, root, [(*k, d.table_version) for k, ds in grouped.items() for d in ds], streams, options),
+        spark.createDataFrame(range_rows, ranges.schema), range_rows,
     )
 
 
 def apply_run(
-    spark: SparkSession, store: StateStore, current: int, plan: Plan, landed_of: Callable[[Row], DataFrame | None],
+    spark: SparkSession, store: StateStore, current: int, plan: Plan, landed: DataFrame,
     options: Options, batch_id: int | None = None,
 ) -> Result:
     """Write the next version of state and progress from landed rows."""
     run = current + 1
+    ts = F.col("commit_ts")
+    if options.strict:
+        saved = [(*k, r.last_commit_ts) for k, r in plan.saved.items()]
+        carry = spark.createDataFrame(saved, "source_schema string, source_table string, last_commit_ts bigint")
+        window = attach_facts(landed, plan.lowers(spark), n_facts=len(plan.tables))
+        window = window.where((ts > F.col("lower_ts")) & (ts <= plan.upper))
+        checks.raise_if_any(
+            checks.commit_order_violations(window, options.commit_order, carry), "commit time goes backwards"
+        )
     in_force = defaultdict(dict)
     for r in store.buckets(current).toLocalIterator():
         in_force[r.target_table][r.bucket] = r.run
+    touched_tables = plan.touched()
 
     def apply_table(table: Row):
         key = (table.source_schema, table.source_table)
@@ -344,17 +383,10 @@ def apply_run(
         schema = table_schema(table, [column_pairs(d.columns) for d in definitions], options, before)
         cut = plan.truncated.get(key)
         buckets = {} if cut is not None else dict(in_force[table.target_table])
-        landed = landed_of(table)
-        if landed is None:
-            return table, before, buckets, None
-        ts = F.col("commit_ts")
-        window = landed.where(ts.isNull() | ((ts > lower) & (ts <= plan.upper)))
-        if options.strict:
-            carry = spark.createDataFrame([(*key, saved.last_commit_ts)], "source_schema string, source_table string, last_commit_ts bigint")
-            checks.raise_if_any(
-                checks.commit_order_violations(window.where(ts.isNotNull()), options.commit_order, carry),
-                "commit time goes backwards",
-            )
+        if key not in touched_tables:
+            return table, before, buckets
+        rows = landed.where(F.col("_target") == table.target_table)
+        window = rows.where(ts.isNull() | ((ts > lower) & (ts <= plan.upper)))
         if options.on_error != "raise":
             bad = quarantined(window, definitions, options)
             bad.write.mode("overwrite").parquet(f"{store.out}/quarantine/{run}/{table.target_table}")
@@ -383,27 +415,17 @@ def apply_run(
             upserts = delta.where("op <> 'D'").select("data.*")
             written = store.write_buckets(kept.unionByName(upserts), table.target_table, run, keys)
             buckets = {b: r for b, r in buckets.items() if b not in touched} | {b: run for b in written}
-        return table, schema, buckets, landed
+        return table, schema, buckets
 
     with ThreadPoolExecutor(options.parallel_tables) as pool:
         applied = list(pool.map(apply_table, plan.tables))
-    return _finish_log(spark, store, current, run, plan, applied, options, batch_id)
+    return _finish_log(spark, store, current, run, plan, landed, applied, batch_id)
 
 
-def _finish_log(spark, store, current, run, plan, applied, options, batch_id) -> Result:
+def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) -> Result:
     """Progress and statistics of a change-log run, then its switch."""
-    narrow = [*ap.STREAM, "date", "file_index", "commit_ts", "op"]
-    landed = [rows.select(*narrow) for _, _, _, rows in applied if rows is not None]
-    empty = spark.createDataFrame(
-        [], "source_schema string, source_table string, table_version bigint, partition_id bigint, "
-        "date string, file_index bigint, commit_ts bigint, op string",
-    )
-    rows = union_all(landed) if landed else empty
-    lowers = spark.createDataFrame(
-        [(t.source_schema, t.source_table, plan.lower((t.source_schema, t.source_table))) for t in plan.tables],
-        "source_schema string, source_table string, lower_ts bigint",
-    )
-    window = attach_facts(rows, lowers).where(
+    rows = landed.select(*ap.STREAM, "date", "file_index", "commit_ts", "op")
+    window = attach_facts(rows, plan.lowers(spark), n_facts=len(plan.tables)).where(
         (F.col("commit_ts") > F.col("lower_ts")) & (F.col("commit_ts") <= plan.upper)
     )
     place = [*ap.STREAM, "date", "file_index"]
@@ -424,7 +446,7 @@ def _finish_log(spark, store, current, run, plan, applied, options, batch_id) ->
     for r in store.buckets(current).toLocalIterator():
         if r.target_table not in targets:
             buckets.append(tuple(r))
-    for table, schema, in_force, _ in applied:
+    for table, schema, in_force in applied:
         key = (table.source_schema, table.source_table)
         progress_rows[key] = (
             *key, True, plan.position, ts_of[key].last_commit_ts,
@@ -450,50 +472,58 @@ def apply_log(
     plan = plan_log(spark, root, store, current, options, tables)
     if isinstance(plan, Result):
         return plan
-    run = current + 1
-    names = ["source_schema", "source_table", "table_version", "partition_id", "date", "latest_file_index",
-             "file_width", "data_dir", "first_file_index"]
-    collected = [tuple(r) for r in plan.ranges.select(*names).toLocalIterator()]
-    plan.ranges = spark.createDataFrame(collected, plan.ranges.select(*names).schema)
-    by = defaultdict(list)
-    for r in (Row(*names)(*c) for c in collected):
-        by[(r.source_schema, r.source_table)].append(r)
-    if options.strict and collected:
-        expected = log.expand_files(plan.ranges)
-        there = list_files(spark, sorted({r.data_dir for rs in by.values() for r in rs}), "CDC*.csv")
-        checks.raise_if_any(
-            checks.missing_files(expected, there).select("path"), "change files named by an index are missing"
-        )
-    skipped: dict[tuple[str, str], int] = {}
-
-    def land(table: Row) -> DataFrame | None:
-        key = (table.source_schema, table.source_table)
-        mine = by.get(key, [])
-        rows = read_landing_rows(
-            spark, root, plan.definitions.get(key, []),
-            lambda versions: range_paths([r for r in mine if r.table_version in versions]), options,
-        )
-        if rows is None:
-            return None
-        seen = Observation()
-        ts = F.col("commit_ts")
-        rows = in_ranges(rows, plan.ranges).observe(seen, F.count_if(ts <= plan.lower(key)).alias("skipped"))
-        path = f"{store.out}/landing/run-{run}/{table.target_table}"
-        rows.where(ts.isNull() | (ts > plan.lower(key))).write.mode("overwrite").parquet(path)
-        skipped[key] = seen.get["skipped"]
-        return spark.read.schema(rows.schema).parquet(path)
-
-    result = apply_run(spark, store, current, plan, land, options)
-    if skipped:
-        result.stats = result.stats.unionByName(
-            spark.createDataFrame(
-                [(*k, "skipped", n) for k, n in skipped.items()],
-                "source_schema string, source_table string, operation string, n_operations bigint",
-            )
-        )
+    if options.strict and plan.range_rows:
+        there = list_files(spark, sorted({r.data_dir for r in plan.range_rows}), "CDC*.csv")
+        missing = checks.missing_files(log.expand_files(plan.ranges), there)
+        checks.raise_if_any(missing.select("path"), "change files named by an index are missing")
+    landed, skipped = land_run(spark, root, store, current + 1, plan, options)
+    result = apply_run(spark, store, current, plan, landed, options)
+    counts = [(*k, "skipped", n) for k, n in skipped.items() if n]
+    if counts:
+        kind = "source_schema string, source_table string, operation string, n_operations bigint"
+        result.stats = result.stats.unionByName(spark.createDataFrame(counts, kind))
     return result
 
 
+def with_target(rows: DataFrame, tables: Sequence[Row]) -> DataFrame:
+    """Add the output table's name, which landing is partitioned by; unmanaged rows go away."""
+    targets = rows.sparkSession.createDataFrame(
+        [(t.source_schema, t.source_table, t.target_table) for t in tables],
+        "source_schema string, source_table string, _target string",
+    )
+    return attach_facts(rows, targets, how="inner", n_facts=len(tables))
+
+
+def land_run(
+    spark: SparkSession, root: str, store: StateStore, run: int, plan: Plan, options: Options
+) -> tuple[DataFrame, dict[tuple[str, str], int]]:
+    """Land the new rows of a batch run; also the rows per table that the lower bound skips.
+
+    The counts come from an observation of the write itself, not from another pass.
+    """
+    def paths_of(versions: set) -> list[str]:
+        return range_paths([r for r in plan.range_rows if (r.source_schema, r.source_table, r.table_version) in versions])
+
+    definitions = [d for ds in plan.definitions.values() for d in ds]
+    rows = read_landing_rows(spark, root, definitions, paths_of, options)
+    if rows is None:
+        return spark.createDataFrame([], log.LANDED_SCHEMA), {}
+    rows = with_target(in_ranges(rows, plan.ranges, len(plan.range_rows)), plan.tables)
+    rows = attach_facts(rows, plan.lowers(spark), n_facts=len(plan.tables))
+    ts, skip = F.col("commit_ts"), F.col("commit_ts") <= F.col("lower_ts")
+    seen = Observation()
+    keys = sorted(plan.touched())
+    counts = [
+        F.count_if(skip & (F.col("source_schema") == s) & (F.col("source_table") == t)).alias(f"t{i}")
+        for i, (s, t) in enumerate(keys)
+    ]
+    path = f"{store.out}/landing/run-{run}"
+    rows = rows.observe(seen, *counts).where(ts.isNull() | ~skip).drop("lower_ts")
+    rows.write.mode("overwrite").partitionBy("_target").parquet(path)
+    landed = spark.read.schema(log.LANDED_SCHEMA).parquet(path)
+    return landed, {k: seen.get[f"t{i}"] for i, k in enumerate(keys)}
+
+
 def replay(spark: SparkSession, root: str, out: str, *, buckets: int = 64, **options) -> Result:
     """Bring the state below ``out`` up to the checkpoint of the workspace at ``root``.
 
@@ -503,35 +533,57 @@ def replay(spark: SparkSession, root: str, out: str, *, buckets: int = 64, **opt
     """
     settings = Options(**options)
     store = StateStore(spark, out, buckets)
-    tables = cat.catalog(spark, root, settings.tables, settings.strict).collect()
+    tables = managed_tables(spark, root, settings)
     load_snapshot(spark, root, store, settings, tables)
     return apply_log(spark, root, store, settings, tables)
 
 
 def read_changes(
-    spark: SparkSession, root: str, table: Row, lower: int, upper: int, options: Options | None = None
+    spark: SparkSession, root: str, tables: Row | Sequence[Row], lower: int, upper: int, options: Options | None = None
 ) -> DataFrame:
-    """Typed changes of one catalog table with ``lower < commit_ts <= upper``, without a store."""
+    """Typed changes with ``lower < commit_ts <= upper`` of one or more catalog tables.
+
+    Needs no store. ``data`` has the columns of all given tables and versions by name, so give
+    tables together only where a column name means the same in each.
+    """
     options = options or Options()
-    key = (table.source_schema, table.source_table)
-    one = spark.createDataFrame(
-        [(*key, table.columns)],
+    tables = [tables] if isinstance(tables, Row) else list(tables)
+    keys = list(by_table(tables))
+    columns = spark.createDataFrame(
+        [(t.source_schema, t.source_table, t.columns) for t in tables],
         "source_schema string, source_table string, "
         "columns array<struct<name:string,source_type:string,nullable:boolean,pos:int>>",
     )
-    found = reg.effective_columns(reg.registry(spark, root, one, upper, options.strict, [key]), one)
-    definitions = found.collect()
-    baseline = max((d.table_version for d in definitions if d.table_version <= lower), default=0)
-    definitions = [d for d in definitions if d.table_version >= baseline]
-    ranges = find_ranges(spark, root, [(*key, d.table_version) for d in definitions], None, options)
+    definitions = reg.effective_columns(reg.registry(spark, root, None, upper, options.strict, keys), columns).collect()
+    baseline = defaultdict(int)
+    for d in definitions:
+        key = (d.source_schema, d.source_table)
+        if d.table_version <= lower:
+            baseline[key] = max(baseline[key], d.table_version)
+    definitions = [d for d in definitions if d.table_version >= baseline[(d.source_schema, d.source_table)]]
+    versions = [(d.source_schema, d.source_table, d.table_version) for d in definitions]
+    ranges = find_ranges(spark, root, versions, None, options)
     collected = ranges.collect()
-    schema = table_schema(table, [column_pairs(d.columns) for d in definitions], options)
-    rows = read_landing_rows(
-        spark, root, definitions,
-        lambda versions: range_paths([r for r in collected if r.table_version in versions]), options,
-    )
-    if rows is None:
-        return spark.createDataFrame([], T.StructType([T.StructField("data", schema)]))
-    ts = F.col("commit_ts")
-    named = in_ranges(rows, spark.createDataFrame(collected, ranges.schema))
-    return typed_changes(named.where(ts.isNull() | ((ts > lower) & (ts <= upper))), table, definitions, schema, options)
+    wanted = spark.createDataFrame(collected, ranges.schema)
+    schema = table_schema(tables[0], [column_pairs(x.columns) for x in [*tables[1:], *definitions]], options)
+    groups: dict[tuple, set] = defaultdict(set)
+    for d in definitions:
+        groups[tuple(column_pairs(d.columns))].add((d.source_schema, d.source_table, d.table_version))
+    ts, parts = F.col("commit_ts"), []
+    for layout, members in groups.items():
+        paths = range_paths([r for r in collected if (r.source_schema, r.source_table, r.table_version) in members])
+        if not paths:
+            continue
+        fields = log.read_fields(
+            spark, root, paths, len(layout), extra_field=options.extra_field,
+            multiline=options.multiline, date_separator=options.date_separator,
+        )
+        window = fields.where(ts.isNull() | ((ts > lower) & (ts <= upper)))
+        named = in_ranges(window, wanted, len(collected))
+        rows = log.typed_rows(named, layout, on_error=options.on_error, diagnostics=options.diagnostics, **options.coercion)
+        parts.append(rows.withColumn("data", F.struct(*shaped("data", rows.schema["data"].dataType, schema))))
+    if parts:
+        return union_all(parts)
+    meta = T._parse_datatype_string("op string, source_schema string, source_table string, commit_ts bigint, "
+        "table_version bigint, partition_id bigint, date string, file_index bigint, block_start bigint, row_seq bigint")
+    return spark.createDataFrame([], T.StructType([*meta.fields, T.StructField("data", schema)]))

@@ -12,7 +12,7 @@ from ..functions.types import coerce, is_bad_value
 from ..operators import checks
 from ..operators.apply import POSITION, STREAM
 from ..operators.facts import TABLE, attach_facts
-from .files import BAD_RECORD, csv_options, csv_schema, list_files, path_exists, read_csv_rows, read_whole_text
+from .files import BAD_RECORD, csv_options, csv_schema, list_files, number_rows, path_exists, read_csv_rows, read_whole_text
 
 META = ("op", "row_table", "row_schema", "ts_text")
 # fixed values: texts of the optional fifth field of a change row
@@ -245,9 +245,10 @@ def read_fields(
 ) -> DataFrame:
     """Rows of change files as text, with place columns and the rule they break, if any."""
     meta = [*META, "flag"] if extra_field else list(META)
-    raw = read_csv_rows(spark, paths, [*meta, *value_fields(n_values)], glob="CDC*.csv", multiline=multiline)
+    raw = read_csv_rows(spark, paths, [*meta, *value_fields(n_values)], glob="CDC*.csv", multiline=multiline, numbered=False)
     rows = with_place(split_rows(raw, n_values, extra_field), root, date_separator)
-    return rows.withColumn("rule", row_rule()).withColumn("commit_ts", F.col("ts_text").try_cast("bigint"))
+    checked = rows.withColumn("rule", row_rule()).withColumn("commit_ts", F.col("ts_text").try_cast("bigint"))
+    return number_rows(checked)
 
 
 def structural_violations(fields: DataFrame) -> DataFrame:
@@ -275,12 +276,14 @@ def typed_rows(
     if on_error == "raise":
         record = F.col("record") if "record" in fields.columns else F.coalesce(F.col(BAD_RECORD), F.concat_ws(",", *META))
         message = F.concat(
-            F.lit("change row breaks rule "), F.col("rule"), F.lit(" in "), F.col("path"), F.lit(": "), record
+            F.lit("change row breaks rule "), F.col("rule"), F.lit(" in "), F.col("path"),
+            F.lit(" at "), F.col("row_seq").cast("string"), F.lit(": "), record,
         )
         op = F.when(F.col("rule").isNull(), F.col("op")).otherwise(F.raise_error(message).cast("string"))
         rows = fields.withColumn("op", op).where(F.col("op").isNotNull())
     else:
-        rows = fields.where(F.col("rule").isNull())
+        # naming row_seq keeps these filters above the parsing, see number_rows
+        rows = fields.where(F.col("rule").isNull() & (F.col("row_seq") >= 0))
         for i, (_, kind) in enumerate(columns):
             rows = rows.where(~is_bad_value(F.col(f"v{i}"), kind, **coercion))
     mode = "raise" if on_error == "raise" else "null"
@@ -300,6 +303,11 @@ def source_columns(prefix: str) -> list[Column]:
 
 
 LANDED = (*TABLE, *POSITION, "op", "commit_ts", "rule", "record", "path")
+LANDED_SCHEMA = (
+    "source_schema string, source_table string, table_version bigint, partition_id bigint, date string, "
+    "file_index bigint, block_start bigint, row_seq bigint, op string, commit_ts bigint, rule string, "
+    "record string, path string, row_values array<string>, _target string"
+)
 
 
 def landed_rows(fields: DataFrame, n_values: int) -> DataFrame:

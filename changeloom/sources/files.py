@@ -106,27 +106,32 @@ def read_csv_rows(
     multiline: bool = True,
     glob: str | None = None,
     recursive: bool = False,
-    streaming: bool = False,
+    numbered: bool = True,
 ) -> DataFrame:
     """Rows of CSV files as text, with their place.
 
-    Adds ``path``, ``block_start`` and ``row_seq`` (rising inside a block) and ``_bad_record``,
+    Adds ``path``, ``block_start`` and ``row_seq`` (see :func:`number_rows`) and ``_bad_record``,
     the text of a row with the wrong number of fields. Fields of good rows are never NULL:
     an empty field is ``''``, as it is when quoted. A CR left over from a CRLF record end is
     dropped from the last field.
     """
-    reader = spark.readStream if streaming else spark.read
-    reader = reader.schema(csv_schema(columns)).options(**csv_options(len(columns), multiline))
+    reader = spark.read.schema(csv_schema(columns)).options(**csv_options(len(columns), multiline))
     reader = reader.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    rows = reader.format("csv").load(roots[0]) if streaming else reader.csv(list(roots))
     place = [source_path().alias("path"), F.col("_metadata.file_block_start").alias("block_start")]
-    if not streaming:
-        # a streaming plan refuses this; the landing step takes it inside foreachBatch
-        place.append(F.monotonically_increasing_id().alias("row_seq"))
-    rows = rows.select("*", *place)
-    return rows.withColumns(clean_fields(columns))
+    rows = reader.csv(list(roots)).select("*", *place).withColumns(clean_fields(columns))
+    return number_rows(rows) if numbered else rows
+
+
+def number_rows(rows: DataFrame) -> DataFrame:
+    """Add ``row_seq``, which rises with the rows of a file block.
+
+    It has to be taken in the stage that scans. As it is not deterministic, it also keeps
+    later filters from being pushed into the expressions below, where each of them would
+    repeat the whole parsing of a row.
+    """
+    return rows.withColumn("row_seq", F.monotonically_increasing_id())
 
 
 def clean_fields(columns: Sequence[str]) -> dict[str, Column]:

@@ -13,19 +13,13 @@ the batch replay.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import names
-from ..operators import progress
-from ..operators.apply import STREAM
-from ..operators.facts import TABLE
 from ..plans import replay as rp
 from ..plans.state import StateStore
-from ..sources import catalog as cat
 from ..sources import changelog as log
 from ..sources import registry as reg
 
@@ -46,8 +40,8 @@ def file_stream(spark: SparkSession, root: str, max_files: int) -> DataFrame:
     return files.select("path", "length")
 
 
-def _landing_dir(store: StateStore, batch_id: int, target: str) -> str:
-    return f"{store.out}/landing/batch-{batch_id}/{target}"
+def _landing_dir(store: StateStore, batch_id: int) -> str:
+    return f"{store.out}/landing/batch-{batch_id}"
 
 
 def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFrame, batch_id: int, options: rp.Options) -> None:
@@ -57,45 +51,39 @@ def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFra
         "path", F.col("p")[0].alias("source_schema"), F.col("p")[1].alias("source_table"),
         F.col("p")[2].try_cast("bigint").alias("table_version"),
     )
+    tables = rp.managed_tables(spark, root, options)
+    managed = rp.by_table(tables)
     # at most maxFilesPerTrigger names
-    found = placed.collect()
-    by = defaultdict(list)
-    for r in found:
-        by[(r.source_schema, r.source_table)].append(r)
-    tables = [t for t in cat.catalog(spark, root, options.tables, options.strict).collect()
-              if (t.source_schema, t.source_table) in by]
-    landed = spark.createDataFrame([], _LANDED_FILES)
-    if tables:
-        scope = [(t.source_schema, t.source_table) for t in tables]
-        grouped = defaultdict(list)
-        for d in _definitions(spark, root, tables, scope, options):
-            grouped[(d.source_schema, d.source_table)].append(d)
-        for table in tables:
-            key = (table.source_schema, table.source_table)
-            mine = by[key]
-            known = {d.table_version for d in grouped[key]}
-            unknown = sorted({r.table_version for r in mine} - known)
-            if unknown:
-                raise rp.checks.InputError(f"change files of {key} have versions {unknown} without a definition")
-            rows = rp.read_landing_rows(
-                spark, root, grouped[key], lambda vs, mine=mine: [r.path for r in mine if r.table_version in vs], options
-            )
-            path = _landing_dir(store, batch_id, table.target_table)
-            rows.write.mode("overwrite").parquet(path)
-            counts = spark.read.schema(rows.schema).parquet(path).groupBy("path").agg(
-                F.max("commit_ts").alias("high_ts"), F.count(F.lit(1)).alias("n_rows")
-            )
-            names_ = spark.createDataFrame(
-                [(names.plain_path_of(r.path),) for r in mine], "path string"
-            )
-            landed = landed.unionByName(
-                names_.join(counts, "path", "left").select(
-                    "path", F.lit(table.target_table).alias("target_table"), F.lit(batch_id).cast("bigint").alias("batch_id"),
-                    F.coalesce("high_ts", F.lit(0)).cast("bigint").alias("high_ts"),
-                    F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
-                )
-            )
-    landed.write.mode("overwrite").parquet(f"{store.out}/landed_files/batch-{batch_id}")
+    found = [r for r in placed.collect() if (r.source_schema, r.source_table) in managed]
+    path = _landing_dir(store, batch_id)
+    listed = f"{store.out}/landed_files/batch-{batch_id}"
+    touched = sorted({(r.source_schema, r.source_table) for r in found})
+    if not touched:
+        spark.createDataFrame([], _LANDED_FILES).write.mode("overwrite").parquet(listed)
+        return
+    definitions = _definitions(spark, root, [managed[k] for k in touched], touched, options)
+    known = {(d.source_schema, d.source_table, d.table_version) for d in definitions}
+    unknown = {(r.source_schema, r.source_table, r.table_version) for r in found} - known
+    if unknown:
+        raise rp.checks.InputError(f"change files without a definition of their version: {sorted(unknown)[:5]}")
+
+    def paths_of(versions: set) -> list[str]:
+        return [r.path for r in found if (r.source_schema, r.source_table, r.table_version) in versions]
+
+    rows = rp.with_target(rp.read_landing_rows(spark, root, definitions, paths_of, options), tables)
+    rows.write.mode("overwrite").partitionBy("_target").parquet(path)
+    counts = spark.read.schema(log.LANDED_SCHEMA).parquet(path).groupBy("path").agg(
+        F.max("commit_ts").alias("high_ts"), F.count(F.lit(1)).alias("n_rows")
+    )
+    all_files = spark.createDataFrame(
+        [(names.plain_path_of(r.path), managed[(r.source_schema, r.source_table)].target_table) for r in found],
+        "path string, target_table string",
+    )
+    all_files.join(counts, "path", "left").select(
+        "path", "target_table", F.lit(batch_id).cast("bigint").alias("batch_id"),
+        F.coalesce("high_ts", F.lit(0)).cast("bigint").alias("high_ts"),
+        F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+    ).write.mode("overwrite").parquet(listed)
 
 
 def _definitions(spark, root, tables, scope, options) -> list[Row]:
@@ -131,26 +119,21 @@ def apply_landed(
     plan = rp.plan_log(spark, root, store, current, options)
     if isinstance(plan, rp.Result):
         return plan
-    wanted = [*STREAM, "date", "latest_file_index", "file_width", "data_dir", "first_file_index"]
-    ranges = plan.ranges.select(*wanted)
-    plan.ranges = spark.createDataFrame(ranges.collect(), ranges.schema)
     files = landed_files(spark, store)
     behind = rp.checks.missing_files(log.expand_files(plan.ranges), files)
     if not behind.isEmpty():
         return rp.Result(current, plan.upper, "landing is behind the index")
     floor = min(plan.lower((t.source_schema, t.source_table)) for t in plan.tables)
-    open_batches = defaultdict(list)
-    for r in files.where(F.col("high_ts") > floor).select("target_table", "batch_id").distinct().toLocalIterator():
-        open_batches[r.target_table].append(r.batch_id)
-
-    def landed_of(table: Row) -> DataFrame | None:
-        batches = sorted(open_batches.get(table.target_table, []))
-        if not batches:
-            return None
-        rows = spark.read.parquet(*[_landing_dir(store, b, table.target_table) for b in batches])
-        return rp.in_ranges(rows.where(F.col("commit_ts").isNull() | (F.col("commit_ts") > floor)), plan.ranges)
-
-    return rp.apply_run(spark, store, current, plan, landed_of, options, batch_id)
+    # batches with a row above what every table has applied; earlier ones are not opened again
+    still_open = files.where(F.col("high_ts") > floor).select("batch_id").distinct().collect()
+    if still_open:
+        paths = [_landing_dir(store, r.batch_id) for r in sorted(still_open)]
+        landed = rp.union_all([spark.read.schema(log.LANDED_SCHEMA).parquet(p) for p in paths])
+        landed = landed.where(F.col("commit_ts").isNull() | (F.col("commit_ts") > floor))
+        landed = rp.in_ranges(landed, plan.ranges, len(plan.range_rows))
+    else:
+        landed = spark.createDataFrame([], log.LANDED_SCHEMA)
+    return rp.apply_run(spark, store, current, plan, landed, options, batch_id)
 
 
 def follow(
