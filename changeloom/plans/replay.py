@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import spark_type
+from ..local import local_frame
 from ..operators import apply as ap
 from ..operators import checks, progress
 from ..operators.facts import TABLE, attach_facts
@@ -26,7 +27,7 @@ from ..sources import changelog as log
 from ..sources import registry as reg
 from ..sources import snapshot as snap
 from ..sources.files import list_files, path_exists
-from .state import TABLES_SCHEMA, StateStore, common_type
+from .state import StateStore, TableState, common_type, table_row
 
 @dataclass
 class Options:
@@ -243,7 +244,7 @@ class Plan:
     """Metadata of one change-log run. Its size follows the number of tables and versions."""
 
     tables: list[Row]
-    saved: dict[tuple[str, str], Row]
+    saved: dict[tuple[str, str], TableState]
     position: int
     upper: int
     registry: DataFrame
@@ -259,7 +260,7 @@ class Plan:
 
     def lowers(self, spark: SparkSession) -> DataFrame:
         rows = [(*k, self.lower(k)) for k in by_table(self.tables)]
-        return spark.createDataFrame(rows, "source_schema string, source_table string, lower_ts bigint")
+        return local_frame(spark, rows, "source_schema string, source_table string, lower_ts bigint")
 
     def lower(self, key: tuple[str, str]) -> int:
         """Everything up to the last checkpoint of the table is in its state already."""
@@ -276,11 +277,11 @@ def load_snapshot(
 ) -> int:
     """Load the snapshot of every table that does not have it yet; returns the current run."""
     current = store.latest_run()
-    saved = store.tables(current)
-    position = guard_snapshot(spark, root, saved)
-    known = by_table(saved.collect())
+    known = store.table_states(current)
+    position = guard_snapshot(spark, root, store.tables(current))
     tables = tables or managed_tables(spark, root, options)
-    waiting = [t for t in tables if not (known.get((t.source_schema, t.source_table)) or Row(snapshot_done=False)).snapshot_done]
+    loaded_before = {k for k, t in known.items() if t.snapshot_done}
+    waiting = [t for t in tables if (t.source_schema, t.source_table) not in loaded_before]
     if not waiting:
         return current
     run = current + 1
@@ -292,18 +293,22 @@ def load_snapshot(
 
     with ThreadPoolExecutor(options.parallel_tables) as pool:
         loaded = list(pool.map(load, waiting))
-    progress_rows = {k: tuple(r) for k, r in known.items()}
-    buckets = [tuple(r) for r in store.buckets(current).toLocalIterator()]
+    lines = {k: saved_line(t) for k, t in known.items()}
     for table, schema, written in loaded:
-        progress_rows[(table.source_schema, table.source_table)] = (
-            table.source_schema, table.source_table, True, position, 0, 0, table.target_table,
-            json.dumps(schema.jsonValue()), 0, None,
+        key = (table.source_schema, table.source_table)
+        lines[key] = table_row(
+            {b: run for b in written}, source_schema=key[0], source_table=key[1], snapshot_done=True,
+            snapshot_position=position, last_commit_ts=0, ddl_watermark=0, target_table=table.target_table,
+            schema_json=json.dumps(schema.jsonValue()), checkpoint=0, batch_id=None,
         )
-        buckets += [(table.target_table, b, run) for b in sorted(written)]
-    store.finish(run, spark.createDataFrame(list(progress_rows.values()), TABLES_SCHEMA), store.streams(current), buckets)
+    store.finish(run, list(lines.values()), store.streams(current) if current else None)
     return run
 
 
+def saved_line(table: TableState) -> dict:
+    return {k: v for k, v in vars(table).items() if k not in ("in_force", "n_buckets")}
+
+
 def plan_log(
     spark: SparkSession, root: str, store: StateStore, current: int, options: Options,
     tables: list[Row] | None = None,
@@ -311,7 +316,7 @@ def plan_log(
     """Everything a change-log run must know, or why there is nothing to do."""
     saved_rows = store.tables(current)
     tables = tables or managed_tables(spark, root, options)
-    saved = by_table(saved_rows.collect())
+    saved = store.table_states(current)
     done = [saved.get((t.source_schema, t.source_table)) for t in tables]
     if not all(r is not None and r.snapshot_done for r in done):
         return Result(current, None, "a snapshot is not complete")
@@ -327,9 +332,9 @@ def plan_log(
     scope = [(t.source_schema, t.source_table) for t in tables]
     if options.strict_unknown_files:
         checks.raise_if_any(log.unknown_files(spark, root, scope), "unknown files beside the definitions")
-    managed = spark.createDataFrame(scope, "source_schema string, source_table string")
+    managed = local_frame(spark, scope, "source_schema string, source_table string")
     found = reg.registry(spark, root, managed, upper, options.strict, scope)
-    catalog_rows = spark.createDataFrame(
+    catalog_rows = local_frame(spark, 
         [(*k, t.columns) for k, t in by_table(tables).items()],
         "source_schema string, source_table string, "
         "columns array<struct<name:string,source_type:string,nullable:boolean,pos:int>>",
@@ -337,7 +342,7 @@ def plan_log(
     definitions = reg.effective_columns(found, catalog_rows)
     # the definitions are read and checked once; what follows works on this copy of them
     rows = definitions.collect()
-    registry = spark.createDataFrame(rows, definitions.schema)
+    registry = local_frame(spark, rows, definitions.schema)
     effective = ap.effective_watermarks(ap.baseline_versions(registry, position), saved_rows)
     oldest = by_table(effective.collect())
     cuts = by_table(ap.truncate_points(registry, effective, upper).collect())
@@ -352,7 +357,7 @@ def plan_log(
     return Plan(
         tables, saved, position, upper, registry, grouped, effective,
         {k: r.truncate_version for k, r in cuts.items()},
-        spark.createDataFrame(range_rows, ranges.schema), range_rows,
+        local_frame(spark, range_rows, ranges.schema), range_rows,
     )
 
 
@@ -365,24 +370,21 @@ def apply_run(
     ts = F.col("commit_ts")
     if options.strict:
         saved = [(*k, r.last_commit_ts) for k, r in plan.saved.items()]
-        carry = spark.createDataFrame(saved, "source_schema string, source_table string, last_commit_ts bigint")
+        carry = local_frame(spark, saved, "source_schema string, source_table string, last_commit_ts bigint")
         window = attach_facts(landed, plan.lowers(spark), n_facts=len(plan.tables))
         window = window.where((ts > F.col("lower_ts")) & (ts <= plan.upper))
         checks.raise_if_any(
             checks.commit_order_violations(window, options.commit_order, carry), "commit time goes backwards"
         )
-    in_force = defaultdict(dict)
-    for r in store.buckets(current).toLocalIterator():
-        in_force[r.target_table][r.bucket] = r.run
     touched_tables = plan.touched()
 
     def apply_table(table: Row):
         key = (table.source_schema, table.source_table)
         definitions, lower, saved = plan.definitions.get(key, []), plan.lower(key), plan.saved[key]
-        before = T.StructType.fromJson(json.loads(saved.schema_json))
+        before = saved.schema
         schema = table_schema(table, [column_pairs(d.columns) for d in definitions], options, before)
         cut = plan.truncated.get(key)
-        buckets = {} if cut is not None else dict(in_force[table.target_table])
+        buckets = {} if cut is not None else dict(saved.in_force)
         if key not in touched_tables:
             return table, before, buckets
         rows = landed.where(F.col("_target") == table.target_table)
@@ -440,26 +442,21 @@ def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) ->
 
     mark_of = by_table(marks.collect())
     ts_of = by_table(progress.commit_ts_by_table(window, saved).collect())
-    progress_rows = {k: tuple(r) for k, r in plan.saved.items()}
-    buckets = []
-    targets = {t.target_table for t in plan.tables}
-    for r in store.buckets(current).toLocalIterator():
-        if r.target_table not in targets:
-            buckets.append(tuple(r))
+    lines = {k: saved_line(t) for k, t in plan.saved.items()}
     for table, schema, in_force in applied:
         key = (table.source_schema, table.source_table)
-        progress_rows[key] = (
-            *key, True, plan.position, ts_of[key].last_commit_ts,
-            mark_of[key].ddl_watermark if key in mark_of else 0,
-            table.target_table, json.dumps(schema.jsonValue()), plan.upper, batch_id,
+        lines[key] = table_row(
+            in_force, source_schema=key[0], source_table=key[1], snapshot_done=True,
+            snapshot_position=plan.position, last_commit_ts=ts_of[key].last_commit_ts,
+            ddl_watermark=mark_of[key].ddl_watermark if key in mark_of else 0, target_table=table.target_table,
+            schema_json=json.dumps(schema.jsonValue()), checkpoint=plan.upper, batch_id=batch_id,
         )
-        buckets += [(table.target_table, b, r) for b, r in sorted(in_force.items())]
-    store.finish(run, spark.createDataFrame(list(progress_rows.values()), TABLES_SCHEMA), streams, buckets)
+    store.finish(run, list(lines.values()), streams)
     cut = [(*k, "truncate", 1) for k in plan.truncated]
     kind = F.when(F.col("op") == "D", "delete").otherwise("upsert").alias("operation")
     stats = window.groupBy(*TABLE, kind).agg(F.count(F.lit(1)).alias("n_operations"))
     stats = stats.unionByName(
-        spark.createDataFrame(cut, "source_schema string, source_table string, operation string, n_operations bigint")
+        local_frame(spark, cut, "source_schema string, source_table string, operation string, n_operations bigint")
     )
     return Result(run, plan.upper, None, stats)
 
@@ -481,13 +478,13 @@ def apply_log(
     counts = [(*k, "skipped", n) for k, n in skipped.items() if n]
     if counts:
         kind = "source_schema string, source_table string, operation string, n_operations bigint"
-        result.stats = result.stats.unionByName(spark.createDataFrame(counts, kind))
+        result.stats = result.stats.unionByName(local_frame(spark, counts, kind))
     return result
 
 
 def with_target(rows: DataFrame, tables: Sequence[Row]) -> DataFrame:
     """Add the output table's name, which landing is partitioned by; unmanaged rows go away."""
-    targets = rows.sparkSession.createDataFrame(
+    targets = local_frame(rows.sparkSession, 
         [(t.source_schema, t.source_table, t.target_table) for t in tables],
         "source_schema string, source_table string, _target string",
     )
@@ -507,7 +504,7 @@ def land_run(
     definitions = [d for ds in plan.definitions.values() for d in ds]
     rows = read_landing_rows(spark, root, definitions, paths_of, options)
     if rows is None:
-        return spark.createDataFrame([], log.LANDED_SCHEMA), {}
+        return local_frame(spark, [], log.LANDED_SCHEMA), {}
     rows = with_target(in_ranges(rows, plan.ranges, len(plan.range_rows)), plan.tables)
     rows = attach_facts(rows, plan.lowers(spark), n_facts=len(plan.tables))
     ts, skip = F.col("commit_ts"), F.col("commit_ts") <= F.col("lower_ts")
@@ -549,7 +546,7 @@ def read_changes(
     options = options or Options()
     tables = [tables] if isinstance(tables, Row) else list(tables)
     keys = list(by_table(tables))
-    columns = spark.createDataFrame(
+    columns = local_frame(spark, 
         [(t.source_schema, t.source_table, t.columns) for t in tables],
         "source_schema string, source_table string, "
         "columns array<struct<name:string,source_type:string,nullable:boolean,pos:int>>",
@@ -564,7 +561,7 @@ def read_changes(
     versions = [(d.source_schema, d.source_table, d.table_version) for d in definitions]
     ranges = find_ranges(spark, root, versions, None, options)
     collected = ranges.collect()
-    wanted = spark.createDataFrame(collected, ranges.schema)
+    wanted = local_frame(spark, collected, ranges.schema)
     schema = table_schema(tables[0], [column_pairs(x.columns) for x in [*tables[1:], *definitions]], options)
     groups: dict[tuple, set] = defaultdict(set)
     for d in definitions:
@@ -586,4 +583,4 @@ def read_changes(
         return union_all(parts)
     meta = T._parse_datatype_string("op string, source_schema string, source_table string, commit_ts bigint, "
         "table_version bigint, partition_id bigint, date string, file_index bigint, block_start bigint, row_seq bigint")
-    return spark.createDataFrame([], T.StructType([*meta.fields, T.StructField("data", schema)]))
+    return local_frame(spark, [], T.StructType([*meta.fields, T.StructField("data", schema)]))

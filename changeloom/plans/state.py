@@ -1,25 +1,30 @@
-"""State and progress tables in Parquet, versioned by run.
+"""State and progress tables, versioned by run.
 
-``<out>/runs/<run>/`` holds what one run left behind: ``tables`` and ``streams`` (progress) and
-``buckets`` (which directory holds each bucket of each table). A run is in force once its
-``_DONE`` file exists, which is written last; the newest such run is the current one. A run that
-died half-way left no ``_DONE``, so the next run takes its number and overwrites its files.
+``<out>/runs/<run>/`` holds what one run left behind: ``tables.json`` (one line per table: its
+progress, its columns, and which run's directory holds each of its buckets) and ``streams``
+(progress per stream, Parquet). A run is in force once its ``_DONE`` file exists, which is
+written last; the newest such run is the current one. A run that died half-way left no
+``_DONE``, so the next run takes its number and overwrites its files.
 """
 
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..local import local_frame
 from ..operators.progress import STREAM_PROGRESS, TABLE_PROGRESS
 from ..sources.files import path_exists
 
-TABLES_SCHEMA = TABLE_PROGRESS + ", target_table string, schema_json string, checkpoint bigint, batch_id bigint"
-BUCKETS_SCHEMA = "target_table string, bucket int, run bigint"
+TABLES_SCHEMA = (
+    TABLE_PROGRESS + ", target_table string, schema_json string, checkpoint bigint, batch_id bigint, "
+    "n_buckets int, buckets array<struct<run:bigint,ids:array<int>>>"
+)
 
 
 def _path(spark: SparkSession, path: str):
@@ -35,8 +40,41 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def get_text(spark: SparkSession, path: str) -> str:
+    where = _path(spark, path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+class TableState:
+    """Progress of one table and where its rows are."""
+
+    def __init__(self, row: dict):
+        self.__dict__.update(row)
+        self.in_force = {b: part["run"] for part in row["buckets"] for b in part["ids"]}
+
+    @property
+    def key(self) -> tuple[str, str]:
+        return self.source_schema, self.source_table
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema_json))
+
+
+def table_row(in_force: dict[int, int], **fields) -> dict:
+    """A line of ``tables.json``; buckets are grouped by the run that wrote them."""
+    by_run = defaultdict(list)
+    for bucket, run in in_force.items():
+        by_run[run].append(bucket)
+    return {**fields, "buckets": [{"run": r, "ids": sorted(ids)} for r, ids in sorted(by_run.items())]}
+
+
 class StateStore:
-    """Where a replay keeps its results."""
+    """Where a replay keeps its results. ``buckets`` only counts when the store is new."""
 
     def __init__(self, spark: SparkSession, out: str, buckets: int = 64):
         self.spark, self.out, self.n_buckets = spark, out.rstrip("/"), buckets
@@ -50,20 +88,28 @@ class StateStore:
         numbers = sorted((int(s.getPath().getName()) for s in fs.listStatus(root)), reverse=True)
         return next((n for n in numbers if fs.exists(_path(self.spark, f"{self.out}/runs/{n}/_DONE"))), 0)
 
-    def _read(self, run: int, part: str, schema: str) -> DataFrame:
-        path = f"{self.out}/runs/{run}/{part}"
-        if run == 0 or not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+    def table_states(self, run: int | None = None) -> dict[tuple[str, str], TableState]:
+        run = self.latest_run() if run is None else run
+        if run == 0:
+            return {}
+        lines = get_text(self.spark, f"{self.out}/runs/{run}/tables.json").splitlines()
+        found = [TableState(json.loads(line)) for line in lines]
+        if found:
+            self.n_buckets = found[0].n_buckets
+        return {t.key: t for t in found}
 
     def tables(self, run: int | None = None) -> DataFrame:
-        return self._read(self.latest_run() if run is None else run, "tables", TABLES_SCHEMA)
+        """Progress per table as a DataFrame."""
+        names = T._parse_datatype_string(TABLES_SCHEMA).fieldNames()
+        rows = [tuple(getattr(t, n) for n in names) for t in self.table_states(run).values()]
+        return local_frame(self.spark, rows, TABLES_SCHEMA)
 
     def streams(self, run: int | None = None) -> DataFrame:
-        return self._read(self.latest_run() if run is None else run, "streams", STREAM_PROGRESS)
-
-    def buckets(self, run: int | None = None) -> DataFrame:
-        return self._read(self.latest_run() if run is None else run, "buckets", BUCKETS_SCHEMA)
+        run = self.latest_run() if run is None else run
+        path = f"{self.out}/runs/{run}/streams"
+        if run == 0 or not path_exists(self.spark, path):
+            return local_frame(self.spark, [], STREAM_PROGRESS)
+        return self.spark.read.schema(STREAM_PROGRESS).parquet(path)
 
     def data_dir(self, target: str, run: int) -> str:
         return f"{self.out}/state/{target}/{run}"
@@ -78,7 +124,7 @@ class StateStore:
         directory come back as NULL."""
         paths = [f"{self.data_dir(target, run)}/_bucket={bucket}" for bucket, run in in_force]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return local_frame(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def write_buckets(self, rows: DataFrame, target: str, run: int, keys: Sequence[str]) -> set[int]:
@@ -98,24 +144,21 @@ class StateStore:
         found = [s.getPath().getName() for s in listed]
         return {int(n.split("=")[1]) for n in found if n.startswith("_bucket=")}
 
-    def finish(self, run: int, tables: DataFrame, streams: DataFrame, buckets: list[tuple[str, int, int]]) -> None:
+    def finish(self, run: int, tables: Sequence[dict], streams: DataFrame | None) -> None:
+        """Write what the run left and put it in force; without ``streams`` those stay empty."""
         base = f"{self.out}/runs/{run}"
-        tables.coalesce(1).write.mode("overwrite").parquet(f"{base}/tables")
-        streams.coalesce(1).write.mode("overwrite").parquet(f"{base}/streams")
-        self.spark.createDataFrame(buckets, BUCKETS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{base}/buckets")
+        lines = [json.dumps({**t, "n_buckets": self.n_buckets}) for t in tables]
+        put_text(self.spark, f"{base}/tables.json", "\n".join(lines))
+        if streams is not None:
+            streams.coalesce(1).write.mode("overwrite").parquet(f"{base}/streams")
         put_text(self.spark, f"{base}/_DONE", "")
 
     def read(self, target: str, run: int | None = None) -> DataFrame:
         """Current rows of one output table."""
-        run = self.latest_run() if run is None else run
-        row = self.tables(run).where(F.col("target_table") == target).first()
-        if row is None:
+        found = [t for t in self.table_states(run).values() if t.target_table == target]
+        if not found:
             raise KeyError(f"no state for {target!r} in {self.out}")
-        schema = T.StructType.fromJson(json.loads(row.schema_json))
-        in_force = [
-            (r.bucket, r.run) for r in self.buckets(run).where(F.col("target_table") == target).toLocalIterator()
-        ]
-        return self.read_buckets(target, schema, in_force)
+        return self.read_buckets(target, found[0].schema, sorted(found[0].in_force.items()))
 
 
 def common_type(kinds: Sequence[T.DataType]) -> T.DataType:

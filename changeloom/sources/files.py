@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import below, percent_decode, plain_path
+from ..local import local_frame
 
 # A text that no writer produces: switches off the CSV reader's own NULL rule.
 _NEVER = "\u0001"
@@ -37,7 +38,7 @@ def list_files(spark: SparkSession, roots: str | Sequence[str], glob: str | None
     """
     roots = existing(spark, roots)
     if not roots:
-        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
+        return local_frame(spark, [], "path string, length bigint, modified timestamp")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -70,7 +71,7 @@ def read_whole_text(spark: SparkSession, roots: str | Sequence[str], glob: str |
     """One row ``path, text`` per file."""
     roots = existing(spark, roots)
     if not roots:
-        return spark.createDataFrame([], "path string, text string")
+        return local_frame(spark, [], "path string, text string")
     reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)

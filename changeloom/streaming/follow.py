@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import names
+from ..local import local_frame
 from ..plans import replay as rp
 from ..plans.state import StateStore
 from ..sources import changelog as log
@@ -59,7 +60,7 @@ def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFra
     listed = f"{store.out}/landed_files/batch-{batch_id}"
     touched = sorted({(r.source_schema, r.source_table) for r in found})
     if not touched:
-        spark.createDataFrame([], _LANDED_FILES).write.mode("overwrite").parquet(listed)
+        local_frame(spark, [], _LANDED_FILES).write.mode("overwrite").parquet(listed)
         return
     definitions = _definitions(spark, root, [managed[k] for k in touched], touched, options)
     known = {(d.source_schema, d.source_table, d.table_version) for d in definitions}
@@ -75,7 +76,7 @@ def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFra
     counts = spark.read.schema(log.LANDED_SCHEMA).parquet(path).groupBy("path").agg(
         F.max("commit_ts").alias("high_ts"), F.count(F.lit(1)).alias("n_rows")
     )
-    all_files = spark.createDataFrame(
+    all_files = local_frame(spark, 
         [(names.plain_path_of(r.path), managed[(r.source_schema, r.source_table)].target_table) for r in found],
         "path string, target_table string",
     )
@@ -88,7 +89,7 @@ def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFra
 
 def _definitions(spark, root, tables, scope, options) -> list[Row]:
     found = reg.registry(spark, root, None, None, options.strict, scope)
-    rows = spark.createDataFrame(
+    rows = local_frame(spark, 
         [(t.source_schema, t.source_table, t.columns) for t in tables],
         "source_schema string, source_table string, "
         "columns array<struct<name:string,source_type:string,nullable:boolean,pos:int>>",
@@ -99,7 +100,7 @@ def _definitions(spark, root, tables, scope, options) -> list[Row]:
 def landed_files(spark: SparkSession, store: StateStore) -> DataFrame:
     base = f"{store.out}/landed_files"
     if not rp.path_exists(spark, base):
-        return spark.createDataFrame([], _LANDED_FILES)
+        return local_frame(spark, [], _LANDED_FILES)
     return spark.read.schema(_LANDED_FILES).option("recursiveFileLookup", True).parquet(base)
 
 
@@ -113,8 +114,8 @@ def apply_landed(
     """
     current = store.latest_run()
     if batch_id is not None:
-        newest = store.tables(current).agg(F.max("batch_id")).first()[0]
-        if newest is not None and newest >= batch_id:
+        applied = [t.batch_id for t in store.table_states(current).values() if t.batch_id is not None]
+        if applied and max(applied) >= batch_id:
             return rp.Result(current, None, f"batch {batch_id} was applied before")
     plan = rp.plan_log(spark, root, store, current, options)
     if isinstance(plan, rp.Result):
@@ -132,7 +133,7 @@ def apply_landed(
         landed = landed.where(F.col("commit_ts").isNull() | (F.col("commit_ts") > floor))
         landed = rp.in_ranges(landed, plan.ranges, len(plan.range_rows))
     else:
-        landed = spark.createDataFrame([], log.LANDED_SCHEMA)
+        landed = local_frame(spark, [], log.LANDED_SCHEMA)
     return rp.apply_run(spark, store, current, plan, landed, options, batch_id)
 
 

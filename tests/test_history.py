@@ -14,7 +14,7 @@ from changeloom.streaming import apply_landed, follow
 def make_history(seed: int, n: int = 400):
     """Changes ``(version, day, file, line)`` with ties in commit time, and the state after each."""
     rng = random.Random(seed)
-    state, out, ts = {k: f"s{k}" for k in range(20)}, [], 100
+    state, out, ts = {k: f"s{k}" for k in range(20)}, [], 101
     versions = [90, 180, 260]
     for i in range(n):
         ts += rng.choice([0, 1, 1, 2])
