@@ -1,4 +1,4 @@
-"""Joining change rows with per-table facts (catalog, watermarks, truncate points)."""
+"""Joining change rows with per-table facts (catalog, watermarks, truncate points, ranges)."""
 
 from __future__ import annotations
 
@@ -6,11 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..local import local_frame
 
 TABLE = ("source_schema", "source_table")
 
 
-# Facts counted on the driver are broadcast up to this many rows, a few megabytes.
+# facts up to this many rows, a few megabytes, are broadcast
 BROADCAST_ROWS = 50_000
 SPREAD = 32
 
@@ -24,15 +27,27 @@ def attach_facts(
 ) -> DataFrame:
     """Join many rows with few facts; ``facts`` holds one row per key.
 
-    A caller that made the facts on the driver knows their number and passes ``n_facts``; up to
-    ``BROADCAST_ROWS`` they are broadcast. In all other cases Spark decides by its own size
-    check, and where that leads to a shuffle each key is spread over ``SPREAD`` parts, because
-    one table may hold a third of all rows.
+    The facts are fetched first, one row more than the limit at most, unless the caller made them
+    on the driver and passes their number. Within the limit they are broadcast, so the many rows
+    stay where they are; a plan made from estimates would often shuffle those first and find out
+    later that it had no need to. Past the limit the join shuffles, with each key spread over
+    ``SPREAD`` parts, because one table may hold a third of all rows.
     """
-    if n_facts is not None and n_facts <= BROADCAST_ROWS:
+    if n_facts is None:
+        fetched = facts.limit(BROADCAST_ROWS + 1).collect()
+        n_facts = len(fetched)
+        if n_facts <= BROADCAST_ROWS:
+            facts = local_frame(rows.sparkSession, fetched, facts.schema)
+    if n_facts <= BROADCAST_ROWS:
         return rows.join(F.broadcast(facts), list(on), how)
-    mixed = [c for c in ("row_seq", "block_start", "file_index", "commit_ts") if c in rows.columns]
-    part = F.pmod(F.xxhash64(*(mixed or rows.columns)), F.lit(SPREAD)).cast("int")
-    copies = facts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return spread_join(rows, facts, on, how)
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, on: Sequence[str], how: str, parts: int = SPREAD) -> DataFrame:
+    """Join on ``on`` with the rows of each key spread over several parts."""
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    mixed = ["row_seq"] if "row_seq" in plain else plain
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in mixed]), F.lit(parts)).cast("int")
+    copies = facts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     joined = rows.withColumn("_part", part).join(copies, [*on, "_part"], how)
     return joined.drop("_part")

@@ -19,64 +19,63 @@ STREAM_PROGRESS = (
 )
 
 
-def file_summary(changes: DataFrame) -> DataFrame:
-    """One row per change file: highest ``commit_ts`` and number of rows."""
+def file_summary(changes: DataFrame, lower: int | Column, upper: int | Column) -> DataFrame:
+    """One row per change file: highest ``commit_ts``, highest applied one, and row counts.
+
+    All that progress and statistics need, in one pass over four narrow columns.
+    """
+    ts, is_delete = F.col("commit_ts"), F.col("op") == "D"
+    inside = (ts > lower) & (ts <= upper)
     return changes.groupBy(*STREAM, "date", "file_index").agg(
-        F.max("commit_ts").alias("high_ts"), F.count(F.lit(1)).alias("n_rows")
+        F.max(ts).alias("high_ts"),
+        F.max(F.when(inside, ts)).alias("applied_ts"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(inside & ~is_delete).alias("n_upserts"),
+        F.count_if(inside & is_delete).alias("n_deletes"),
+        F.count_if(ts > upper).alias("n_waiting"),
     )
 
 
-def finished_files(files: DataFrame, upper: int | Column) -> DataFrame:
-    """Files before the first one of their stream that still holds rows past the checkpoint."""
+def with_finished(files: DataFrame, upper: int | Column) -> DataFrame:
+    """Mark files before the first one of their stream that still holds rows past the checkpoint."""
     place = F.struct("date", "file_index")
     waiting = files.where(F.col("high_ts") > upper).groupBy(*STREAM).agg(F.min(place).alias("_stop"))
-    return (
-        attach_facts(files, waiting, STREAM)
-        .where(F.col("_stop").isNull() | (place < F.col("_stop")))
-        .drop("_stop")
-    )
+    finished = F.col("_stop").isNull() | (place < F.col("_stop"))
+    return attach_facts(files, waiting, STREAM).withColumn("finished", finished).drop("_stop")
 
 
 def stream_progress(
-    files: DataFrame,
-    ranges: DataFrame,
-    commits: DataFrame,
-    upper: int | Column,
-    previous: DataFrame | None = None,
+    files: DataFrame, ranges: DataFrame, upper: int | Column, previous: DataFrame | None = None
 ) -> DataFrame:
     """Per stream: last finished file, newest file the index names, last applied ``commit_ts``.
 
-    ``files`` as from :func:`file_summary`, ``ranges`` with ``date, latest_file_index``,
-    ``commits`` with the applied rows. All three parts are maxima, so merging with the previous
-    progress is the same aggregation once more.
+    ``files`` as from :func:`file_summary`, ``ranges`` with ``date, latest_file_index``. All three
+    are maxima, so the previous progress is merged as one more input row per stream.
     """
-    nothing = {
-        "done": "struct<date:string,file_index:bigint>",
-        "seen": "struct<date:string,file_index:bigint>",
-        "ts": "bigint",
-    }
-
-    def part(df: DataFrame, name: str, value: Column) -> DataFrame:
-        values = [
-            (value if n == name else F.lit(None)).cast(t).alias(n) for n, t in nothing.items()
-        ]
-        return df.select(*STREAM, *values)
+    kind = "struct<date:string,file_index:bigint>"
 
     def place(a: str, b: str) -> Column:
-        return F.struct(F.col(a).alias("date"), F.col(b).cast("bigint").alias("file_index"))
-
-    rows = (
-        part(finished_files(files, upper), "done", place("date", "file_index"))
-        .unionByName(part(ranges, "seen", place("date", "latest_file_index")))
-        .unionByName(part(commits, "ts", F.col("commit_ts")))
+        return F.struct(F.col(a).alias("date"), F.col(b).cast("bigint").alias("file_index")).cast(kind)
+
+    nothing, no_ts = F.lit(None).cast(kind), F.lit(None).cast("bigint")
+    done = F.when(F.col("finished"), place("date", "file_index"))
+    rows = with_finished(files, upper).select(
+        *STREAM, done.alias("done"), nothing.alias("seen"), F.col("applied_ts").alias("ts")
+    ).unionByName(
+        ranges.select(*STREAM, nothing.alias("done"), place("date", "latest_file_index").alias("seen"), no_ts.alias("ts"))
     )
     if previous is not None:
-        rows = (
-            rows.unionByName(part(previous, "done", place("last_date", "last_file_index")))
-            .unionByName(part(previous, "seen", place("latest_date", "latest_index_file_index")))
-            .unionByName(part(previous, "ts", F.col("last_commit_ts")))
+        rows = rows.unionByName(
+            previous.select(
+                *STREAM,
+                place("last_date", "last_file_index").alias("done"),
+                place("latest_date", "latest_index_file_index").alias("seen"),
+                F.col("last_commit_ts").alias("ts"),
+            )
         )
-    merged = rows.groupBy(*STREAM).agg(F.max("done").alias("done"), F.max("seen").alias("seen"), F.max("ts").alias("ts"))
+    merged = rows.groupBy(*STREAM).agg(
+        F.max("done").alias("done"), F.max("seen").alias("seen"), F.max("ts").alias("ts")
+    )
     return merged.select(
         *STREAM,
         F.coalesce("done.date", F.lit("")).alias("last_date"),

@@ -361,6 +361,21 @@ def effective_columns(spark, sf):
     return found.select("source_table", "table_version", listed.alias("column_list"))
 
 
+@query(
+    "file_statistics",
+    sql(
+        """SELECT source_table, table_version, date, file_index, max(commit_ts) AS high_ts, CAST(count(*) AS BIGINT) AS n_rows,
+          CAST(count(*) FILTER (commit_ts > lower AND commit_ts <= upper AND op <> 'D') AS BIGINT) AS n_upserts,
+          CAST(count(*) FILTER (commit_ts > lower AND commit_ts <= upper AND op = 'D') AS BIGINT) AS n_deletes,
+          CAST(count(*) FILTER (commit_ts > upper) AS BIGINT) AS n_waiting FROM chg, b GROUP BY ALL"""
+    ),
+)
+def file_statistics(spark, sf):
+    b = views.bounds(spark, sf)
+    found = progress.file_summary(views.changes(spark, sf), b.lower, b.upper)
+    return found.drop("source_schema", "partition_id", "applied_ts")
+
+
 # --- progress -------------------------------------------------------------------------------
 
 
@@ -377,7 +392,7 @@ def _streams(spark, sf, upper, previous=None, until=None):
         rows = rows.where(F.col("row_seq") < until)
     b = views.bounds(spark, sf)
     return progress.stream_progress(
-        progress.file_summary(rows), _ranges(spark, sf, until), ap.in_window(rows, b.lower, upper), upper, previous
+        progress.file_summary(rows, b.lower, upper), _ranges(spark, sf, until), upper, previous
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,15 +39,19 @@ def write_files(lines: DataFrame, root: str) -> None:
     base = hadoop.Path(tmp)
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     decode = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    for folder in fs.listStatus(base):
+
+    def move(folder) -> None:
         name = folder.getPath().getName()
         if not name.startswith("file="):
-            continue
+            return
         parts = [s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-")]
         target = hadoop.Path(f"{root}/{decode(name[5:])}")
         fs.mkdirs(target.getParent())
         fs.rename(parts[0], target)
 
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, fs.listStatus(base)))
+
 
 def definition(table: str, version: int, columns, ddl_type: int = 0, query: str = "") -> tuple[str, str]:
     """File name and text of a definition file."""
