@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from ..streaming import follow
 from ..streaming.follow import landed_files
 from ..workdir import work_dir
-from . import sample_views as views
 from . import sample_workspace as ws
 from .queries_apply import SQL_CURRENT_STATE
-from .queries_workspace import SQL_PATHS, _state
+from .queries_workspace import _state
 from .sample_views import sql
 from .state import StateStore
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import checks, progress
+from ..operators import progress
 from ..sources import catalog as cat
 from ..sources import changelog as log
 from ..sources import files as fs
@@ -15,9 +15,9 @@ from ..sources import snapshot as snap
 from ..workdir import work_dir
 from . import sample_views as views
 from . import sample_workspace as ws
-from .queries_apply import SQL_CURRENT_STATE, SQL_WIN, sql_state
+from .queries_apply import SQL_CURRENT_STATE, SQL_WIN
 from .replay import Options, StateStore, load_snapshot, read_changes, read_snapshot, replay
-from .sample_views import SQL_SNAP, sql
+from .sample_views import sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -360,9 +360,9 @@ SQL_RULE = f"""CASE WHEN row_seq % {D['width']} = 0 AND row_seq % {D['flag']} >
   WHEN row_seq % {D['commit_ts']} = 0 THEN 'commit_ts' END"""
 
 
-def _rule_query(rule: str):
+def _rule_query(rule: str, name: str):
     @query(
-        f"change_{rule}_violations",
+        f"change_{name}_violations",
         sql(f"SELECT source_table, table_version, CAST(count(*) AS BIGINT) AS n_rows FROM (SELECT *, {SQL_RULE} AS rule FROM chg) WHERE rule = '{rule}' GROUP BY ALL"),
     )
     def run(spark, sf):
@@ -372,8 +372,8 @@ def _rule_query(rule: str):
     return run
 
 
-for _rule in ("width", "operation", "identity", "commit_ts"):
-    _rule_query(_rule)
+for _rule, _name in (("width", "width"), ("operation", "op"), ("identity", "identity"), ("commit_ts", "commit_ts")):
+    _rule_query(_rule, _name)
 
 
 @query(
