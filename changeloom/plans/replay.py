@@ -8,6 +8,7 @@ the merge and the progress read narrow columns of the landed Parquet.
 from __future__ import annotations
 
 import json
+import time
 from collections import defaultdict
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -54,6 +55,19 @@ class Result:
     checkpoint: int | None
     skipped: str | None = None
     stats: DataFrame | None = None
+    seconds: dict[str, float] = field(default_factory=dict)
+
+
+class Clock:
+    """Seconds per phase of a run."""
+
+    def __init__(self):
+        self.seconds, self._last = {}, time.perf_counter()
+
+    def mark(self, phase: str) -> None:
+        now = time.perf_counter()
+        self.seconds[phase] = round(now - self._last, 3)
+        self._last = now
 
 
 def column_pairs(columns: Sequence[Row]) -> list[tuple[str, str]]:
@@ -467,16 +481,21 @@ def apply_log(
     spark: SparkSession, root: str, store: StateStore, options: Options, tables: list[Row] | None = None
 ) -> Result:
     """One batch run of the change log up to its checkpoint."""
-    current = store.latest_run()
+    clock, current = Clock(), store.latest_run()
     plan = plan_log(spark, root, store, current, options, tables)
+    clock.mark("plan")
     if isinstance(plan, Result):
+        plan.seconds = clock.seconds
         return plan
     if options.strict and plan.range_rows:
         there = list_files(spark, sorted({r.data_dir for r in plan.range_rows}), "CDC*.csv")
         missing = checks.missing_files(log.expand_files(plan.ranges), there)
         checks.raise_if_any(missing.select("path"), "change files named by an index are missing")
     landed, skipped = land_run(spark, root, store, current + 1, plan, options)
+    clock.mark("land")
     result = apply_run(spark, store, current, plan, landed, options)
+    clock.mark("apply")
+    result.seconds = clock.seconds
     counts = [(*k, "skipped", n) for k, n in skipped.items() if n]
     if counts:
         kind = "source_schema string, source_table string, operation string, n_operations bigint"
@@ -536,9 +555,13 @@ def replay(spark: SparkSession, root: str, out: str, *, buckets: int = 64, **opt
     """
     settings = Options(**options)
     store = StateStore(spark, out, buckets)
+    clock = Clock()
     tables = managed_tables(spark, root, settings)
     load_snapshot(spark, root, store, settings, tables)
-    return apply_log(spark, root, store, settings, tables)
+    clock.mark("snapshot")
+    result = apply_log(spark, root, store, settings, tables)
+    result.seconds = clock.seconds | result.seconds
+    return result
 
 
 def read_changes(

@@ -118,6 +118,9 @@ def test_insert_update_delete_over_two_files(spark, workspace, out):
     assert state(spark, out) == [(2, "Bob")]
     stats = {(r.operation): r.n_operations for r in result.stats.collect()}
     assert stats == {"upsert": 3, "delete": 1}
+    assert set(result.seconds) == {"snapshot", "plan", "land", "apply"}
+    files = spark.read.parquet(f"{out}/runs/2/files").orderBy("file_index").collect()
+    assert [(f.n_upserts, f.n_deletes, f.applied_ts) for f in files] == [(2, 0, 121), (1, 1, 123)]
     stream = cl.StateStore(spark, out).streams().collect()
     assert [(s.table_version, s.last_date, s.last_file_index, s.last_commit_ts) for s in stream] == [(120, "2026-05-25", 2, 123)]
 
