@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, language, quality_rules, token_counts, toxicity, url_filter
+from . import (
+    byte_bpe,
+    chat_format,
+    decontaminate,
+    jaccard_join,
+    language,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from .tables import remainder, table
 
 #: tokens from which on a document is over the limit of op8
@@ -26,6 +38,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = substring_dedup.dedup(table(spark, sf_dir, "documents"), joined=True)
+    return rest.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 4) == 2
@@ -33,6 +50,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -58,12 +79,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     name: fn for name, fn in list(globals().items()) if name.startswith("op") and name[2].isdigit()
-}
+} | {"pipeline": pipeline}
 
 ORACLES = {
     "op1_quality_rules": quality_rules.sql(),
+    "op3_substring_dedup": substring_dedup.SQL,
+    "op5_jaccard_join": jaccard_join.SQL,
     "op6_decontamination": decontaminate.SQL,
     "op7_chat_format": chat_format.SQL,
     "op9_url_filter": url_filter.sql(),
