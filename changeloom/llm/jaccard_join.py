@@ -133,6 +133,8 @@ def _candidates(threshold: float, tolerance: float):
             else:
                 one, two = np.flatnonzero(block == g["p"][0]), np.flatnonzero(block == g["q"][0])
                 i, j = (x.ravel() for x in np.meshgrid(one, two, indexing="ij"))
+            if not len(i):
+                continue
             found: list[tuple[np.ndarray, np.ndarray]] = []
             for k in range(0, len(i), 1 << 15):
                 x, y = i[k : k + (1 << 15)], j[k : k + (1 << 15)]

@@ -2,9 +2,9 @@
 
 Rules vote for (1) or against (-1) a document or abstain (0). How often each pattern of votes occurs is
 counted over all documents; there are at most 3 to the number of rules patterns, whatever the input.
-Expectation-maximisation over these counts estimates each rule's accuracy and the share of good
-documents, in one SQL expression. A document's quality is the posterior probability of its pattern; it is
-kept from ``KEEP`` on, so that one rule alone doesn't reject it.
+Expectation-maximisation over these counts estimates each rule's accuracy on good documents (its votes
+are for), its accuracy on bad ones (against) and the share of good documents, in one SQL expression. A
+document's quality is the posterior probability of its pattern; it is kept from ``KEEP`` on.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text. Windows of three words are compared by 64-bit hashes.
 
@@ -20,12 +20,15 @@ from pyspark.sql import functions as F
 from .tables import written
 
 SYMBOLS = "#*$%&|<>"
+#: ASCII punctuation
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 BLANKS = " \t\n\x0b\x0c\r"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 ROUNDS = 20
 KEEP = 0.5
 #: starting values and limits of the estimates
-FIRST_ACCURACY, LEAST, MOST = 0.8, 0.55, 0.99
+FIRST_GOOD, FIRST_BAD = 0.98, 0.4
+LEAST_GOOD, LEAST_BAD, MOST = 0.98, 0.1, 0.999
 FIRST_SHARE = 0.8
 
 #: name, condition of a vote for, condition of a vote against (SQL over the measures)
@@ -36,6 +39,7 @@ RULES = (
     ("lines", "n_dup_lines = 0", "4 * n_dup_lines > n_lines"),
     ("repeats", "10 * n_repeat_words <= n_words", "3 * n_repeat_words > n_words"),
     ("capitals", "20 * n_capitals <= word_chars", "2 * n_capitals > word_chars"),
+    ("punctuation", "100 * n_punct <= 6 * word_chars", "100 * n_punct > 10 * word_chars"),
     ("marks", "50 * n_marks <= n_words", "5 * n_marks > n_words"),
 )
 
@@ -93,6 +97,7 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _repeat_words(F.col("words")).alias("n_repeat_words"),
         (F.length(text) - _without(text, capitals)).cast("bigint").alias("n_capitals"),
+        (F.length(text) - _without(text, PUNCTUATION)).cast("bigint").alias("n_punct"),
         (F.length(text) - _without(text, "!")).cast("bigint").alias("n_marks"),
     )
 
@@ -115,14 +120,18 @@ def posterior(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> Da
     )
     every = F.col("all")
     first = F.struct(
-        F.lit(FIRST_SHARE).alias("share"), F.array(*[F.lit(FIRST_ACCURACY)] * k).alias("accuracy")
+        F.lit(FIRST_SHARE).alias("share"),
+        F.array(*[F.lit(FIRST_GOOD)] * k).alias("good"),
+        F.array(*[F.lit(FIRST_BAD)] * k).alias("bad"),
     )
 
     def quality(state: Column, v: Column) -> Column:
         log_odds = F.log(state["share"] / (1 - state["share"]))
         for j in range(k):
-            a = state["accuracy"][j]
-            log_odds = log_odds + v[j] * F.log(a / (1 - a))
+            good, bad = state["good"][j], state["bad"][j]
+            log_odds = log_odds + F.when(v[j] == 1, F.log(good / (1 - bad))).when(
+                v[j] == -1, F.log((1 - good) / bad)
+            ).otherwise(0.0)
         return 1 / (1 + F.exp(-log_odds))
 
     def total(rows: Column, value) -> Column:
@@ -136,16 +145,15 @@ def posterior(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> Da
         def estimates(rows: Column) -> Column:
             share = (total(rows, lambda r: r["n"] * r["q"]) + 1) / (total(rows, lambda r: r["n"]) + 2)
 
-            def accuracy(j: int) -> Column:
-                right = total(
-                    rows,
-                    lambda r: F.when(r["v"][j] == 1, r["n"] * r["q"]).when(r["v"][j] == -1, r["n"] * (1 - r["q"])).otherwise(0.0),
-                )
-                cast = total(rows, lambda r: F.when(r["v"][j] != 0, r["n"]).otherwise(0.0))
-                return F.greatest(F.lit(LEAST), F.least(F.lit(MOST), (right + 2 * FIRST_ACCURACY) / (cast + 2)))
+            def accuracy(j: int, of, vote: int, first: float, least: float) -> Column:
+                right = total(rows, lambda r: F.when(r["v"][j] == vote, of(r)).otherwise(0.0))
+                cast = total(rows, lambda r: F.when(r["v"][j] != 0, of(r)).otherwise(0.0))
+                return F.greatest(F.lit(least), F.least(F.lit(MOST), (right + 2 * first) / (cast + 2)))
 
+            good = [accuracy(j, lambda r: r["n"] * r["q"], 1, FIRST_GOOD, LEAST_GOOD) for j in range(k)]
+            bad = [accuracy(j, lambda r: r["n"] * (1 - r["q"]), -1, FIRST_BAD, LEAST_BAD) for j in range(k)]
             limited = F.greatest(F.lit(0.01), F.least(F.lit(0.99), share))
-            return F.struct(limited.alias("share"), F.array(*[accuracy(j) for j in range(k)]).alias("accuracy"))
+            return F.struct(limited.alias("share"), F.array(*good).alias("good"), F.array(*bad).alias("bad"))
 
         return F.element_at(F.transform(F.array(rated), estimates), 1)
 
@@ -181,13 +189,20 @@ def sql(rules=RULES, rounds: int = ROUNDS) -> str:
         f"CASE WHEN {good} THEN 1 WHEN {bad} THEN -1 ELSE 0 END AS v{j}" for j, (_, good, bad) in enumerate(rules)
     )
     vs = ", ".join(f"v{j}" for j in k)
-    log_odds = "ln(share / (1 - share))" + "".join(f" + v{j} * ln(a{j} / (1 - a{j}))" for j in k)
+    log_odds = "ln(share / (1 - share))" + "".join(
+        f" + CASE v{j} WHEN 1 THEN ln(g{j} / (1 - b{j})) WHEN -1 THEN ln((1 - g{j}) / b{j}) ELSE 0 END" for j in k
+    )
     quality = f"1 / (1 + exp(-({log_odds})))"
-    steps = [f"e0 AS (SELECT {FIRST_SHARE}::DOUBLE AS share, {', '.join(f'{FIRST_ACCURACY}::DOUBLE AS a{j}' for j in k)})"]
+    start = ", ".join(f"{FIRST_GOOD}::DOUBLE AS g{j}, {FIRST_BAD}::DOUBLE AS b{j}" for j in k)
+    steps = [f"e0 AS (SELECT {FIRST_SHARE}::DOUBLE AS share, {start})"]
+
+    def accuracy(j: int, name: str, of: str, vote: int, first: float, least: float) -> str:
+        right, cast = (f"sum(CASE WHEN v{j} {test} THEN {of} ELSE 0 END)" for test in (f"= {vote}", "<> 0"))
+        return f"greatest({least}, least({MOST}, ({right} + {2 * first}) / ({cast} + 2)))::DOUBLE AS {name}{j}"
+
     for r in range(1, rounds + 1):
         accuracies = ", ".join(
-            f"greatest({LEAST}, least({MOST}, (sum(CASE WHEN v{j} = 1 THEN n * q WHEN v{j} = -1 THEN n * (1 - q) ELSE 0 END) + {2 * FIRST_ACCURACY})"
-            f" / (sum(CASE WHEN v{j} <> 0 THEN n ELSE 0 END) + 2)))::DOUBLE AS a{j}"
+            accuracy(j, "g", "n * q", 1, FIRST_GOOD, LEAST_GOOD) + ", " + accuracy(j, "b", "n * (1 - q)", -1, FIRST_BAD, LEAST_BAD)
             for j in k
         )
         steps.append(
@@ -216,6 +231,7 @@ WITH d AS (
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words,
          CAST(length(text) - {gone('text', 'A-Z')} AS BIGINT) AS n_capitals,
+         CAST(length(text) - {gone('text', r'!-/:-@\[-`{-~')} AS BIGINT) AS n_punct,
          CAST(length(text) - {gone('text', '!')} AS BIGINT) AS n_marks
   FROM d LEFT JOIN rep USING (row)
 ), vot AS MATERIALIZED (
@@ -226,6 +242,6 @@ WITH d AS (
 , f AS (
   SELECT *, round({quality}, 6) AS quality, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM vot, e{rounds}
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_capitals, n_marks, {names},
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_capitals, n_punct, n_marks, {names},
        quality, base_failed, NOT base_failed AND quality >= {KEEP} AS kept
 FROM f"""
