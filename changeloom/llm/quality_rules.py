@@ -6,7 +6,8 @@ Expectation-maximisation over these counts estimates each rule's accuracy on goo
 are for), its accuracy on bad ones (against) and the share of good documents, in one SQL expression. A
 document's quality is the posterior probability of its pattern; it is kept from ``KEEP`` on.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text. Windows of three words are compared by 64-bit hashes.
+Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text. Windows of three words are found by hashes and compared
+word by word.
 
 Defined results: null and empty texts have no words and fail the base rules; with an empty table there are no
 rows; repeated rows are judged (and counted) each; other columns are ignored.
@@ -19,11 +20,14 @@ from pyspark.sql import functions as F
 
 from .tables import written
 
-SYMBOLS = "#*$%&|<>"
+# characters, as in a bracket of a regular expression
+SYMBOLS = r"#*$%&|<>"
 #: ASCII punctuation
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-BLANKS = " \t\n\x0b\x0c\r"
+PUNCTUATION = r"!-/:-@\[-`{-~"
+BLANKS = r"\x20\x09-\x0D"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
+#: bits for a window's place in its text, and in a text with more windows; the other bits are for its hash
+PLACE_BITS, MOST_BITS = 24, 31
 ROUNDS = 20
 KEEP = 0.5
 #: starting values and limits of the estimates
@@ -44,37 +48,45 @@ RULES = (
 )
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
+def _repeat_words(words: Column, ordered: Column, bits: int) -> Column:
+    """Words in 3-word windows that occur twice or more, from the windows as :func:`_windows` has them."""
+    hashed = F.shiftrightunsigned
 
+    def again(x: Column, i: Column) -> Column:
+        """Equal hashes stand side by side; the words decide."""
+        here = x.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
-def _repeat_words(words: Column) -> Column:
-    """Words in 3-word windows that occur twice or more."""
-    n = F.size(words) - 2
-    windows = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")),
-    )
-    ordered = F.sort_array(windows)
-    # of equal neighbours in that order, the places
-    start = F.struct(F.lit(None).cast("bigint").alias("h"), F.lit(None).cast("int").alias("i"))
-
-    def places(rows: Column) -> Column:
-        before = F.concat(F.array(start), F.slice(rows, 1, n - 1))
-        after = F.concat(F.slice(rows, 2, n), F.array(start))
-        kept = F.filter(
-            F.arrays_zip(rows.alias("x"), before.alias("b"), after.alias("a")),
-            lambda z: F.coalesce(z["x"]["h"] == z["b"]["h"], F.lit(False)) | F.coalesce(z["x"]["h"] == z["a"]["h"], F.lit(False)),
-        )
-        return F.sort_array(F.transform(kept, lambda z: z["x"]["i"]))
+        def same(other: Column) -> Column:
+            there = other.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+            equal = [F.get(words, here + k) == F.get(words, there + k) for k in range(3)]
+            return (hashed(x, bits) == hashed(other, bits)) & equal[0] & equal[1] & equal[2]
+
+        nothing = F.lit(False)
+        return F.coalesce(same(F.get(ordered, i + 1)), nothing) | F.coalesce(same(F.get(ordered, i - 1)), nothing)
 
-    covered = F.aggregate(
-        places(ordered),
+    places = F.sort_array(F.transform(F.filter(ordered, again), lambda x: x.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")))
+    return F.aggregate(
+        places,
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last")),
         lambda s, i: F.struct((s["n"] + F.least(F.lit(3), i - s["last"])).alias("n"), i.alias("last")),
         lambda s: s["n"],
     )
-    return F.when(n >= 2, covered).otherwise(F.lit(0).cast("bigint"))
+
+
+def _windows(words: Column, bits: int) -> Column:
+    """Hash (upper bits) and place (lower bits) of each 3-word window, ordered."""
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.size(words) - 3),
+        lambda i: F.shiftleft(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits).bitwiseOR(
+            i.cast("bigint")
+        ),
+    )
+    return F.sort_array(hashes)
+
+
+def _by_length(few: Column, many: Column, none: Column) -> Column:
+    n = F.size("words") - 2
+    return F.when(n < 2, none).when(n <= 1 << PLACE_BITS, few).otherwise(many)
 
 
 def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,21 +96,29 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = rows.select(
         "id",
         "text",
-        F.regexp_extract_all(text, F.lit(f"{NOT_BLANK}+"), F.lit(0)).alias("words"),
+        F.array_remove(F.split(F.regexp_replace(text, r"[\x09-\x0D]", " "), " "), "").alias("words"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(NOT_BLANK)).alias("lines"),
     )
-    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words, windows = F.col("words"), F.col("windows")
+    none = F.array().cast("array<bigint>")
+    rows = rows.withColumn("windows", _by_length(_windows(words, PLACE_BITS), _windows(words, MOST_BITS), none))
+
+    def count(characters: str) -> Column:
+        return F.regexp_count(text, F.lit(f"[{characters}]")).cast("bigint")
+
     return rows.select(
         "id",
         F.size("words").cast("bigint").alias("n_words"),
-        _without(text, BLANKS).cast("bigint").alias("word_chars"),
-        (F.length(text) - _without(text, SYMBOLS)).cast("bigint").alias("n_symbols"),
+        (F.length(text) - count(BLANKS)).alias("word_chars"),
+        count(SYMBOLS).alias("n_symbols"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        _repeat_words(F.col("words")).alias("n_repeat_words"),
-        (F.length(text) - _without(text, capitals)).cast("bigint").alias("n_capitals"),
-        (F.length(text) - _without(text, PUNCTUATION)).cast("bigint").alias("n_punct"),
-        (F.length(text) - _without(text, "!")).cast("bigint").alias("n_marks"),
+        _by_length(
+            _repeat_words(words, windows, PLACE_BITS), _repeat_words(words, windows, MOST_BITS), F.lit(0).cast("bigint")
+        ).alias("n_repeat_words"),
+        count("A-Z").alias("n_capitals"),
+        count(PUNCTUATION).alias("n_punct"),
+        count("!").alias("n_marks"),
     )
 
 
@@ -225,13 +245,13 @@ WITH d AS (
   GROUP BY row
 ), m AS (
   SELECT row, doc_id, CAST(len(words) AS BIGINT) AS n_words,
-         CAST({gone('text', r'\x20\x09-\x0D')} AS BIGINT) AS word_chars,
-         CAST(length(text) - {gone('text', '#*$%&|<>')} AS BIGINT) AS n_symbols,
+         CAST({gone('text', BLANKS)} AS BIGINT) AS word_chars,
+         CAST(length(text) - {gone('text', SYMBOLS)} AS BIGINT) AS n_symbols,
          CAST(len(lines) AS BIGINT) AS n_lines,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words,
          CAST(length(text) - {gone('text', 'A-Z')} AS BIGINT) AS n_capitals,
-         CAST(length(text) - {gone('text', r'!-/:-@\[-`{-~')} AS BIGINT) AS n_punct,
+         CAST(length(text) - {gone('text', PUNCTUATION)} AS BIGINT) AS n_punct,
          CAST(length(text) - {gone('text', '!')} AS BIGINT) AS n_marks
   FROM d LEFT JOIN rep USING (row)
 ), vot AS MATERIALIZED (

@@ -99,7 +99,9 @@ def test_components(spark):
 # --- quality rules ---------------------------------------------------------------------------
 
 
-def test_quality_rules(spark):
+@pytest.mark.parametrize("bits", [24, 3])
+def test_quality_rules(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality_rules, "PLACE_BITS", bits)
     docs = odd_documents() + [(3, "again\nagain\nagain"), (None, None)]
     rows = quality_rules.judge(frame(spark, docs)).collect()
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
