@@ -95,10 +95,22 @@ def table_selected(schema: Column, table: Column, rules: Sequence[str]) -> Colum
 
 
 def natural_order(name: Column) -> Column:
-    """Sort text in which runs of digits compare as numbers (``x.2`` before ``x.10``)."""
-    parts = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
-    padded = F.transform(parts, lambda p: F.when(p.rlike(r"^\d+$"), F.lpad(p, 20, "0")).otherwise(p))
-    return F.array_join(padded, "")
+    """Sort text in which runs of digits, however long, compare as numbers (``x.2`` before ``x.10``).
+
+    A run is written without leading zeros behind its number of digits.
+    """
+    parts = F.regexp_extract_all(name, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
+
+    def numbered(run: Column) -> Column:
+        digits = F.regexp_replace(run, "^0+(?=[0-9])", "")
+        return F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), F.lit(":"), digits)
+
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^[0-9]+$"), numbered(p)).otherwise(p)), "")
+
+
+def literal_path(path: str) -> str:
+    """A path for Spark's readers, which take some characters for patterns."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def file_name(path: Column) -> Column:

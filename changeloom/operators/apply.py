@@ -80,8 +80,12 @@ def dedupe_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return _last(rows, keys, order)
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def not_among(rows: DataFrame, changed: DataFrame, keys: Sequence[str], changed_keys: Sequence[str] | None = None) -> DataFrame:
+    """Rows whose key is not among the changed ones; keys that are NULL are equal."""
+    other = [f"_same{i}" for i in range(len(keys))]
+    gone = changed.select(*[F.col(f"`{k}`").alias(o) for k, o in zip(changed_keys or keys, other)])
+    match = [F.col(f"`{k}`").eqNullSafe(F.col(o)) for k, o in zip(keys, other)]
+    return rows.join(gone, reduce(lambda a, b: a & b, match), "left_anti")
 
 
 def current_state(
@@ -98,7 +102,7 @@ def current_state(
     join cannot skew.
     """
     latest = latest_per_key(changes, keys, commit_order)
-    kept = previous.join(latest.select(*keys), list(keys), "left_anti")
+    kept = not_among(previous, latest, keys)
     wanted = [
         (F.col(c) if c in latest.columns else F.lit(None).cast(previous.schema[c].dataType)).alias(c)
         for c in previous.columns

@@ -13,8 +13,9 @@ from ..local import local_frame
 TABLE = ("source_schema", "source_table")
 
 
-# facts up to this many rows, a few megabytes, are broadcast
+# facts up to this many rows and bytes (as JSON text) are broadcast
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 8_000_000
 SPREAD = 32
 
 
@@ -27,17 +28,19 @@ def attach_facts(
 ) -> DataFrame:
     """Join many rows with few facts; ``facts`` holds one row per key.
 
-    The facts are fetched first, one row more than the limit at most, unless the caller made them
-    on the driver and passes their number. Within the limit they are broadcast, so the many rows
+    The facts are counted and measured first, and fetched if they are within both limits, unless the
+    caller made them on the driver and passes their number. Within the limits they are broadcast, so the many rows
     stay where they are; a plan made from estimates would often shuffle those first and find out
     later that it had no need to. Past the limit the join shuffles, with each key spread over
     ``SPREAD`` parts, because one table may hold a third of all rows.
     """
     if n_facts is None:
-        fetched = facts.limit(BROADCAST_ROWS + 1).collect()
-        n_facts = len(fetched)
+        size = facts.agg(
+            F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")
+        ).first()
+        n_facts = size.n if size.bytes <= BROADCAST_BYTES else BROADCAST_ROWS + 1
         if n_facts <= BROADCAST_ROWS:
-            facts = local_frame(rows.sparkSession, fetched, facts.schema)
+            facts = local_frame(rows.sparkSession, facts.collect(), facts.schema)
     if n_facts <= BROADCAST_ROWS:
         return rows.join(F.broadcast(facts), list(on), how)
     return spread_join(rows, facts, on, how)

@@ -44,7 +44,7 @@ DECLARED = [
     ("mediumint(9)", "INT", "int"), ("int(11)", "INT", "int"), ("INTEGER", "INT", "int"),
     ("int(10) unsigned", "INT", "bigint"), ("bigint", "LONG", "bigint"),
     ("bigint(20) unsigned", "LONG", "decimal(20,0)"), ("decimal(12,2)", "DECIMAL", "decimal(12,2)"),
-    ("numeric(5)", "DECIMAL", "decimal(5,0)"), ("newdecimal", "DECIMAL", "decimal(10,0)"),
+    ("numeric(5)", "DECIMAL", "decimal(5,0)"), ("newdecimal", "DECIMAL", "decimal(38,18)"),
     ("decimal(65,30)", "DECIMAL", "string"), ("float", "FLOAT", "float"),
     ("double", "DOUBLE", "double"), ("real", "DOUBLE", "double"), ("date", "NAIVE_DATE", "date"),
     ("datetime(3)", "NAIVE_DATETIME", "timestamp_ntz"), ("timestamp(6)", "UTC_DATETIME", "timestamp"),
@@ -288,11 +288,14 @@ def table_filter_rules(spark, sf):
 
 @query(
     "natural_order",
-    """SELECT p_partkey, 'part.' || lpad(CAST(p_size AS VARCHAR), 20, '0') || '.x' ||
-      lpad(CAST(p_partkey AS VARCHAR), 20, '0') || '.csv' AS order_text FROM part""",
+    """SELECT p_partkey, 'part.' || lpad(CAST(1 + p_partkey % 40 AS VARCHAR), 10, '0') || ':' || repeat('7', CAST(1 + p_partkey % 40 AS INTEGER)) || '.x' ||
+      lpad(CAST(len(CAST(p_partkey AS VARCHAR)) AS VARCHAR), 10, '0') || ':' || p_partkey || '.csv' AS order_text FROM part""",
 )
 def natural_order(spark, sf):
-    name = F.concat(F.lit("part."), F.col("p_size").cast("string"), F.lit(".x"), F.col("p_partkey").cast("string"), F.lit(".csv"))
+    key = F.col("p_partkey")
+    digits = F.repeat(F.lit("7"), (1 + key % 40).cast("int"))
+    zeros = F.repeat(F.lit("0"), (key % 3).cast("int"))
+    name = F.concat(F.lit("part."), zeros, digits, F.lit(".x"), zeros, key.cast("string"), F.lit(".csv"))
     return table(spark, sf, "part").select("p_partkey", names.natural_order(name).alias("order_text"))
 
 
@@ -476,7 +479,7 @@ def _definition_texts(spark, sf):
 @query(
     "schema_registry",
     """SELECT p_partkey, CAST(p_partkey % 30 AS INTEGER) AS ddl_type, 'q ' || p_partkey AS query,
-      CASE p_partkey % 4 WHEN 0 THEN 'a INT,b STRING' WHEN 1 THEN 'a BIGINT,b JSON'
+      CASE p_partkey % 4 WHEN 0 THEN 'a INT,b STRING' WHEN 1 THEN 'a INT,b JSON'
         ELSE 'a 3,b TEXT' END AS column_list FROM part WHERE p_partkey % 50 <> 49""",
 )
 def schema_registry(spark, sf):

@@ -216,8 +216,8 @@ def _table(spark, root, name):
 
 @query(
     "snapshot_files",
-    """SELECT DISTINCT 'snapshot/app.e_view.' || CASE c_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 10 ELSE 11 END || '.csv' AS path
-      FROM customer, (SELECT max(event_id) + 1 AS n FROM events) WHERE n < 2500000""",
+    """SELECT DISTINCT 'snapshot/app.e_view.' || (k + CASE WHEN k < 2 THEN 1 ELSE 8 END) || '.csv' AS path
+      FROM (SELECT c_custkey % (4 + n // 500000) AS k FROM customer, (SELECT max(event_id) + 1 AS n FROM events))""",
 )
 def snapshot_files(spark, sf):
     root = ws.write_workspace(spark, sf)

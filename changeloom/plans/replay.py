@@ -14,11 +14,11 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import spark_type
+from ..functions.types import bad_values, spark_type
 from ..local import local_frame
 from ..operators import apply as ap
 from ..operators import checks, progress
@@ -44,6 +44,7 @@ class Options:
     diagnostics: str | None = None
     on_error: str = "raise"
     parallel_tables: int = 4
+    type_keys: Sequence[str] = ()
     coercion: dict = field(default_factory=dict)
 
 
@@ -137,6 +138,23 @@ def read_snapshot(spark: SparkSession, root: str, table: Row, options: Options |
     return ap.dedupe_rows(keyed, aliases, snap.FILE_ORDER).select("data.*")
 
 
+def snapshot_quarantined(spark: SparkSession, root: str, table: Row, options: Options) -> DataFrame:
+    """Rows of the wrong width and unreadable values of a snapshot, in the shape of :func:`quarantined`."""
+    pairs = column_pairs(table.columns)
+    named = snap.read_named(spark, root, table.file_stem, [n for n, _ in pairs], options.multiline)
+    named = named.withColumns({
+        "source_schema": F.lit(table.source_schema), "source_table": F.lit(table.source_table),
+        "table_version": F.lit(0).cast("bigint"),
+    })
+    place = [*TABLE, "table_version", "path", "block_start", "row_seq"]
+    width = snap.wrong_width(named, "c0").select(*place, F.lit("width").alias("rule"), F.col("record"))
+    good = named.where(F.col(snap.BAD_RECORD).isNull() & (F.col("row_seq") >= 0))
+    raw = {name: F.col(f"c{i}") for i, (name, _) in enumerate(pairs)}
+    found = bad_values(good, raw, dict(pairs), place, **options.coercion)
+    rule = F.concat(F.lit("value of "), "column_name", F.lit(" as "), "source_type")
+    return width.unionByName(found.select(*place, rule.alias("rule"), F.col("raw_value").alias("record")))
+
+
 def managed_tables(spark: SparkSession, root: str, options: Options) -> list[Row]:
     """Catalog rows of the chosen tables; two tables must not share an output name."""
     tables = cat.catalog(spark, root, options.tables, options.strict).collect()
@@ -267,6 +285,7 @@ class Plan:
     truncated: dict[tuple[str, str], int]
     ranges: DataFrame
     range_rows: list[Row]
+    streams: DataFrame | None = None
 
     def touched(self) -> set[tuple[str, str]]:
         """Tables with files to read."""
@@ -277,10 +296,39 @@ class Plan:
         return local_frame(spark, rows, "source_schema string, source_table string, lower_ts bigint")
 
     def lower(self, key: tuple[str, str]) -> int:
-        """Everything up to the last checkpoint of the table is in its state already."""
+        """Rows up to the last checkpoint are in the state, if their file was named by the index then."""
         row = self.saved.get(key)
         return max(self.position, row.checkpoint if row is not None else 0)
 
+    def with_lower(self, rows: DataFrame) -> DataFrame:
+        """Add ``lower_ts``, the bound below which a row is in the state already.
+
+        It is the snapshot's position for files that no run has seen, and the checkpoint for others, which a
+        run may have applied in part.
+        """
+        bounded = attach_facts(rows, self.lowers(rows.sparkSession), n_facts=len(self.tables))
+        if self.streams is None:
+            return bounded
+        place = F.struct("date", "file_index")
+        newest = F.struct(F.col("latest_date").alias("date"), F.col("latest_index_file_index").alias("file_index"))
+        joined = attach_facts(bounded, self.streams.select(*ap.STREAM, newest.alias("_seen")), ap.STREAM)
+        seen = F.coalesce(place <= F.col("_seen"), F.lit(False))
+        return joined.withColumn("lower_ts", F.when(seen, F.col("lower_ts")).otherwise(self.position)).drop("_seen")
+
+    def without_absent(self, absent: DataFrame) -> None:
+        """Let every stream end before its first absent file."""
+        kind = "struct<date:string,file_index:bigint>"
+        first = absent.groupBy(*ap.STREAM).agg(F.min(F.struct("date", "file_index").cast(kind)).alias("_absent"))
+        kept = attach_facts(self.ranges, first, ap.STREAM)
+        whole = F.col("_absent").isNull() | (F.col("date") < F.col("_absent.date"))
+        last = F.when(whole, F.col("latest_file_index")).when(
+            F.col("date") == F.col("_absent.date"), F.col("_absent.file_index") - 1
+        )
+        kept = kept.withColumn("latest_file_index", last).drop("_absent")
+        kept = kept.where("latest_file_index >= first_file_index")
+        self.range_rows = kept.collect()
+        self.ranges = local_frame(absent.sparkSession, self.range_rows, kept.schema)
+
 
 def by_table(rows) -> dict[tuple[str, str], Row]:
     return {(r.source_schema, r.source_table): r for r in rows}
@@ -303,6 +351,9 @@ def load_snapshot(
     def load(table: Row):
         schema = table_schema(table, [], options)
         rows = read_snapshot(spark, root, table, options).select(*schema.fieldNames())
+        if options.on_error != "raise":
+            bad = snapshot_quarantined(spark, root, table, options)
+            bad.write.mode("overwrite").parquet(f"{store.out}/quarantine/{run}/{table.target_table}")
         return table, schema, store.write_buckets(rows, table.target_table, run, table.primary_key)
 
     with ThreadPoolExecutor(options.parallel_tables) as pool:
@@ -341,13 +392,13 @@ def plan_log(
     if upper is None:
         return Result(current, None, "there is no change log yet")
     streams = store.streams(current)
-    if all(r.checkpoint == upper for r in done) and not progress.pending_work(streams).first().pending:
+    if options.strict and all(r.checkpoint == upper for r in done) and not progress.pending_work(streams).first().pending:
         return Result(current, upper, "nothing is new")
     scope = [(t.source_schema, t.source_table) for t in tables]
     if options.strict_unknown_files:
         checks.raise_if_any(log.unknown_files(spark, root, scope), "unknown files beside the definitions")
     managed = local_frame(spark, scope, "source_schema string, source_table string")
-    found = reg.registry(spark, root, managed, upper, options.strict, scope)
+    found = reg.registry(spark, root, managed, upper, options.strict, scope, options.type_keys)
     catalog_rows = local_frame(spark, 
         [(*k, t.columns) for k, t in by_table(tables).items()],
         "source_schema string, source_table string, "
@@ -368,10 +419,12 @@ def plan_log(
     ranges = find_ranges(spark, root, [(*k, d.table_version) for k, ds in grouped.items() for d in ds], streams, options)
     ranges = ranges.drop("path")
     range_rows = ranges.collect()
+    if not range_rows and all(r.checkpoint == upper for r in done):
+        return Result(current, upper, "nothing is new")
     return Plan(
         tables, saved, position, upper, registry, grouped, effective,
         {k: r.truncate_version for k, r in cuts.items()},
-        local_frame(spark, range_rows, ranges.schema), range_rows,
+        local_frame(spark, range_rows, ranges.schema), range_rows, streams,
     )
 
 
@@ -382,11 +435,11 @@ def apply_run(
     """Write the next version of state and progress from landed rows."""
     run = current + 1
     ts = F.col("commit_ts")
+    landed = plan.with_lower(landed)
     if options.strict:
         saved = [(*k, r.last_commit_ts) for k, r in plan.saved.items()]
         carry = local_frame(spark, saved, "source_schema string, source_table string, last_commit_ts bigint")
-        window = attach_facts(landed, plan.lowers(spark), n_facts=len(plan.tables))
-        window = window.where((ts > F.col("lower_ts")) & (ts <= plan.upper))
+        window = landed.where((ts > F.col("lower_ts")) & (ts <= plan.upper))
         checks.raise_if_any(
             checks.commit_order_violations(window, options.commit_order, carry), "commit time goes backwards"
         )
@@ -394,7 +447,7 @@ def apply_run(
 
     def apply_table(table: Row):
         key = (table.source_schema, table.source_table)
-        definitions, lower, saved = plan.definitions.get(key, []), plan.lower(key), plan.saved[key]
+        definitions, saved = plan.definitions.get(key, []), plan.saved[key]
         before = saved.schema
         schema = table_schema(table, [column_pairs(d.columns) for d in definitions], options, before)
         cut = plan.truncated.get(key)
@@ -402,7 +455,7 @@ def apply_run(
         if key not in touched_tables:
             return table, before, buckets
         rows = landed.where(F.col("_target") == table.target_table)
-        window = rows.where(ts.isNull() | ((ts > lower) & (ts <= plan.upper)))
+        window = rows.where(ts.isNull() | ((ts > F.col("lower_ts")) & (ts <= plan.upper))).drop("lower_ts")
         if options.on_error != "raise":
             bad = quarantined(window, definitions, options)
             bad.write.mode("overwrite").parquet(f"{store.out}/quarantine/{run}/{table.target_table}")
@@ -413,21 +466,20 @@ def apply_run(
         aliases = key_aliases(keys)
         keyed = changes.withColumns({a: F.col(f"data.`{k}`") for a, k in zip(aliases, keys)})
         latest = ap.latest_per_key(keyed, aliases, options.commit_order)
-        # written once: it tells which buckets change, and both sides of the merge read it
+        # written once, in one file for each task: it tells which buckets change, and both sides of the merge read it
         path = f"{store.out}/delta/{table.target_table}/{run}"
         delta = latest.select(*aliases, "op", "data").withColumn("_bucket", store.bucket_of(aliases))
-        delta.write.mode("overwrite").partitionBy("_bucket").parquet(path)
-        touched = store.bucket_dirs(path)
+        delta.write.mode("overwrite").parquet(path)
+        delta = spark.read.schema(delta.schema).parquet(path)
+        touched = {r[0] for r in delta.select("_bucket").distinct().collect()}
         if any(f.dataType != schema[f.name].dataType for f in before.fields):
             touched |= set(buckets)  # a column was widened: all rows move to the new type
         if touched:
-            delta = spark.read.schema(delta.drop("_bucket").schema).parquet(path)
             stored = store.read_buckets(
                 table.target_table, before, [(b, buckets[b]) for b in sorted(touched) if b in buckets]
             )
             previous = stored.select(F.struct("*").alias("row")).select(*shaped("row", before, schema))
-            match = [F.col(f"`{k}`") == F.col(a) for k, a in zip(keys, aliases)]
-            kept = previous.join(delta.select(*aliases), match, "left_anti")
+            kept = ap.not_among(previous, delta, keys, aliases)
             upserts = delta.where("op <> 'D'").select("data.*")
             written = store.write_buckets(kept.unionByName(upserts), table.target_table, run, keys)
             buckets = {b: r for b, r in buckets.items() if b not in touched} | {b: run for b in written}
@@ -440,8 +492,7 @@ def apply_run(
 
 def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) -> Result:
     """Progress and statistics of a change-log run, then its switch."""
-    rows = landed.select(*ap.STREAM, "date", "file_index", "commit_ts", "op")
-    rows = attach_facts(rows, plan.lowers(spark), n_facts=len(plan.tables))
+    rows = landed.select(*ap.STREAM, "date", "file_index", "commit_ts", "op", "lower_ts")
     place = [*ap.STREAM, "date", "file_index"]
     named = log.expand_files(plan.ranges).select(*place)
     summary = progress.file_summary(rows, F.col("lower_ts"), plan.upper)
@@ -487,19 +538,20 @@ def apply_log(
     if isinstance(plan, Result):
         plan.seconds = clock.seconds
         return plan
-    if options.strict and plan.range_rows:
+    if plan.range_rows:
         there = list_files(spark, sorted({r.data_dir for r in plan.range_rows}), "CDC*.csv")
         missing = checks.missing_files(log.expand_files(plan.ranges), there)
-        checks.raise_if_any(missing.select("path"), "change files named by an index are missing")
+        if options.strict:
+            checks.raise_if_any(missing.select("path"), "change files named by an index are missing")
+        else:
+            plan.without_absent(missing)
     landed, skipped = land_run(spark, root, store, current + 1, plan, options)
     clock.mark("land")
     result = apply_run(spark, store, current, plan, landed, options)
     clock.mark("apply")
     result.seconds = clock.seconds
-    counts = [(*k, "skipped", n) for k, n in skipped.items() if n]
-    if counts:
-        kind = "source_schema string, source_table string, operation string, n_operations bigint"
-        result.stats = result.stats.unionByName(local_frame(spark, counts, kind))
+    if skipped is not None:
+        result.stats = result.stats.unionByName(skipped)
     return result
 
 
@@ -512,13 +564,17 @@ def with_target(rows: DataFrame, tables: Sequence[Row]) -> DataFrame:
     return attach_facts(rows, targets, how="inner", n_facts=len(tables))
 
 
+# the part of a landing that holds the rows which the lower bound skips; no output table has this name
+SKIPPED = "_skipped"
+
+
 def land_run(
     spark: SparkSession, root: str, store: StateStore, run: int, plan: Plan, options: Options
-) -> tuple[DataFrame, dict[tuple[str, str], int]]:
-    """Land the new rows of a batch run; also the rows that the lower bound skips.
+) -> tuple[DataFrame, DataFrame | None]:
+    """Land the new rows of a batch run; also the number of rows per table that the lower bound skips.
 
-    The counts come from an observation of the write itself, not from another pass: per table,
-    or in one sum when there are many tables, as each count looks at every row.
+    Skipped rows are landed too, without their values and in a part of their own, so the count needs no
+    second pass over the change files.
     """
     def paths_of(versions: set) -> list[str]:
         return range_paths([r for r in plan.range_rows if (r.source_schema, r.source_table, r.table_version) in versions])
@@ -526,24 +582,20 @@ def land_run(
     definitions = [d for ds in plan.definitions.values() for d in ds]
     rows = read_landing_rows(spark, root, definitions, paths_of, options)
     if rows is None:
-        return local_frame(spark, [], log.LANDED_SCHEMA), {}
+        return local_frame(spark, [], log.LANDED_SCHEMA), None
     rows = with_target(in_ranges(rows, plan.ranges, len(plan.range_rows)), plan.tables)
-    rows = attach_facts(rows, plan.lowers(spark), n_facts=len(plan.tables))
-    ts, skip = F.col("commit_ts"), F.col("commit_ts") <= F.col("lower_ts")
-    seen = Observation()
-    keys = sorted(plan.touched())
-    if len(keys) > 32:
-        keys, counts = [(None, None)], [F.count_if(skip).alias("t0")]
-    else:
-        counts = [
-            F.count_if(skip & (F.col("source_schema") == s) & (F.col("source_table") == t)).alias(f"t{i}")
-            for i, (s, t) in enumerate(keys)
-        ]
+    rows = plan.with_lower(rows)
+    skip = F.coalesce(F.col("commit_ts") <= F.col("lower_ts"), F.lit(False))
     path = f"{store.out}/landing/run-{run}"
-    rows = rows.observe(seen, *counts).where(ts.isNull() | ~skip).drop("lower_ts")
+    rows = rows.withColumns({
+        "_target": F.when(skip, F.lit(SKIPPED)).otherwise(F.col("_target")),
+        **{c: F.when(~skip, F.col(c)) for c in ("row_values", "record")},
+    }).drop("lower_ts")
     rows.write.mode("overwrite").partitionBy("_target").parquet(path)
     landed = spark.read.schema(log.LANDED_SCHEMA).parquet(path)
-    return landed, {k: seen.get[f"t{i}"] for i, k in enumerate(keys)}
+    skipped = landed.where(F.col("_target") == SKIPPED).groupBy(*TABLE).agg(F.count("*").alias("n_operations"))
+    skipped = skipped.withColumn("operation", F.lit("skipped"))
+    return landed.where(F.col("_target") != SKIPPED), skipped
 
 
 def replay(spark: SparkSession, root: str, out: str, *, buckets: int = 64, **options) -> Result:
@@ -580,7 +632,7 @@ def read_changes(
         "source_schema string, source_table string, "
         "columns array<struct<name:string,source_type:string,nullable:boolean,pos:int>>",
     )
-    definitions = reg.effective_columns(reg.registry(spark, root, None, upper, options.strict, keys), columns).collect()
+    definitions = reg.effective_columns(reg.registry(spark, root, None, upper, options.strict, keys, options.type_keys), columns).collect()
     baseline = defaultdict(int)
     for d in definitions:
         key = (d.source_schema, d.source_table)

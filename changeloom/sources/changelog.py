@@ -54,7 +54,8 @@ def unknown_files(spark: SparkSession, root: str, scope: Sequence[tuple[str, str
 def _place(parts: Column, n_tail: int, date_separator: str) -> dict[str, Column]:
     """Place columns of a path below the change-log directory, split at ``/``.
 
-    The layout is ``schema/table/version/[partition/][date/]`` and ``n_tail`` more names.
+    The layout is ``schema/table/version/[partition/][date/]`` and ``n_tail`` more names; deeper paths have
+    no partition and are passed over.
     """
     end = F.size(parts) - n_tail
     last = F.get(parts, end - 1)
@@ -64,7 +65,8 @@ def _place(parts: Column, n_tail: int, date_separator: str) -> dict[str, Column]
         dated = dated & last.contains("-")
     is_date = F.coalesce(dated, F.lit(False))
     end = end - F.when(is_date, 1).otherwise(0)
-    part = F.when(end > 3, F.get(parts, end - 1).try_cast("bigint")).otherwise(F.lit(0))
+    number = F.get(parts, F.lit(3))
+    part = F.when((end == 4) & number.rlike("^[0-9]+$"), number.try_cast("bigint")).when(end == 3, F.lit(0))
     return {
         "source_schema": F.get(parts, F.lit(0)),
         "source_table": F.get(parts, F.lit(1)),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import below, percent_decode, plain_path
+from ..functions.names import below, literal_path, percent_decode, plain_path
 from ..local import local_frame
 
 # A text that no writer produces: switches off the CSV reader's own NULL rule.
@@ -42,7 +42,7 @@ def list_files(spark: SparkSession, roots: str | Sequence[str], glob: str | None
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(roots).select(
+    return reader.load([literal_path(r) for r in roots]).select(
         plain_path(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified")
     )
 
@@ -75,7 +75,7 @@ def read_whole_text(spark: SparkSession, roots: str | Sequence[str], glob: str |
     reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.format("text").load(roots).select(source_path().alias("path"), F.col("value").alias("text"))
+    return reader.format("text").load([literal_path(r) for r in roots]).select(source_path().alias("path"), F.col("value").alias("text"))
 
 
 def csv_schema(columns: Sequence[str]) -> T.StructType:
@@ -121,7 +121,7 @@ def read_csv_rows(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     place = [source_path().alias("path"), F.col("_metadata.file_block_start").alias("block_start")]
-    rows = reader.csv(list(roots)).select("*", *place).withColumns(clean_fields(columns))
+    rows = reader.csv([literal_path(r) for r in roots]).select("*", *place).withColumns(clean_fields(columns))
     return number_rows(rows) if numbered else rows
 
 

@@ -49,12 +49,15 @@ def read_fields(spark: SparkSession, root: str, stem: str, n: int, multiline: bo
     return rows.where(is_data_file(relative, stem)).withColumn("file_order", names.natural_order(chunk))
 
 
-def width_violations(fields: DataFrame) -> DataFrame:
+def wrong_width(rows: DataFrame, field: str) -> DataFrame:
+    """Rows with another number of fields than the table, their text in ``record``."""
     # the CSV source refuses plans that read its bad-record column alone
-    with_field = F.length(F.coalesce(F.col("f0"), F.lit(""))) >= 0
-    return fields.where(F.col(BAD_RECORD).isNotNull() & with_field).select(
-        "path", "block_start", "row_seq", F.col(BAD_RECORD).alias("record")
-    )
+    with_field = F.length(F.coalesce(F.col(field), F.lit(""))) >= 0
+    return rows.where(F.col(BAD_RECORD).isNotNull() & with_field).withColumn("record", F.col(BAD_RECORD))
+
+
+def width_violations(fields: DataFrame) -> DataFrame:
+    return wrong_width(fields, "f0").select("path", "block_start", "row_seq", "record")
 
 
 def _fields(n: int) -> Column:

@@ -29,14 +29,19 @@ _LANDED_FILES = "path string, target_table string, batch_id bigint, high_ts bigi
 
 
 def file_stream(spark: SparkSession, root: str, max_files: int) -> DataFrame:
-    """New change files below the change-log directory; their contents are not read here."""
+    """New change files of all tables, however old; their contents are not read here.
+
+    Every table's directory is a root of its own, since below a root the source passes over names that
+    start with ``_`` or ``.``.
+    """
     files = (
         spark.readStream.schema(_FILE_COLUMNS)
         .format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "CDC*.csv")
         .option("maxFilesPerTrigger", max_files)
-        .load(log.increment_dir(root))
+        .option("maxFileAge", "36500d")
+        .load(names.literal_path(log.increment_dir(root)) + "/*/*")
     )
     return files.select("path", "length")
 
@@ -60,7 +65,6 @@ def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFra
     listed = f"{store.out}/landed_files/batch-{batch_id}"
     touched = sorted({(r.source_schema, r.source_table) for r in found})
     if not touched:
-        local_frame(spark, [], _LANDED_FILES).write.mode("overwrite").parquet(listed)
         return
     definitions = _definitions(spark, root, [managed[k] for k in touched], touched, options)
     known = {(d.source_schema, d.source_table, d.table_version) for d in definitions}
@@ -88,7 +92,7 @@ def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFra
 
 
 def _definitions(spark, root, tables, scope, options) -> list[Row]:
-    found = reg.registry(spark, root, None, None, options.strict, scope)
+    found = reg.registry(spark, root, None, None, options.strict, scope, options.type_keys)
     rows = local_frame(spark, 
         [(t.source_schema, t.source_table, t.columns) for t in tables],
         "source_schema string, source_table string, "
@@ -113,10 +117,11 @@ def apply_landed(
     past it.
     """
     current = store.latest_run()
-    if batch_id is not None:
-        applied = [t.batch_id for t in store.table_states(current).values() if t.batch_id is not None]
-        if applied and max(applied) >= batch_id:
-            return rp.Result(current, None, f"batch {batch_id} was applied before")
+    applied = max((t.batch_id for t in store.table_states(current).values() if t.batch_id is not None), default=None)
+    if batch_id is None:
+        batch_id = applied
+    elif applied is not None and applied >= batch_id:
+        return rp.Result(current, None, f"batch {batch_id} was applied before")
     plan = rp.plan_log(spark, root, store, current, options)
     if isinstance(plan, rp.Result):
         return plan
@@ -124,13 +129,12 @@ def apply_landed(
     behind = rp.checks.missing_files(log.expand_files(plan.ranges), files)
     if not behind.isEmpty():
         return rp.Result(current, plan.upper, "landing is behind the index")
-    floor = min(plan.lower((t.source_schema, t.source_table)) for t in plan.tables)
-    # batches with a row above what every table has applied; earlier ones are not opened again
-    still_open = files.where(F.col("high_ts") > floor).select("batch_id").distinct().collect()
+    # batches with a file that is not finished; earlier ones are not opened again
+    wanted = log.expand_files(plan.ranges).select("path")
+    still_open = files.join(wanted, "path").select("batch_id").distinct().collect()
     if still_open:
         paths = [_landing_dir(store, r.batch_id) for r in sorted(still_open)]
         landed = rp.union_all([spark.read.schema(log.LANDED_SCHEMA).parquet(p) for p in paths])
-        landed = landed.where(F.col("commit_ts").isNull() | (F.col("commit_ts") > floor))
         landed = rp.in_ranges(landed, plan.ranges, len(plan.range_rows))
     else:
         landed = local_frame(spark, [], log.LANDED_SCHEMA)
@@ -152,12 +156,14 @@ def follow(
     """Start following the change log at ``root``; the snapshot is loaded first.
 
     ``available_now`` takes what is there in bounded micro-batches and stops; otherwise a
-    micro-batch runs ``every`` so often until the query is stopped. When only the checkpoint
-    of the log moved and no file is new, no micro-batch runs: call :func:`apply_landed` then.
+    micro-batch runs ``every`` so often until the query is stopped, also without new files, as the
+    checkpoint of the log may have moved; at the start landed rows are applied once in either case.
+    A ``checkpoint`` folder belongs to one of these two modes.
     """
     options = rp.Options(**settings)
     store = StateStore(spark, out, buckets)
     rp.load_snapshot(spark, root, store, options)
+    apply_landed(spark, root, store, options)
 
     def each(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
@@ -165,6 +171,10 @@ def follow(
         land_files(session, root, own, files, batch_id, options)
         apply_landed(session, root, own, options, batch_id)
 
-    writer = file_stream(spark, root, max_files).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    files = file_stream(spark, root, max_files)
+    if not available_now:
+        clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load().where("value < 0")
+        files = files.unionByName(clock.select(F.lit("").alias("path"), F.col("value").alias("length")))
+    writer = files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start()

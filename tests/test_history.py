@@ -23,7 +23,7 @@ def make_history(seed: int, n: int = 400):
         op = "D" if key in state and rng.random() < 0.3 else ("U" if key in state else "I")
         name = f"v{i}\n\"{key}\""
         day = f"2026-05-{1 + ts // 100:02d}"
-        text = f'{op},worker,shop,{ts},{key},"{name.replace(chr(34), chr(34) * 2)}"\n'
+        text = f'{op},parcel,depot,{ts},{key},"{name.replace(chr(34), chr(34) * 2)}"\n'
         if op == "D":
             state.pop(key)
         else:
@@ -51,7 +51,7 @@ def expected(history, upper):
 
 
 def snapshot(workspace):
-    workspace.snapshot(_1="id,name\n" + "".join(f"{k},s{k}\n" for k in range(20)))
+    workspace.snapshot(_1="place,label\n" + "".join(f"{k},s{k}\n" for k in range(20)))
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -63,7 +63,7 @@ def test_batch_in_steps(spark, workspace, out, seed):
     for upper in (101, 150, top // 2 + 60, top):
         workspace.checkpoint(upper)
         cl.replay(spark, str(workspace), out, buckets=3)
-        assert rows(cl.StateStore(spark, out, 3).read("shop_worker")) == expected(history, upper)
+        assert rows(cl.StateStore(spark, out, 3).read("depot_parcel")) == expected(history, upper)
 
 
 def test_streaming_equals_batch(spark, workspace, out, tmp_path):
@@ -76,16 +76,16 @@ def test_streaming_equals_batch(spark, workspace, out, tmp_path):
     workspace.checkpoint(first[-1][3] - 3)
     query = follow(spark, str(workspace), out, str(tmp_path / "cp"), buckets=3, max_files=4)
     query.awaitTermination()
-    assert rows(cl.StateStore(spark, out, 3).read("shop_worker")) == expected(history, first[-1][3] - 3)
+    assert rows(cl.StateStore(spark, out, 3).read("depot_parcel")) == expected(history, first[-1][3] - 3)
     # rows that waited are applied when only the checkpoint moves
     workspace.checkpoint(first[-1][3] - 1)
     apply_landed(spark, str(workspace), cl.StateStore(spark, out, 3), cl.Options())
-    assert rows(cl.StateStore(spark, out, 3).read("shop_worker")) == expected(first, first[-1][3] - 1)
+    assert rows(cl.StateStore(spark, out, 3).read("depot_parcel")) == expected(first, first[-1][3] - 1)
     write(workspace, history)
     workspace.checkpoint(top)
     query = follow(spark, str(workspace), out, str(tmp_path / "cp"), buckets=3, max_files=3)
     query.awaitTermination()
-    assert rows(cl.StateStore(spark, out, 3).read("shop_worker")) == expected(history, top)
+    assert rows(cl.StateStore(spark, out, 3).read("depot_parcel")) == expected(history, top)
     assert middle < top
 
 
@@ -114,6 +114,6 @@ def test_half_written_run_is_not_seen(spark, workspace, out):
 
     os.rename(f"{out}/runs/2/_DONE", f"{out}/runs/2/not_done")
     assert store.latest_run() == 1
-    assert rows(store.read("shop_worker")) == expected([], 0)
+    assert rows(store.read("depot_parcel")) == expected([], 0)
     cl.replay(spark, str(workspace), out, buckets=3)
-    assert rows(store.read("shop_worker")) == expected(history, history[-1][3])
+    assert rows(store.read("depot_parcel")) == expected(history, history[-1][3])

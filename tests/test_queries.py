@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from compare import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from changeloom.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,13 +17,13 @@ def con():
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"schema_checksum"}
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLES) == {"schema_checksum"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
-    assert compare(spark, con, queries()[name], oracle_sql()[name], SF) is None
+    assert compare(spark, con, QUERIES[name], ORACLES[name], SF) is None
 
 
 def test_checksums_against_python(spark):
@@ -32,7 +33,7 @@ def test_checksums_against_python(spark):
     from changeloom.sources.registry import canonical_text
 
     texts = {r.p_partkey: r.text for r in _definition_texts(spark, SF).collect()}
-    for r in queries()["schema_checksum"](spark, SF).collect():
+    for r in QUERIES["schema_checksum"](spark, SF).collect():
         assert r.checksum == zlib.crc32(canonical_text(texts[r.p_partkey]).encode())
 
 
