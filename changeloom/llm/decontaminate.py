@@ -87,14 +87,13 @@ def _merged(starts: Sequence[int], ends: Sequence[int]) -> tuple[list[int], list
     return out
 
 
-def _search(items: list[tuple[str, str | None]], window: int, keep_text: bool):
+def _search(items: list[tuple[str, str | None]], window: int, passed: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader(NOT_ALNUM, lower=True)
         search = searchers(items, window)
         for batch in batches:
-            column = batch.column("text").to_pylist()
-            for part in portions(column):
-                words = reader(column[part])
+            for part, column in portions(batch.column("text")):
+                words = reader(column)
                 numbers = words.number.tolist()
                 blocks = {s.block: grams(words.number, s.block).tolist() for s in search}
                 rows = batch.slice(part.start, part.stop - part.start)
@@ -113,10 +112,9 @@ def _search(items: list[tuple[str, str | None]], window: int, keep_text: bool):
                     for name, value in zip(out, (end - begin, starts, ends, sorted(found))):
                         out[name].append(value)
                 kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
-                kept = [(n, rows.column(n)) for n in ("id", "kept", *(["text"] if keep_text else []))]
-                names = [n for n, _ in kept] + list(out)
                 yield pa.RecordBatch.from_arrays(
-                    [c for _, c in kept] + [pa.array(v, k) for v, k in zip(out.values(), kinds)], names=names
+                    [*(rows.column(c) for c in passed), *(pa.array(v, k) for v, k in zip(out.values(), kinds))],
+                    names=[*passed, *out],
                 )
 
     return run
@@ -135,14 +133,14 @@ def find_items(
 ) -> DataFrame:
     """One row per document: id, n_words, hit_start and hit_end (words, merged), item_ids (sorted).
 
-    ``keep`` names columns of the input that come back in the struct ``kept``.
+    With ``keep``, names of columns of the input, these come back in the struct ``kept`` and the text in ``text``.
     """
-    kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("boolean")
+    kept = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []
     empty = F.array().cast("array<int>")
     state = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
-        kept.alias("kept"),
+        *kept,
         empty.alias("hit_start"),
         empty.alias("hit_end"),
         F.array().cast("array<string>").alias("item_ids"),
@@ -150,21 +148,20 @@ def find_items(
     tests = texts(items, item_col, item_text_col).select(F.col("id").cast("string").alias("item"), "text")
     size = tests.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)).alias("n")).first().n
     n_blocks = max(1, -(-size // block_bytes))
-    kind, kept_kind = (state.schema[n].dataType.simpleString() for n in ("id", "kept"))
+    whole = ["id", "text", *(["kept"] if keep else [])]
+    kinds = {c: state.schema[c].dataType.simpleString() for c in whole}
     for b in range(n_blocks):
         block = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).where("item is not null")
         patterns = [(r.item, r.text) for r in block.collect()]
         last = b == n_blocks - 1
-        columns = f"id {kind}, kept {kept_kind}, {'' if last else 'text string, '}"
+        passed = ["id"] if last and not keep else whole
         state = state.mapInArrow(
-            _search(patterns, window, not last),
-            columns + "n_words long, hit_start array<int>, hit_end array<int>, item_ids array<string>",
+            _search(patterns, window, passed),
+            "".join(f"{c} {kinds[c]}, " for c in passed) + "n_words long, hit_start array<int>, hit_end array<int>, item_ids array<string>",
         )
         if not last:
             state = written(state, "decontaminate").drop("n_words")
-    return state.select(
-        F.col("id").alias(id_col), *(["kept"] if keep else []), "n_words", "hit_start", "hit_end", "item_ids"
-    )
+    return state.withColumnRenamed("id", id_col)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

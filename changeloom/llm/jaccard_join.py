@@ -74,11 +74,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = WordReader()
     a, b = _factors()
     for batch in batches:
-        column = batch.column("text").to_pylist()
-        for part in portions(column):
-            words = reader(column[part])
+        for part, column in portions(batch.column("text")):
+            words = reader(column)
             runs = grams(words.number, SHINGLE)
-            sets = [shingles(words, d, runs) for d in range(part.stop - part.start)]
+            sets = [shingles(words, d, runs) for d in range(len(column))]
             keys = [set_key(s) for s in sets]
             signed = [signature(s, a, b).view(np.int64) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -187,11 +186,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task code: node and packed shingle set (six bytes each) of a text."""
     reader = WordReader()
     for batch in batches:
-        column = batch.column("text").to_pylist()
-        for part in portions(column):
-            words = reader(column[part])
+        for part, column in portions(batch.column("text")):
+            words = reader(column)
             runs = grams(words.number, SHINGLE)
-            sets = [shingles(words, d, runs) for d in range(part.stop - part.start)]
+            sets = [shingles(words, d, runs) for d in range(len(column))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([int(set_key(s)[0]) for s in sets], pa.int64()),

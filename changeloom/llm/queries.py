@@ -73,7 +73,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    coded = byte_bpe.round_trip(table(spark, sf_dir, "documents"))
     return coded.select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

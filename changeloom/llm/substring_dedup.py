@@ -86,8 +86,8 @@ def _spans(window: int):
         reader = WordReader()
         names = ["key", "name", "id", "start", "n", "inner", "local"]
         for batch in batches:
-            column, ids = batch.column("text").to_pylist(), numbers(batch, "id")
-            found = [cut(reader(column[p]), ids[p]) for p in portions(column)]
+            ids = numbers(batch, "id")
+            found = [cut(reader(column), ids[part]) for part, column in portions(batch.column("text"))]
             if not found:
                 continue
             key, name, doc, start, n, inner = (np.concatenate(c) for c in zip(*found))
@@ -118,13 +118,12 @@ def _span_words(window: int):
         kinds = [("key", pa.int64()), ("cell", pa.int32()), ("id", pa.int64()), ("start", pa.int32()), ("words", pa.binary())]
         rows = Rows(pa.schema(kinds))
         for batch in batches:
-            column, ids, asked = (batch.column(c).to_pylist() for c in ("text", "id", "spans"))
-            for part in portions(column):
-                words = reader(column[part])
-                for d in range(part.stop - part.start):
+            for part, column in portions(batch.column("text")):
+                words = reader(column)
+                ids, asked = (batch.column(c).slice(part.start, len(column)).to_pylist() for c in ("id", "spans"))
+                for d, doc in enumerate(ids):
                     own = words.number[words.first[d] : words.first[d + 1]]
-                    doc = ids[part.start + d]
-                    for s in asked[part.start + d]:
+                    for s in asked[d]:
                         start, n, key, cells = s["start"], s["n"], s["key"], s["cells"]
                         if start + n + window - 1 > len(own):
                             continue  # another text of the same id
@@ -243,13 +242,12 @@ def _apply(window: int, joined: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader()
         for batch in batches:
-            column, gone = batch.column("text").to_pylist(), batch.column("gone").to_pylist()
-            for part in portions(column):
-                words = reader(column[part])
+            for part, column in portions(batch.column("text")):
+                words = reader(column)
                 out: tuple[list, list, list] = ([], [], [])
-                for d, spans in enumerate(gone[part]):
+                for d, spans in enumerate(batch.column("gone").slice(part.start, len(column)).to_pylist()):
                     begin, end = int(words.first[d]), int(words.first[d + 1])
-                    n, text = end - begin, column[part.start + d]
+                    n, text = end - begin, column[d]
                     removed = 0
                     if spans:
                         change = np.zeros(n + 1, np.int64)

@@ -134,9 +134,9 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Tokens with the number of both neighbours, once for each label in a portion."""
     reader = token_reader()
     for batch in batches:
-        column, toxic = batch.column("text").to_pylist(), batch.column("toxic").to_numpy(zero_copy_only=False)
-        for part in portions(column):
-            words = reader([t.lower() if t else t for t in column[part]])
+        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+        for part, column in portions(batch.column("text")):
+            words = reader([t.lower() if t else t for t in column])
             n = len(words.number)
             around = np.zeros((2, n), np.uint64)
             same = words.doc[1:] == words.doc[:-1]
@@ -155,9 +155,8 @@ def _best(token: np.ndarray, score: np.ndarray, drift: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = token_reader()
         for batch in batches:
-            column = batch.column("text").to_pylist()
-            for part in portions(column):
-                found = [(n, sorted((x[0] for x in s), reverse=True)[:50]) for n, s in scan(column[part], token, score, drift, reader)]
+            for part, column in portions(batch.column("text")):
+                found = [(n, sorted((x[0] for x in s), reverse=True)[:50]) for n, s in scan(column, token, score, drift, reader)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("toxic").slice(part.start, part.stop - part.start),
@@ -239,15 +238,14 @@ def _best_cut(chances: Sequence[tuple[float, int]]) -> float:
     return min(max(cut, 1e-12), 0.5)
 
 
-def _score(model: Model | None):
+def _score(model: Model | None, passed: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = token_reader()
         for batch in batches:
-            column = batch.column("text").to_pylist()
-            for part in portions(column):
+            for part, column in portions(batch.column("text")):
                 out: dict[str, list] = {"n_tokens": [], "score": [], "segment_start": [], "segment_end": []}
-                none = ((0, []) for _ in column[part])
-                for n, found in scan(column[part], model.token, model.score, model.drift, reader) if model else none:
+                none = ((0, []) for _ in column)
+                for n, found in scan(column, model.token, model.score, model.drift, reader) if model else none:
                     p = chance([s for s, _, _ in found], n, model.decay, model.rate) if model else 1.0
                     real = [x for x in found if model.rate * n * math.exp(-model.decay * x[0]) <= SIGNIFICANT]
                     for name, value in zip(
@@ -257,8 +255,8 @@ def _score(model: Model | None):
                 kinds = (pa.int64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
                 rows = batch.slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), rows.column("kept"), *(pa.array(v, k) for v, k in zip(out.values(), kinds))],
-                    names=["id", "kept", *out],
+                    [*(rows.column(c) for c in passed), *(pa.array(v, k) for v, k in zip(out.values(), kinds))],
+                    names=[*passed, *out],
                 )
 
     return run
@@ -269,17 +267,13 @@ def score(
 ) -> DataFrame:
     """One row per row: id, n_tokens, score, and the significant segments as token positions.
 
-    ``keep`` names columns of the input that come back in the struct ``kept``.
+    With ``keep``, names of columns of the input, these come back in the struct ``kept`` and the text in ``text``.
     """
-    kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("boolean")
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), kept.alias("kept")
-    )
-    kind, kept_kind = (rows.schema[n].dataType.simpleString() for n in ("id", "kept"))
+    kept = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), *kept)
+    passed = ["id", "text", "kept"] if keep else ["id"]
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in passed)
     scored = rows.mapInArrow(
-        _score(model),
-        f"id {kind}, kept {kept_kind}, n_tokens long, score double, segment_start array<int>, segment_end array<int>",
-    )
-    return scored.select(
-        F.col("id").alias(id_col), *(["kept"] if keep else []), "n_tokens", "score", "segment_start", "segment_end"
+        _score(model, passed), kinds + ", n_tokens long, score double, segment_start array<int>, segment_end array<int>"
     )
+    return scored.withColumnRenamed("id", id_col)

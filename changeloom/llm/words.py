@@ -11,6 +11,8 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: blank, tab, line feed, vertical tab, form feed, carriage return
 BLANK = tuple(b"\x20\x09\x0a\x0b\x0c\x0d")
@@ -94,13 +96,11 @@ def grams(number: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def portions(texts: Sequence[str | None], chars: int = 1 << 19) -> Iterator[slice]:
-    """Slices of consecutive texts of about so many characters, at least one text each."""
-    begin = size = 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
-        if size >= chars:
-            yield slice(begin, i + 1)
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield slice(begin, len(texts))
+def portions(column: pa.Array, size: int = 1 << 18) -> Iterator[tuple[slice, list[str | None]]]:
+    """Consecutive texts of about so many bytes, at least one at a time, and their place in the column."""
+    begin = total = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        total += n
+        if total >= size or i + 1 == len(column):
+            yield slice(begin, i + 1), column.slice(begin, i + 1 - begin).to_pylist()
+            begin, total = i + 1, 0

@@ -18,14 +18,15 @@ from changeloom.llm.tables import remainder, table
 from changeloom.workdir import work_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+KEPT = ("lang", "source", "n_chars")
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model doesn't reject; it learns as in the query op2_toxicity."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.learn(docs, labels.where(remainder(F.col("doc_id"), 3) != 1))
-    scored = toxicity.score(docs, model, keep=COLUMNS)
-    return scored.where(F.col("score") < toxicity.TOXIC).select("kept.*")
+    scored = toxicity.score(docs, model, keep=KEPT)
+    return scored.where(F.col("score") < toxicity.TOXIC).select("doc_id", "text", "kept.*")
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,20 +41,20 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also stand earlier; n_chars follows the text."""
-    rest = substring_dedup.dedup(docs, keep=("lang", "source", "n_chars"))
+    rest = substring_dedup.dedup(docs, keep=KEPT)
     n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("kept.n_chars"))
     return rest.select("doc_id", "text", "kept.lang", "kept.source", n_chars.cast("bigint").alias("n_chars"))
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), keep=COLUMNS)
-    return found.where(F.size("item_ids") == 0).select("kept.*")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), keep=KEPT)
+    return found.where(F.size("item_ids") == 0).select("doc_id", "text", "kept.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of them and of what they decode to."""
-    coded = byte_bpe.decode(byte_bpe.encode(docs))
+    coded = byte_bpe.round_trip(docs)
     return coded.select(
         "doc_id",
         "n_tokens",

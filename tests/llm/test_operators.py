@@ -438,6 +438,7 @@ def test_byte_bpe(spark, ranks):
     rows = byte_bpe.decode(byte_bpe.encode(frame(spark, docs), leaf=64)).collect()
     texts = dict(docs)
     assert len(rows) == len(docs)
+    assert sorted(rows, key=repr) == sorted(byte_bpe.round_trip(frame(spark, docs), leaf=64).collect(), key=repr)
     for r in rows:
         text = texts[r.doc_id] or ""
         assert np.frombuffer(r.token_ids, "<u4").tolist() == library.encode_ordinary(text)
