@@ -139,13 +139,18 @@ def skip_late_versions(rows: DataFrame, effective: DataFrame) -> DataFrame:
     return kept.where(~old).drop("effective_version")
 
 
-def truncate_points(registry: DataFrame, effective: DataFrame, upper: int | Column) -> DataFrame:
-    """Per table, the newest truncating version that is visible and not applied yet."""
+def truncates(registry: DataFrame, effective: DataFrame, upper: int | Column) -> DataFrame:
+    """All truncating versions that are visible and not applied yet."""
     visible = registry.where((F.col("table_version") <= upper) & is_truncate())
     newer = visible.join(effective, list(TABLE), "left").where(
         F.col("table_version") > F.coalesce(F.col("effective_version"), F.lit(0))
     )
-    return newer.groupBy(*TABLE).agg(F.max("table_version").alias("truncate_version"))
+    return newer.select(*TABLE, F.col("table_version").alias("truncate_version"))
+
+
+def truncate_points(registry: DataFrame, effective: DataFrame, upper: int | Column) -> DataFrame:
+    """Per table, the newest of its :func:`truncates`."""
+    return truncates(registry, effective, upper).groupBy(*TABLE).agg(F.max("truncate_version").alias("truncate_version"))
 
 
 def cut_changes(changes: DataFrame, points: DataFrame) -> DataFrame:

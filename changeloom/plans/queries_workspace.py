@@ -15,9 +15,9 @@ from ..sources import snapshot as snap
 from ..workdir import work_dir
 from . import sample_views as views
 from . import sample_workspace as ws
-from .queries_apply import SQL_CURRENT_STATE, SQL_WIN
-from .replay import Options, StateStore, load_snapshot, read_changes, read_snapshot, replay
-from .sample_views import sql
+from .queries_apply import SQL_CURRENT_STATE, SQL_EFF, SQL_WIN
+from .replay import Options, StateStore, load_snapshot, read_changes, read_operations, read_snapshot, replay, union_all
+from .sample_views import SQL_DEFS, sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -56,10 +56,15 @@ def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return files.where(wanted).select(names.below(F.col("path"), root).alias("path"))
 
 
-@query("inventory_prefixes", sql("SELECT DISTINCT table_version || '/' AS prefix FROM chg WHERE source_table = 'e_view' UNION SELECT 'meta/'"))
+@query(
+    "inventory_prefixes",
+    sql("SELECT DISTINCT source_table, table_version || '/' AS prefix FROM chg UNION SELECT DISTINCT source_table, 'meta/' FROM chg"),
+)
 def inventory_prefixes(spark, sf):
-    root = ws.write_workspace(spark, sf) + "/increment/app/e_view"
-    return fs.child_prefixes(fs.list_files(spark, root), root)
+    root = ws.write_workspace(spark, sf) + "/increment/app"
+    return union_all([
+        fs.child_prefixes(fs.list_files(spark, f"{root}/{t}"), f"{root}/{t}").withColumn("source_table", F.lit(t)) for t in views.TABLES
+    ])
 
 
 @query(
@@ -122,32 +127,40 @@ def row_position_order(spark, sf):
 # --- catalog --------------------------------------------------------------------------------
 
 SQL_TABLES = "(SELECT DISTINCT 'e_' || event_type AS t FROM events)"
+# tables and columns of the dump that is made from part
+SQL_DUMP = """sizes AS (SELECT DISTINCT lower(replace(p_brand, '#', '_')) AS t, p_size AS size FROM part),
+  brands AS (SELECT DISTINCT t, CAST(split_part(t, '_', 2) AS INTEGER) % 3 <> 0 AS keyed FROM sizes),
+  cols AS (SELECT t, 's' || size AS name, CAST(1 + row_number() OVER (PARTITION BY t ORDER BY size) AS INTEGER) AS pos, size % 5 <> 0 AS nullable,
+    CASE size % 4 WHEN 0 THEN 'INT UNSIGNED' WHEN 1 THEN 'DECIMAL(38,' || size % 10 || ')' WHEN 2 THEN 'DATETIME(3)' ELSE 'VARCHAR(' || size || ')' END AS source_type,
+    CASE size % 4 WHEN 0 THEN 'INT' WHEN 1 THEN 'DECIMAL' WHEN 2 THEN 'NAIVE_DATETIME' ELSE 'STRING' END AS logical_type,
+    CASE size % 4 WHEN 0 THEN 'bigint' WHEN 1 THEN 'decimal(38,' || size % 10 || ')' WHEN 2 THEN 'timestamp_ntz' ELSE 'string' END AS spark_type
+    FROM sizes UNION ALL SELECT t, 'k', 1, false, 'BIGINT', 'LONG', 'bigint' FROM brands)"""
 
 
 @query(
     "catalog_discover",
-    f"SELECT 'app' AS source_schema, t AS source_table, 'app_' || t AS target_table, 'pk' AS primary_key, 'app.' || t AS file_stem FROM {SQL_TABLES}",
+    f"""WITH {SQL_DUMP} SELECT 'app' AS source_schema, t AS source_table, 'app_' || t AS target_table, 'k' AS primary_key, 'app.' || t AS file_stem
+      FROM brands WHERE keyed AND t NOT LIKE '%_1'""",
 )
 def catalog_discover(spark, sf):
-    tables = cat.catalog(spark, ws.write_workspace(spark, sf), ["app.*", "!*.none"])
+    tables = cat.catalog(spark, ws.write_dump(spark, sf), ["app.*", "!*1"])
     return tables.select("source_schema", "source_table", "target_table", F.array_join("primary_key", ",").alias("primary_key"), "file_stem")
 
 
 @query(
     "catalog_columns",
-    f"""SELECT t AS source_table, c.* FROM {SQL_TABLES}, (VALUES (1, 'pk', 'BIGINT', false), (2, 'value', 'DOUBLE', true),
-      (3, 'props', 'TEXT', true)) c(pos, name, source_type, nullable)""",
+    f"WITH {SQL_DUMP} SELECT t AS source_table, pos, name, source_type, nullable FROM cols JOIN brands USING (t) WHERE keyed",
 )
 def catalog_columns(spark, sf):
-    tables = cat.catalog(spark, ws.write_workspace(spark, sf))
+    tables = cat.catalog(spark, ws.write_dump(spark, sf))
     return tables.select("source_table", F.explode("columns").alias("c")).select(
         "source_table", "c.pos", "c.name", "c.source_type", "c.nullable"
     )
 
 
-@query("catalog_no_pk", "SELECT DISTINCT 'app' AS source_schema, 'keyless' AS source_table FROM events")
+@query("catalog_no_pk", f"WITH {SQL_DUMP} SELECT 'app' AS source_schema, t AS source_table FROM brands WHERE NOT keyed")
 def catalog_no_pk(spark, sf):
-    found = cat.discover(spark, ws.write_workspace(spark, sf))
+    found = cat.discover(spark, ws.write_dump(spark, sf))
     return cat.without_key(found).select("source_schema", "source_table")
 
 
@@ -177,13 +190,15 @@ def _part_ddl(spark, sf):
 
 @query(
     "catalog_ddl_texts",
-    """SELECT p_partkey, CASE WHEN p_partkey % 10 = 4 THEN 'a`b' WHEN p_partkey % 10 = 3 THEN 'id,gone' ELSE 'id,a`b' END AS primary_key,
-      'id DECIMAL(12,2) UNSIGNED false;a`b ENUM(''x,('',''it''''s'') true' AS column_list FROM part WHERE p_partkey % 10 NOT IN (2, 5, 6)""",
+    """SELECT p_partkey, CASE p_partkey % 10 WHEN 3 THEN 'id,gone' WHEN 4 THEN 'a`b' WHEN 5 THEN '' WHEN 6 THEN 'id' ELSE 'id,a`b' END AS primary_key,
+      CASE p_partkey % 10 WHEN 2 THEN '' WHEN 5 THEN '' WHEN 6 THEN 'id INT true'
+        ELSE 'id DECIMAL(12,2) UNSIGNED false;a`b ENUM(''x,('',''it''''s'') true' END AS column_list FROM part""",
 )
 def catalog_ddl_texts(spark, sf):
-    rows = _part_ddl(spark, sf).where(~(F.col("p_partkey") % 10).isin(2, 5, 6))
     listed = F.transform("columns", lambda c: F.concat_ws(" ", c["name"], c["source_type"], c["nullable"].cast("string")))
-    return rows.select("p_partkey", F.array_join("primary_key", ",").alias("primary_key"), F.array_join(listed, ";").alias("column_list"))
+    return _part_ddl(spark, sf).select(
+        "p_partkey", F.array_join("primary_key", ",").alias("primary_key"), F.array_join(listed, ";").alias("column_list")
+    )
 
 
 @query(
@@ -198,12 +213,13 @@ def catalog_violations(spark, sf):
 
 @query(
     "declared_schema",
-    f"""SELECT 'app_' || t AS target_table, c.* FROM {SQL_TABLES}, (VALUES ('pk', 'LONG', 'bigint', true), ('value', 'DOUBLE', 'double', false),
-      ('props', 'STRING', 'string', false), ('_cdc_commit_ts', 'LONG', 'bigint', false), ('_cdc_source_schema', 'STRING', 'string', false),
-      ('_cdc_source_table', 'STRING', 'string', false)) c(column_name, logical_type, spark_type, is_key)""",
+    f"""WITH {SQL_DUMP} SELECT 'app_' || t AS target_table, c.* FROM brands JOIN (
+        SELECT t, name AS column_name, logical_type, spark_type, name = 'k' AS is_key FROM cols UNION ALL
+        SELECT t, c.* FROM brands, (VALUES ('_cdc_commit_ts', 'LONG', 'bigint', false), ('_cdc_source_schema', 'STRING', 'string', false),
+          ('_cdc_source_table', 'STRING', 'string', false)) c(column_name, logical_type, spark_type, is_key)) c USING (t) WHERE keyed""".replace("c.* FROM brands JOIN", "column_name, logical_type, spark_type, is_key FROM brands JOIN"),
 )
 def declared_schema(spark, sf):
-    tables = cat.catalog(spark, ws.write_workspace(spark, sf))
+    tables = cat.catalog(spark, ws.write_dump(spark, sf))
     return cat.declared_schema(tables, "_cdc_").select("target_table", "column_name", "logical_type", "spark_type", "is_key")
 
 
@@ -429,6 +445,24 @@ def _state(store: StateStore) -> DataFrame:
     return rows
 
 
+@query(
+    "workspace_operations",
+    sql(
+        """SELECT CASE WHEN op = 'D' THEN 'delete' ELSE 'upsert' END AS operation, 'app_' || source_table AS target_table, commit_ts, pk,
+          CASE WHEN op <> 'D' THEN value END AS value, CASE WHEN op <> 'D' THEN props END AS props FROM win
+          UNION ALL SELECT 'truncate', 'app_' || source_table, table_version, NULL, NULL, NULL
+          FROM defs JOIN eff USING (source_schema, source_table), b
+          WHERE (ddl_type IN (11, 23) OR trim(lower(query)) LIKE 'truncate table%') AND table_version > effective_version AND table_version <= upper""",
+        SQL_DEFS, SQL_EFF, SQL_WIN,
+    ),
+)
+def workspace_operations(spark, sf):
+    """Upserts, deletes and truncates of all five tables from their files."""
+    root, b = ws.write_workspace(spark, sf, truncating=True), views.bounds(spark, sf)
+    feeds = [read_operations(spark, root, t, b.lower, b.upper) for t in cat.catalog(spark, root).collect()]
+    return union_all([f.select("operation", "target_table", "commit_ts", "pk", "value", "props") for f in feeds])
+
+
 @query("replay_state", SQL_CURRENT_STATE)
 def replay_state(spark, sf):
     """The whole way: dump and change files in, state of all tables out."""

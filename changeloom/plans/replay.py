@@ -665,3 +665,26 @@ def read_changes(
     meta = T._parse_datatype_string("op string, source_schema string, source_table string, commit_ts bigint, "
         "table_version bigint, partition_id bigint, date string, file_index bigint, block_start bigint, row_seq bigint")
     return local_frame(spark, [], T.StructType([*meta.fields, T.StructField("data", schema)]))
+
+
+def read_operations(
+    spark: SparkSession, root: str, table: Row, lower: int, upper: int, options: Options | None = None
+) -> DataFrame:
+    """What happens to one table with ``lower < commit_ts <= upper``: upserts, deletes and truncates.
+
+    A truncate has its version as ``commit_ts`` and comes before the changes of that version; the order is
+    ``commit_ts``, truncates first, then the place of the change.
+    """
+    options = options or Options()
+    changes = read_changes(spark, root, table, lower, upper, options)
+    columns = changes.schema["data"].dataType.fieldNames()
+    clash = sorted(set(columns) & set(changes.columns))
+    if clash:
+        raise checks.InputError(f"columns {clash} of {table.source_table} are named like those of a change")
+    flat = changes.select("*", "data.*").drop("data")
+    scope = [(table.source_schema, table.source_table)]
+    registry = reg.registry(spark, root, None, upper, options.strict, scope, options.type_keys)
+    effective = ap.effective_watermarks(ap.baseline_versions(registry, lower))
+    marks = ap.truncates(registry, effective, upper)
+    feed = ap.operations(flat, list(table.primary_key), columns, marks)
+    return feed.withColumn("commit_ts", F.coalesce("commit_ts", "table_version"))

@@ -141,9 +141,12 @@ def gap_lines(spark: SparkSession, sf: str) -> DataFrame:
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def write_workspace(spark: SparkSession, sf: str) -> str:
-    """Folder of the workspace for these tables; written once per session."""
-    key = (spark.sparkContext.applicationId, sf, "clean")
+def write_workspace(spark: SparkSession, sf: str, truncating: bool = False) -> str:
+    """Folder of the workspace for these tables; written once per session.
+
+    With ``truncating`` some versions start with a truncate, as in :func:`.sample_views.definitions`.
+    """
+    key = (spark.sparkContext.applicationId, sf, "truncating" if truncating else "clean")
     if key in _written:
         return _written[key]
     b = views.bounds(spark, sf)
@@ -152,11 +155,14 @@ def write_workspace(spark: SparkSession, sf: str) -> str:
     put_text(spark, f"{root}/snapshot/app-schema-create.sql", "CREATE DATABASE `app`;\n")
     put_text(spark, f"{root}/snapshot/app.keyless-schema.sql", "CREATE TABLE `keyless` (\n  `a` int NOT NULL\n);\n")
     put_text(spark, f"{root}/increment/metadata", json.dumps({"checkpoint-ts": b.upper}))
+    marks = {}
+    if truncating:
+        marks = {(d.source_table, d.table_version): (d.ddl_type, d.query) for d in views.definitions(spark, sf).collect()}
     for table in views.TABLES:
         put_text(spark, f"{root}/snapshot/app.{table}-schema.sql", ddl(table))
         for version in range(0, b.n, b.step):
             columns = [] if version == 3 * b.step else [*SNAPSHOT_COLUMNS, *([ADDED_COLUMN] if version == 2 * b.step else [])]
-            name, text = definition(table, version, columns)
+            name, text = definition(table, version, columns, *marks.get((table, version), (0, "")))
             put_text(spark, f"{root}/{name}", text)
     lines = snapshot_lines(spark, sf)
     for more in (change_lines, index_lines, gap_lines):
@@ -211,6 +217,46 @@ def write_messy_workspace(spark: SparkSession, sf: str) -> str:
     return root
 
 
+def dump_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Definition files of a dump with a table for each brand of ``part`` and a column for each size it comes in.
+
+    Brands with a number divisible by three have no primary key.
+    """
+    size = F.col("p_size")
+    rows = views.table(spark, sf, "part").select(F.lower(F.replace("p_brand", F.lit("#"), F.lit("_"))).alias("t"), size).distinct()
+    kind = (
+        F.when(size % 4 == 0, F.lit("int unsigned"))
+        .when(size % 4 == 1, F.concat(F.lit("decimal(38,"), (size % 10).cast("string"), F.lit(")")))
+        .when(size % 4 == 2, F.lit("datetime(3)"))
+        .otherwise(F.concat(F.lit("varchar("), size.cast("string"), F.lit(")")))
+    )
+    null = F.when(size % 5 == 0, " NOT NULL").otherwise(" DEFAULT NULL COMMENT 'is NOT NULL, says (x)'")
+    line = F.concat(F.lit("  `s"), size.cast("string"), F.lit("` "), kind, null, F.lit(","))
+    file = F.concat(F.lit("snapshot/app."), F.col("t"), F.lit("-schema.sql"))
+    columns = rows.select(file.alias("file"), size.cast("bigint").alias("place"), line.alias("line"))
+    tables = rows.select("t").distinct()
+    keyless = F.substring_index("t", "_", -1).cast("int") % 3 == 0
+    around = (
+        (-1, F.concat(F.lit("/* dump */;\nCREATE TABLE `"), F.col("t"), F.lit("` (\n  `k` bigint NOT NULL,"))),
+        (1000, F.when(keyless, "  KEY `x` (`k`)\n);").otherwise("  PRIMARY KEY (`k`)\n);")),
+    )
+    for place, text in around:
+        columns = columns.unionByName(
+            tables.select(file.alias("file"), F.lit(place).cast("bigint").alias("place"), text.alias("line"))
+        )
+    return columns
+
+
+def write_dump(spark: SparkSession, sf: str) -> str:
+    """Folder of a dump that has the definition files of :func:`dump_lines` and no data."""
+    key = (spark.sparkContext.applicationId, sf, "dump")
+    if key not in _written:
+        root = work_dir(spark, "dump")
+        write_files(dump_lines(spark, sf), root)
+        _written[key] = root
+    return _written[key]
+
+
 def write_documents(spark: SparkSession, sf: str) -> str:
     """Whole texts of ``documents`` as a CSV change file set."""
     key = (spark.sparkContext.applicationId, sf, "documents")

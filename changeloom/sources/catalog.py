@@ -18,7 +18,7 @@ _TEXT = r"'(?:[^'\\]|''|\\.)*'"
 _COLUMN = (
     rf"(?m)^[ \t]*{_QUOTED}[ \t]+"
     rf"([A-Za-z]+(?:[ \t]+[Pp][Rr][Ee][Cc][Ii][Ss][Ii][Oo][Nn])?)"
-    rf"[ \t]*(\((?:[^()']|{_TEXT})*\))?"
+    rf"(?:[ \t]*(\((?:[^()']|{_TEXT})*\)))?"
     rf"((?:[ \t]+(?:[Uu][Nn][Ss][Ii][Gg][Nn][Ee][Dd]|[Zz][Ee][Rr][Oo][Ff][Ii][Ll][Ll])\b)*)"
     rf"(.*)$"
 )
