@@ -340,7 +340,8 @@ def join(
     group = group.join(classes.select("node", "copy_id"), "node")
     lowest = group.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     known = group.select("node", "root").join(lowest, "root").join(sums, "node").select("node", "class_id", "linked")
-    per_class = classes.select("node", "copy_id", "size").join(known, "node", "left")
+    # written, so that Spark can split the rows of a class with very many copies in the join that follows
+    per_class = written(classes.select("node", "copy_id", "size").join(known, "node", "left"), "jaccard-classes")
     rows = sketched.select("id", "node", "n").join(
         per_class.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & (F.col("n") > 0), "left"
     )
