@@ -118,6 +118,7 @@ def _span_words(window: int):
         kinds = [("key", pa.int64()), ("cell", pa.int32()), ("id", pa.int64()), ("start", pa.int32()), ("words", pa.binary())]
         rows = Rows(pa.schema(kinds))
         for batch in batches:
+            single: list[tuple[int, int, int, int, int, bytes]] = []
             for part, column in portions(batch.column("text")):
                 words = reader(column)
                 ids, asked = (batch.column(c).slice(part.start, len(column)).to_pylist() for c in ("id", "spans"))
@@ -130,11 +131,21 @@ def _span_words(window: int):
                         if cells == 1:
                             rows.add(key, 0, doc, start, own[start : start + n + window - 1].tobytes())
                             continue
-                        cell = (grams(own[start : start + n + window - 1], window) % np.uint64(cells)).tolist()
+                        name = grams(own[start : start + n + window - 1], window).tolist()
                         for i in range(n):
-                            rows.add(key, cell[i], doc, start + i, own[start + i : start + i + window].tobytes())
+                            single.append((key, name[i], doc, start + i, cells, own[start + i : start + i + window].tobytes()))
                 if rows.full():
                     yield rows.batch()
+            # of equal windows of a batch only the first is compared with others; the rest go, and are dealt by their place
+            first = None
+            for key, name, doc, start, cells, own in sorted(single):
+                if first is None or first[:2] != (key, name):
+                    first = (key, name, doc, start)
+                    rows.add(key, name % cells, doc, start, own)
+                elif (doc, start) != first[2:]:
+                    rows.add((doc * 31 + start) & 0x7FFFFFFF, -1, doc, start, b"")
+            if rows.full():
+                yield rows.batch()
         yield rows.batch()
 
     return run
@@ -217,6 +228,10 @@ def _match(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(pa.schema([("id", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]))
         for g in groups(batches, ("key", "cell"), arrays):
+            if g["cell"][0] < 0:
+                for doc, start in zip(g["id"].tolist(), g["start"].tolist()):
+                    rows.add(doc, start, 1)
+                continue
             place = list(zip(g["id"].tolist(), g["start"].tolist()))
             one = [k for k in range(len(place)) if not k or place[k] != place[k - 1]]  # a repeated row is no second place
             spans = [np.frombuffer(g["words"][k], np.uint64).tolist() for k in one]
@@ -309,7 +324,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     words = words.mapInArrow(_span_words(window), "key long, cell int, id long, start int, words binary")
     shards = words.repartition("key", "cell").sortWithinPartitions("key", "cell", "id", "start")
     matched = shards.mapInArrow(_match(window), "id long, start int, n int")
-    return matched.union(marks.where("later").select("id", "start", "n"))
+    # written, so that the shuffles up to here can be dropped before the documents are shuffled again
+    return written(matched.union(marks.where("later").select("id", "start", "n")), "dedup-gone")
 
 
 def dedup(
