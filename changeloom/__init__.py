@@ -1,7 +1,7 @@
 """Snapshot plus change log, replayed into tables with Spark."""
 
 from .operators.apply import current_state, latest_per_key
-from .plans.replay import Options, Result, read_changes, read_snapshot, replay
+from .plans.replay import Options, Result, read_changes, read_operations, read_snapshot, replay
 from .plans.state import StateStore
 from .sources.catalog import catalog
 
@@ -13,6 +13,7 @@ __all__ = [
     "current_state",
     "latest_per_key",
     "read_changes",
+    "read_operations",
     "read_snapshot",
     "replay",
 ]
