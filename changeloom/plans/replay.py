@@ -50,13 +50,19 @@ class Options:
 
 @dataclass
 class Result:
-    """What a run did."""
+    """What a run did.
+
+    ``keyless`` names tables of the dump that are left out as they have no primary key, and ``duplicates`` the
+    versions with several definition files (the last by path counts) and their number.
+    """
 
     run: int
     checkpoint: int | None
     skipped: str | None = None
     stats: DataFrame | None = None
     seconds: dict[str, float] = field(default_factory=dict)
+    keyless: list[tuple[str, str]] = field(default_factory=list)
+    duplicates: list[tuple[str, str, int, int]] = field(default_factory=list)
 
 
 class Clock:
@@ -286,6 +292,7 @@ class Plan:
     ranges: DataFrame
     range_rows: list[Row]
     streams: DataFrame | None = None
+    duplicates: list[tuple[str, str, int, int]] = field(default_factory=list)
 
     def touched(self) -> set[tuple[str, str]]:
         """Tables with files to read."""
@@ -425,6 +432,7 @@ def plan_log(
         tables, saved, position, upper, registry, grouped, effective,
         {k: r.truncate_version for k, r in cuts.items()},
         local_frame(spark, range_rows, ranges.schema), range_rows, streams,
+        [(r.source_schema, r.source_table, r.table_version, r.n_files) for r in rows if r.n_files > 1],
     )
 
 
@@ -525,7 +533,7 @@ def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) ->
     stats = stats.unionByName(
         local_frame(spark, cut, "source_schema string, source_table string, operation string, n_operations bigint")
     )
-    return Result(run, plan.upper, None, stats)
+    return Result(run, plan.upper, None, stats, duplicates=plan.duplicates)
 
 
 def apply_log(
@@ -613,6 +621,8 @@ def replay(spark: SparkSession, root: str, out: str, *, buckets: int = 64, **opt
     clock.mark("snapshot")
     result = apply_log(spark, root, store, settings, tables)
     result.seconds = clock.seconds | result.seconds
+    left_out = cat.without_key(cat.discover(spark, root, settings.tables))
+    result.keyless = [(r.source_schema, r.source_table) for r in left_out.collect()]
     return result
 
 

@@ -73,6 +73,10 @@ def table_row(in_force: dict[int, int], **fields) -> dict:
     return {**fields, "buckets": [{"run": r, "ids": sorted(ids)} for r, ids in sorted(by_run.items())]}
 
 
+# version of what tables.json and the stream progress look like
+FORMAT = 1
+
+
 class StateStore:
     """Where a replay keeps its results. ``buckets`` only counts when the store is new."""
 
@@ -93,7 +97,11 @@ class StateStore:
         if run == 0:
             return {}
         lines = get_text(self.spark, f"{self.out}/runs/{run}/tables.json").splitlines()
-        found = [TableState(json.loads(line)) for line in lines]
+        saved = [json.loads(line) for line in lines]
+        other = {line.pop("format", 1) for line in saved} - {FORMAT}
+        if other:
+            raise ValueError(f"the progress of run {run} in {self.out} has format {sorted(other)}, this library reads {FORMAT}")
+        found = [TableState(line) for line in saved]
         if found:
             self.n_buckets = found[0].n_buckets
         return {t.key: t for t in found}
@@ -147,10 +155,10 @@ class StateStore:
     def finish(self, run: int, tables: Sequence[dict], streams: DataFrame | None) -> None:
         """Write what the run left and put it in force; without ``streams`` those stay empty."""
         base = f"{self.out}/runs/{run}"
-        lines = [json.dumps({**t, "n_buckets": self.n_buckets}) for t in tables]
+        lines = [json.dumps({**t, "n_buckets": self.n_buckets, "format": FORMAT}) for t in tables]
         put_text(self.spark, f"{base}/tables.json", "\n".join(lines))
         if streams is not None:
-            streams.coalesce(1).write.mode("overwrite").parquet(f"{base}/streams")
+            streams.write.mode("overwrite").parquet(f"{base}/streams")
         put_text(self.spark, f"{base}/_DONE", "")
 
     def read(self, target: str, run: int | None = None) -> DataFrame:

@@ -192,6 +192,25 @@ def test_skipped_rows_are_counted_for_every_table(spark, workspace, out):
     assert {t: found.get((t, "skipped"), 0) for t in names} == {t: i % 3 for i, t in enumerate(names)}
 
 
+def test_a_run_reports_what_it_leaves_out(spark, two, out):
+    two.put("snapshot/depot.log-schema.sql", "CREATE TABLE `log` (\n  `a` int\n);")
+    two.checkpoint(4900).definition(3900, PARCEL_COLUMNS[:2], "box")
+    result = cl.replay(spark, str(two), out)
+    assert result.keyless == [("depot", "log")] and result.duplicates == [("depot", "box", 3900, 2)]
+
+
+def test_progress_of_another_format_is_refused(spark, two, out):
+    two.checkpoint(4900)
+    cl.replay(spark, str(two), out)
+    import pathlib
+
+    saved = sorted(pathlib.Path(out).glob("runs/*/tables.json"))[-1]
+    saved.write_text(saved.read_text().replace('"format": 1', '"format": 2'))
+    (saved.parent / ".tables.json.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError, match="format"):
+        cl.replay(spark, str(two), out)
+
+
 # --- values ---------------------------------------------------------------------------------
 
 
