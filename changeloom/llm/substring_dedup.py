@@ -312,9 +312,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     ranked = spans.withColumn("rank", F.rank().over(by_name)).withColumn("row", F.row_number().over(by_name))
     classes = F.sum((F.col("row") == 1).cast("int")).over(Window.partitionBy("key"))
     later = F.col("local") | (F.col("rank") > 1)
+    # a span has window - KEY + 1 windows at most, or repeats a run
+    cells = F.when(F.col("classes") > SHARD, F.ceil(F.col("classes") * (window - KEY + 1) / SHARD)).otherwise(1)
     marks = ranked.withColumn("classes", classes).where(later | (F.col("classes") > 1) | F.col("inner"))
     marks = written(
-        marks.select("id", "start", "n", "key", later.alias("later"), F.ceil(F.col("classes") / SHARD).cast("int").alias("cells")),
+        marks.select("id", "start", "n", "key", later.alias("later"), cells.cast("int").alias("cells")),
         "dedup-marks",
     )
     asked = marks.where("not later").groupBy(F.col("id").alias("of")).agg(
