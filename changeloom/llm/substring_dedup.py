@@ -17,10 +17,10 @@ content, and passages meet only the shard that can hold them:
 
 Words are ``[^\\x20\\x09-\\x0D]+``, unchanged, held as 64-bit numbers.
 
-Defined results: null and empty texts have no words; rows without an id come before all others; rows with
-the same id are repetitions of one document (neither is earlier than the other; should their texts differ,
-what goes from one goes from the same place of the others). Other columns are ignored, or returned with
-``keep``.
+Defined results: null and empty texts have no words; rows without an id come before all others. A row's place
+is its id and a hash of its text: rows with the same id and text are repetitions of one document; rows with
+the same id (or none) and different texts are documents of their own, of which neither is earlier than the
+other. Other columns are ignored, or returned with ``keep``.
 """
 
 from __future__ import annotations
@@ -43,19 +43,38 @@ SHARD = 500
 NO_ID = -(1 << 63)
 
 
-def _row_id(column: Column) -> Column:
-    return F.coalesce(column.cast("bigint"), F.lit(NO_ID))
+def _places(id_col: str, text_col: str) -> list[Column]:
+    """What documents are ordered by (id), what tells rows of one id apart (row), and the text."""
+    text = F.col(f"`{text_col}`").cast("string")
+    return [
+        F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(NO_ID)).alias("id"),
+        F.xxhash64(text).alias("row"),
+        text.alias("text"),
+    ]
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    return out
+
+
+def _leaders(first: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(first)[np.cumsum(first) - 1] if len(first) else np.zeros(0, int)
 
 
 def _spans(window: int):
-    """Task code: spans of a batch; of equal ones only the first is left to be compared with others."""
+    """Task code: spans of a batch; of equal ones only the first (of each row with the smallest id) is left to be
+    compared with others. ``at`` packs the start, the number of windows, whether a run comes again, and whether
+    the span goes in any case."""
     width = window - KEY + 1  # 5-word runs of a window
 
-    def cut(words, ids: np.ndarray) -> list[np.ndarray]:
+    def cut(words, ids: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
         runs = grams(words.number, KEY)
         n = len(words.number) - window + 1
         if n <= 0:
-            return [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]
+            return [np.zeros(0, np.int64)] * 6 + [np.zeros(0, bool)]
         least = runs[:n].copy()
         for i in range(1, width):
             np.minimum(least, runs[i : i + n], out=least)
@@ -79,33 +98,33 @@ def _spans(window: int):
         inner = again[np.minimum(end + width - 1, len(runs))] > again[begin]
         d = words.doc[begin]
         return [
-            least[begin].view(np.int64), name.view(np.int64), ids[d], begin - words.first[d], end - begin, inner,
+            least[begin].view(np.int64), name.view(np.int64), ids[d], rows[d], begin - words.first[d], end - begin, inner,
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader()
-        names = ["key", "name", "id", "start", "n", "inner", "local"]
         for batch in batches:
-            ids = numbers(batch, "id")
-            found = [cut(reader(column), ids[part]) for part, column in portions(batch.column("text"))]
+            ids, texts = numbers(batch, "id"), numbers(batch, "row")
+            found = [cut(reader(column), ids[part], texts[part]) for part, column in portions(batch.column("text"))]
             if not found:
                 continue
-            key, name, doc, start, n, inner = (np.concatenate(c) for c in zip(*found))
-            order = np.lexsort((start, doc, name, key))
-            key, name, doc, start, n, inner = (x[order] for x in (key, name, doc, start, n, inner))
-            first = np.ones(len(key), bool)
-            first[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
-            leader = np.flatnonzero(first)[np.cumsum(first) - 1] if len(key) else np.zeros(0, int)
-            later = (doc != doc[leader]) | (start != start[leader])
-            keep = first | later
+            key, name, doc, row, start, n, inner = (np.concatenate(c) for c in zip(*found))
+            order = np.lexsort((start, row, doc, name, key))
+            key, name, doc, row, start, n, inner = (x[order] for x in (key, name, doc, row, start, n, inner))
+            leader = _leaders(_changes(key, name))
+            own = _leaders(_changes(key, name, doc, row))
+            later = (doc != doc[leader]) | (start != start[own])
+            keep = _changes(key, name, doc, row, start)
             # one that goes in any case is dealt by its place, not with the others of its key
-            place = mix(doc.view(np.uint64) * np.uint64(31) + start.astype(np.uint64)).view(np.int64)
+            place = mix(doc.view(np.uint64) * np.uint64(31) + row.view(np.uint64) + start.astype(np.uint64)).view(np.int64)
             key = np.where(later, place, key)
+            at = (start.astype(np.int64) << 33) | (n.astype(np.int64) << 2) | (inner.astype(np.int64) << 1) | later
             for i in range(0, len(key), 1 << 16):
                 part = slice(i, i + (1 << 16))
-                rows = [x[part][keep[part]] for x in (key, name, doc, start, n, inner, later)]
-                kinds = (pa.int64(),) * 3 + (pa.int32(),) * 2 + (pa.bool_(),) * 2
-                yield pa.RecordBatch.from_arrays([pa.array(x).cast(k) for x, k in zip(rows, kinds)], names=names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[part][keep[part]], pa.int64()) for x in (key, name, doc, row, at)],
+                    names=["key", "name", "id", "row", "at"],
+                )
 
     return run
 
@@ -115,35 +134,37 @@ def _span_words(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader()
-        kinds = [("key", pa.int64()), ("cell", pa.int32()), ("id", pa.int64()), ("start", pa.int32()), ("words", pa.binary())]
+        kinds = [("key", pa.int64()), ("cell", pa.int32()), ("id", pa.int64()), ("row", pa.int64())]
+        kinds += [("start", pa.int32()), ("words", pa.binary())]
         rows = Rows(pa.schema(kinds))
         for batch in batches:
-            single: list[tuple[int, int, int, int, int, bytes]] = []
+            single: list[tuple[int, int, int, int, int, int, bytes]] = []
             for part, column in portions(batch.column("text")):
                 words = reader(column)
-                ids, asked = (batch.column(c).slice(part.start, len(column)).to_pylist() for c in ("id", "spans"))
-                for d, doc in enumerate(ids):
+                asked = [batch.column(c).slice(part.start, len(column)).to_pylist() for c in ("id", "row", "spans")]
+                for d, (doc, row, spans) in enumerate(zip(*asked)):
                     own = words.number[words.first[d] : words.first[d + 1]]
-                    for s in asked[d]:
+                    for s in spans:
                         start, n, key, cells = s["start"], s["n"], s["key"], s["cells"]
-                        if start + n + window - 1 > len(own):
-                            continue  # another text of the same id
                         if cells == 1:
-                            rows.add(key, 0, doc, start, own[start : start + n + window - 1].tobytes())
+                            rows.add(key, 0, doc, row, start, own[start : start + n + window - 1].tobytes())
                             continue
                         name = grams(own[start : start + n + window - 1], window).tolist()
                         for i in range(n):
-                            single.append((key, name[i], doc, start + i, cells, own[start + i : start + i + window].tobytes()))
+                            single.append((key, name[i], doc, row, start + i, cells, own[start + i : start + i + window].tobytes()))
                 if rows.full():
                     yield rows.batch()
-            # of equal windows of a batch only the first is compared with others; the rest go, and are dealt by their place
-            first = None
-            for key, name, doc, start, cells, own in sorted(single):
+            # of equal windows of a batch only the first (of each row with the smallest id) is compared with others; the
+            # rest go, and are dealt by their place
+            first = kept = None
+            for key, name, doc, row, start, cells, own in sorted(single):
                 if first is None or first[:2] != (key, name):
-                    first = (key, name, doc, start)
-                    rows.add(key, name % cells, doc, start, own)
-                elif (doc, start) != first[2:]:
-                    rows.add((doc * 31 + start) & 0x7FFFFFFF, -1, doc, start, b"")
+                    first, kept = (key, name, doc), None
+                if doc == first[2] and (kept is None or kept[0] != row):
+                    kept = (row, start)
+                    rows.add(key, name % cells, doc, row, start, own)
+                elif doc != first[2] or start != kept[1]:
+                    rows.add((doc * 31 + row + start) & 0x7FFFFFFF, -1, doc, row, start, b"")
             if rows.full():
                 yield rows.batch()
         yield rows.batch()
@@ -202,20 +223,53 @@ class SuffixAutomaton:
     def begin(self, mark: int) -> None:
         """Start of another text; ``mark`` is a word that no text has."""
         self.add(mark)
+        self.restart()
+
+    def restart(self) -> None:
+        """What is followed next is another text."""
         self.state = self.matched = 0
 
 
-def repeated(spans: Sequence[Sequence[int]], window: int) -> list[list[int]]:
-    """For each span, in order: the starts of its windows that also start earlier."""
+def repeated(spans: Sequence[Sequence[int]], window: int, places: Sequence[tuple[int, int]] | None = None) -> list[list[int]]:
+    """For each span, in order: the starts of its windows that also start earlier.
+
+    ``places`` are the spans' documents (id, row). Of documents with the same id neither is earlier, so each of
+    these is followed through the automaton of smaller ids and one of its own before the former takes them in.
+    """
     automaton, out = SuffixAutomaton(), []
-    for k, words in enumerate(spans):
-        automaton.begin(-1 - k)
-        found = []
-        for i, word in enumerate(words):
-            if automaton.follow(word) >= window:
-                found.append(i - window + 1)
-            automaton.add(word)
-        out.append(found)
+    places = places or [(0, 0)] * len(spans)
+    begin = 0
+    while begin < len(spans):
+        end = begin + 1
+        while end < len(spans) and places[end][0] == places[begin][0]:
+            end += 1
+        alone = places[begin] == places[end - 1]
+        own = None
+        for k in range(begin, end):
+            if alone:
+                automaton.begin(-1 - k)
+            else:
+                automaton.restart()
+                if k == begin or places[k] != places[k - 1]:
+                    own = SuffixAutomaton()
+                own.begin(-1 - k)
+            found = []
+            for i, word in enumerate(spans[k]):
+                matched = automaton.follow(word)
+                if alone:
+                    automaton.add(word)
+                else:
+                    matched = max(matched, own.follow(word))
+                    own.add(word)
+                if matched >= window:
+                    found.append(i - window + 1)
+            out.append(found)
+        if not alone:
+            for k, words in enumerate(dict.fromkeys(map(tuple, spans[begin:end]))):
+                automaton.begin(-1 - begin - k)
+                for word in words:
+                    automaton.add(word)
+        begin = end
     return out
 
 
@@ -223,23 +277,23 @@ def _match(window: int):
     """Task code: the windows of each shard that also start earlier."""
 
     def arrays(batch: pa.RecordBatch):
-        return {c: numbers(batch, c) for c in ("key", "cell", "id", "start")} | {"words": objects(batch, "words")}
+        return {c: numbers(batch, c) for c in ("key", "cell", "id", "row", "start")} | {"words": objects(batch, "words")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = Rows(pa.schema([("id", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]))
+        rows = Rows(pa.schema([("id", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]))
         for g in groups(batches, ("key", "cell"), arrays):
             if g["cell"][0] < 0:
-                for doc, start in zip(g["id"].tolist(), g["start"].tolist()):
-                    rows.add(doc, start, 1)
+                for doc, row, start in zip(g["id"].tolist(), g["row"].tolist(), g["start"].tolist()):
+                    rows.add(doc, row, start, 1)
                 continue
-            place = list(zip(g["id"].tolist(), g["start"].tolist()))
+            place = list(zip(g["id"].tolist(), g["row"].tolist(), g["start"].tolist()))
             one = [k for k in range(len(place)) if not k or place[k] != place[k - 1]]  # a repeated row is no second place
             spans = [np.frombuffer(g["words"][k], np.uint64).tolist() for k in one]
-            for k, starts in zip(one, repeated(spans, window)):
+            for k, starts in zip(one, repeated(spans, window, [place[k][:2] for k in one])):
                 begin = before = None
                 for s in [*starts, None]:
                     if begin is not None and s != before + 1:
-                        rows.add(place[k][0], place[k][1] + begin, before - begin + 1)
+                        rows.add(*place[k][:2], place[k][2] + begin, before - begin + 1)
                         begin = None
                     if begin is None:
                         begin = s
@@ -303,31 +357,42 @@ def _rest(words, left: np.ndarray) -> str:
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Runs of n windows from a start word on, by row id, whose words also start earlier."""
-    rows = docs.select(_row_id(F.col(f"`{id_col}`")).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    spans = rows.mapInArrow(
-        _spans(window), "key long, name long, id long, start int, n int, inner boolean, local boolean"
+    """Runs of n windows from a start word on, by the row's place (id, row), whose words also start earlier."""
+    rows = docs.select(*_places(id_col, text_col))
+    spans = rows.mapInArrow(_spans(window), "key long, name long, id long, row long, at long")
+    by_name = Window.partitionBy("key", "name").orderBy("id", "row", "at")
+    by_row = Window.partitionBy("key", "name", "id", "row").orderBy("at")
+    ranked = (
+        spans.withColumn("least", F.first("id").over(by_name))
+        .withColumn("number", F.row_number().over(by_name))
+        .withColumn("rank", F.rank().over(by_row))
     )
-    by_name = Window.partitionBy("key", "name").orderBy("id", "start")
-    ranked = spans.withColumn("rank", F.rank().over(by_name)).withColumn("row", F.row_number().over(by_name))
-    classes = F.sum((F.col("row") == 1).cast("int")).over(Window.partitionBy("key"))
-    later = F.col("local") | (F.col("rank") > 1)
+    classes = F.sum((F.col("number") == 1).cast("int")).over(Window.partitionBy("key"))
+    inner, local = F.col("at").bitwiseAND(2) != 0, F.col("at").bitwiseAND(1) != 0
+    later = local | (F.col("id") > F.col("least")) | (F.col("rank") > 1)
     # a span has window - KEY + 1 windows at most, or repeats a run
     cells = F.when(F.col("classes") > SHARD, F.ceil(F.col("classes") * (window - KEY + 1) / SHARD)).otherwise(1)
-    marks = ranked.withColumn("classes", classes).where(later | (F.col("classes") > 1) | F.col("inner"))
+    marks = (
+        ranked.select("key", "id", "row", "at", later.alias("later"), "number")
+        .withColumn("classes", classes)
+        .where(F.col("later") | (F.col("classes") > 1) | inner)
+    )
+    start, n = F.shiftright("at", 33), F.shiftright("at", 2).bitwiseAND((1 << 31) - 1)
     marks = written(
-        marks.select("id", "start", "n", "key", later.alias("later"), cells.cast("int").alias("cells")),
+        marks.select(
+            "id", "row", start.cast("int").alias("start"), n.cast("int").alias("n"), "key", "later", cells.cast("int").alias("cells")
+        ),
         "dedup-marks",
     )
-    asked = marks.where("not later").groupBy(F.col("id").alias("of")).agg(
+    asked = marks.where("not later").groupBy("id", "row").agg(
         F.collect_list(F.struct("start", "n", "key", "cells")).alias("spans")
     )
-    words = rows.join(asked, F.col("id") == F.col("of")).select("id", "text", "spans")
-    words = words.mapInArrow(_span_words(window), "key long, cell int, id long, start int, words binary")
-    shards = words.repartition("key", "cell").sortWithinPartitions("key", "cell", "id", "start")
-    matched = shards.mapInArrow(_match(window), "id long, start int, n int")
+    words = rows.join(asked, ["id", "row"]).select("id", "row", "text", "spans")
+    words = words.mapInArrow(_span_words(window), "key long, cell int, id long, row long, start int, words binary")
+    shards = words.repartition("key", "cell").sortWithinPartitions("key", "cell", "id", "row", "start")
+    matched = shards.mapInArrow(_match(window), "id long, row long, start int, n int")
     # written, so that the shuffles up to here can be dropped before the documents are shuffled again
-    return written(matched.union(marks.where("later").select("id", "start", "n")), "dedup-gone")
+    return written(matched.union(marks.where("later").select("id", "row", "start", "n")), "dedup-gone")
 
 
 def dedup(
@@ -345,12 +410,10 @@ def dedup(
     back in the struct ``kept``.
     """
     gone = repeats(docs, id_col, text_col, window)
-    gone = gone.groupBy(F.col("id").alias("of")).agg(F.collect_list(F.struct("start", "n")).alias("gone"))
+    gone = gone.groupBy("id", "row").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
     kept = F.struct(F.col(f"`{id_col}`").alias("id"), F.struct(*[F.col(f"`{c}`") for c in keep] or [F.lit(0).alias("none")]).alias("kept"))
-    rows = docs.select(
-        _row_id(F.col(f"`{id_col}`")).alias("row_id"), F.col(f"`{text_col}`").cast("string").alias("text"), kept.alias("kept")
-    )
-    rows = rows.join(gone, F.col("row_id") == F.col("of"), "left").select("kept", "text", "gone")
+    rows = docs.select(*_places(id_col, text_col), kept.alias("kept"))
+    rows = rows.join(gone, ["id", "row"], "left").select("kept", "text", "gone")
     kind = rows.schema["kept"].dataType.simpleString()
     done = rows.mapInArrow(_apply(window, joined), f"kept {kind}, n_words long, n_removed long, text string")
     return done.select(

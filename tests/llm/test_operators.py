@@ -237,6 +237,31 @@ def test_dedup(spark, monkeypatch, shard):
     assert rows.where("n_removed > 0").count() > 20
 
 
+@pytest.mark.parametrize("shard", [500, 2])
+def test_dedup_rows_with_one_id(spark, monkeypatch, shard):
+    monkeypatch.setattr(substring_dedup, "SHARD", shard)
+    rng = random.Random(12)
+    passages = [prose(rng, 25) for _ in range(4)]
+    docs = [(d, prose(rng, 70)) for d in (None, None, 7, 7)]
+    for d in (None, 7):  # repeats in itself; shared by rows of one id, at one place and at different ones
+        p = prose(rng, 26)
+        docs += [(d, f"{p} {prose(rng, 5)} {p} {passages[0]}"), (d, f"{passages[1]} {prose(rng, 40)}")]
+        docs += [(d, f"{passages[1]} {passages[2]}"), (d, f"{prose(rng, 9)} {passages[2]} {prose(rng, 3)}"), (d, f"{passages[3]} end")]
+    docs += [(9, f"{prose(rng, 4)} {p} {prose(rng, 4)}") for p in passages] + [(9, docs[0][1] + " and " + docs[3][1])]
+    docs += [docs[0], docs[4]]
+    order = lambda d: (d is not None, d or 0)
+    grams = lambda t: [tuple(w[i : i + 20]) for w in [plain.words(t)] for i in range(len(w) - 19)]
+    found = {t: {g for g in grams(t)} for _, t in docs}
+    expected = []
+    for d, t in docs:
+        w, own = plain.words(t), grams(t)
+        before = set().union(*(found[u] for e, u in docs if order(e) < order(d)))
+        gone = {i + k for i, g in enumerate(own) if g in before or g in own[:i] for k in range(20)}
+        expected.append((d, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    rows = substring_dedup.dedup(frame(spark, docs).repartition(7), joined=True)
+    assert got(rows, "doc_id", "n_words", "n_removed", "text") == sorted(expected, key=repr)
+
+
 def test_dedup_keeps_blanks_and_columns(spark):
     passage = prose(random.Random(4), 25)
     docs = [(1, passage + "\nend"), (2, "start  here\n\n" + passage + "\n\tlast  words"), (3, None), (4, "as  it is ")]
