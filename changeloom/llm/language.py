@@ -6,9 +6,10 @@ to the runner-up, in bytes, gives the score; narrow margins are marked ``rejecte
 lower-cased and lose ASCII characters other than letters; a text of under ``SHORT`` bytes is repeated,
 as zstandard gives up on blocks that it can't make smaller.
 
-Model: at most ``samples`` labelled texts a language (those with the smallest hash), of each at most
-``sample_chars`` characters, up to ``dict_bytes``; at most ``max_langs`` languages. Labels are
-learned only from the rows that are passed for training.
+Model: at most ``samples`` different labelled texts a language (those with the smallest hash), of each at most
+``sample_chars`` characters, up to ``dict_bytes``; at most ``max_langs`` languages. Texts that begin with
+the same ``sample_chars`` characters count once, however many copies there are. Labels are learned only
+from the rows that are passed for training.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with a single learned
 language everything else is that language with score 1; with no labelled row everything is ``und``.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -46,6 +47,32 @@ def plain(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(_PLAIN).split())
 
 
+def _smallest(samples: int):
+    """Task code: of each language the different texts with the smallest hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, dict[int, str]] = {}
+        bound: dict[str, int] = {}
+        for batch in batches:
+            text = batch.column("text")
+            for i, (lang, unit) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("unit").to_pylist())):
+                own = found.setdefault(lang, {})
+                if unit in own or unit > bound.get(lang, unit):
+                    continue
+                own[unit] = text[i].as_py()
+                if len(own) >= 2 * samples:
+                    found[lang] = {u: own[u] for u in sorted(own)[:samples]}
+                    bound[lang] = max(found[lang], default=unit)
+        for lang, own in found.items():
+            units = sorted(own)[:samples]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(units), pa.string()), pa.array(units, pa.int64()), pa.array([own[u] for u in units], pa.string())],
+                names=["lang", "unit", "text"],
+            )
+
+    return run
+
+
 def learn(
     labelled: DataFrame,
     text_col: str = "text",
@@ -62,22 +89,16 @@ def learn(
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not counts:
         return {}
-    # a share of each language that holds about three times what is wanted, then the smallest hashes of it
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, 3.0 * samples / r["count"]))])
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
-    few = (
-        rows.withColumn("unit", unit)
-        .where(F.col("unit") < F.try_element_at(share, F.col("lang")) * float(1 << 40))
-        .select("lang", "unit", F.substring("text", 1, sample_chars).alias("text"))
-        .dropDuplicates(["lang", "text"])
-        .orderBy("unit", "lang")
-        .limit(4 * samples * len(counts))
-        .collect()
+    # the smallest hashes of each task's rows, then of all
+    heads = rows.where(F.col("lang").isin([r.lang for r in counts])).select("lang", F.substring("text", 1, sample_chars).alias("text"))
+    few = heads.select("lang", F.xxhash64("text").alias("unit"), "text").mapInArrow(
+        _smallest(samples), "lang string, unit long, text string"
     )
+    by_lang = Window.partitionBy("lang").orderBy("unit")
+    few = few.dropDuplicates(["lang", "unit"]).withColumn("place", F.row_number().over(by_lang)).where(F.col("place") <= samples)
     found: dict[str, list[bytes]] = {r.lang: [] for r in counts}
-    for r in few:
-        if len(found[r.lang]) < samples:
-            found[r.lang].append(plain(r.text))
+    for r in sorted(few.collect(), key=lambda r: r.place):
+        found[r.lang].append(plain(r.text))
     return {lang: b" ".join(parts)[-dict_bytes:] for lang, parts in found.items() if parts}
 
 

@@ -291,6 +291,18 @@ def test_language(spark):
     assert {r.lang_pred for r in language.identify(table, {}).collect()} == {"und"}
 
 
+def test_language_of_copies(spark):
+    rng = random.Random(7)
+    texts = [prose(rng, 30) for _ in range(150)]
+    docs = [(i, "hot copy " * 9, "en") for i in range(4000)] + [(i, t, "en") for i, t in enumerate(texts)]
+    docs += [(i, f"kopie nummer {'abc'[i % 3]} " * 9, "de") for i in range(3000)] + [(9, "x" * 800 + str(i), "fr") for i in range(50)]
+    found = language.learn(frame(spark, docs).repartition(5), samples=120)
+    assert sorted(found) == ["de", "en", "fr"] and found == language.learn(frame(spark, docs[::-1]).repartition(3), samples=120)
+    assert sum(language.plain(t) in found["en"] for t in texts) >= 119
+    assert all(f"kopie nummer {x}".encode() in found["de"] for x in "abc") and found["fr"] == b"x" * 700
+    assert all(language.learn(frame(spark, docs), samples=1).values())
+
+
 # --- jaccard join ----------------------------------------------------------------------------
 
 
