@@ -70,26 +70,29 @@ def _factors() -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    reader = WordReader()
-    a, b = _factors()
-    for batch in batches:
-        for part, column in portions(batch.column("text")):
-            words = reader(column)
-            runs = grams(words.number, SHINGLE)
-            sets = [shingles(words, d, runs) for d in range(len(column))]
-            keys = [set_key(s) for s in sets]
-            signed = [signature(s, a, b).view(np.int64) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").slice(part.start, part.stop - part.start),
-                    pa.array([int(k[0]) for k in keys], pa.int64()),
-                    pa.array([int(k[1]) for k in keys], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(signed, pa.list_(pa.int64())),
-                ],
-                names=["id", "node", "node2", "n", "signature"],
-            )
+def _sketch(passed: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = WordReader()
+        a, b = _factors()
+        for batch in batches:
+            for part, column in portions(batch.column("text")):
+                words = reader(column)
+                runs = grams(words.number, SHINGLE)
+                sets = [shingles(words, d, runs) for d in range(len(column))]
+                keys = [set_key(s) for s in sets]
+                signed = [signature(s, a, b).view(np.int64) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(part.start, part.stop - part.start) for c in passed),
+                        pa.array([int(k[0]) for k in keys], pa.int64()),
+                        pa.array([int(k[1]) for k in keys], pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(signed, pa.list_(pa.int64())),
+                    ],
+                    names=[*passed, "node", "node2", "n", "signature"],
+                )
+
+    return run
 
 
 def needed_matches(threshold: float, tolerance: float) -> list[int]:
@@ -271,11 +274,12 @@ def _dealt(rows: DataFrame, count: str, keys: list[str]) -> DataFrame:
     return dealt.repartition(*keys, "p", "q").sortWithinPartitions(*keys, "p", "q", "node")
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
     rows = texts(docs, id_col, text_col).withColumn("id", F.col("id").cast("bigint"))
-    return written(
-        rows.mapInArrow(_sketch, "id long, node long, node2 long, n long, signature array<bigint>"), "jaccard-sketches"
-    )
+    passed = ["id", "row"] if keyed else ["id"]
+    rows = rows.withColumn("row", F.xxhash64("text")) if keyed else rows
+    kinds = "".join(f"{c} long, " for c in passed) + "node long, node2 long, n long, signature array<bigint>"
+    return written(rows.mapInArrow(_sketch(passed), kinds), "jaccard-sketches")
 
 
 def links(
@@ -287,6 +291,8 @@ def links(
     tolerance: float = TOLERANCE,
 ) -> tuple[DataFrame, DataFrame]:
     """Classes (node, copy_id, size) and, of those with links, (node, n_classes, n_docs, root) by cell."""
+    # of rows with a key of their own: the first of each class, rows without an id last
+    lead = [F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row")).alias("lead")] if "row" in sketched.columns else []
     classes = written(
         sketched.where("n > 0")
         .groupBy("node", "node2")
@@ -295,6 +301,7 @@ def links(
             F.count("*").alias("size"),
             F.any_value("n").alias("n"),
             F.any_value("signature").alias("signature"),
+            *lead,
         )
         .drop("node2"),
         "jaccard-classes",
@@ -330,19 +337,25 @@ def join(
     text_col: str = "text",
     threshold: float = THRESHOLD,
     tolerance: float = TOLERANCE,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per row: id, copy_id (smallest id with the same shingles), class_id (smallest id in its group of
-    linked documents) and n_links (other documents at the threshold or above, copies included)."""
-    sketched = sketches(docs, id_col, text_col)
+    linked documents) and n_links (other documents at the threshold or above, copies included).
+
+    With ``keyed`` also row (xxhash64 of the text) and the struct ``lead``: id and row of the group's first
+    document, by id (null last) and row; null for a document without words."""
+    sketched = sketches(docs, id_col, text_col, keyed)
+    lead = ["lead"] if keyed else []
     classes, found = links(docs, sketched, id_col, text_col, threshold, tolerance)
     sums = found.groupBy("node").agg(F.sum("n_docs").alias("linked"))
     group = components(found.select("node", "root"))
-    group = group.join(classes.select("node", "copy_id"), "node")
-    lowest = group.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    known = group.select("node", "root").join(lowest, "root").join(sums, "node").select("node", "class_id", "linked")
+    group = group.join(classes.select("node", "copy_id", *lead), "node")
+    lowest = group.groupBy("root").agg(F.min("copy_id").alias("class_id"), *[F.min(c).alias("class_lead") for c in lead])
+    known = group.select("node", "root").join(lowest, "root").join(sums, "node")
+    known = known.select("node", "class_id", "linked", *[f"class_{c}" for c in lead])
     # written, so that Spark can split the rows of a class with very many copies in the join that follows
-    per_class = written(classes.select("node", "copy_id", "size").join(known, "node", "left"), "jaccard-classes")
-    rows = sketched.select("id", "node", "n").join(
+    per_class = written(classes.select("node", "copy_id", "size", *lead).join(known, "node", "left"), "jaccard-classes")
+    rows = sketched.select("id", "node", "n", *(["row"] if keyed else [])).join(
         per_class.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & (F.col("n") > 0), "left"
     )
     return rows.select(
@@ -350,6 +363,7 @@ def join(
         F.coalesce("copy_id", "id").alias("copy_id"),
         F.coalesce("class_id", "copy_id", "id").alias("class_id"),
         (F.coalesce("size", F.lit(1)) - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
+        *([F.col("row"), F.coalesce("class_lead", "lead").alias("lead")] if keyed else []),
     )
 
 

@@ -4,13 +4,14 @@ Every stage takes the documents that its predecessor kept, with the columns doc_
 and n_chars, and but for the last returns the same columns. ``run`` writes each stage's result as
 Parquet below ``spark.checkpoint.dir`` and reads it again.
 
-Defined results: null and empty texts pass all stages and have no tokens; rows without an id always pass the
-near-duplicate stage; rows repeated as they are become one there. Further columns are left behind.
+Defined results: null and empty texts pass all stages and have no tokens. In the near-duplicate stage rows of
+one id with different texts are documents of their own, and rows without an id come after those with one; rows
+repeated as they are become one, but for those without an id and without words. Further columns are left behind.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm import byte_bpe, decontaminate, jaccard_join, substring_dedup, toxicity
@@ -30,13 +31,19 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    classes = jaccard_join.join(docs)
-    later = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("later")).distinct()
-    rest = docs.select(*COLUMNS).join(later, F.col("doc_id") == F.col("later"), "left_anti")
-    same = Window.partitionBy("doc_id", "text").orderBy("lang", "source", "n_chars")
-    one = F.col("doc_id").isNull() | (F.row_number().over(same) == 1)
-    return rest.withColumn("one", one).where("one").select(*COLUMNS)
+    """Of each group of linked documents the one with the smallest id, by id and hash of the text."""
+    classes = jaccard_join.join(docs, keyed=True)
+    first = F.col("doc_id").eqNullSafe(F.col("lead.id")) & (F.col("row") == F.col("lead.row"))
+    later = classes.where(F.col("lead").isNotNull() & ~first)
+    later = later.select(F.col("doc_id").alias("later"), F.col("row").alias("later_row")).distinct()
+    rows = docs.select(*COLUMNS).withColumn("row", F.xxhash64(F.col("text").cast("string")))
+    gone = F.col("doc_id").cast("bigint").eqNullSafe(F.col("later")) & (F.col("row") == F.col("later_row"))
+    rest = rows.join(later, gone, "left_anti")
+    # rows without an id and without words are no repetitions; the others are counted before tasks exchange them
+    alone = F.col("doc_id").isNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rest = rest.withColumn("own", F.when(alone, F.monotonically_increasing_id()))
+    one = rest.groupBy("doc_id", "text", "own").agg(F.min(F.struct(*KEPT)).alias("kept"))
+    return one.select("doc_id", "text", "kept.*").select(*COLUMNS)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,3 +92,14 @@ def test_stages_with_odd_rows(spark, tmp_path):
             if name == "near_duplicates":
                 assert not rows or max(found.values()) == 1
         assert corpus_pipeline.encode(spark, docs, sf).count() == len(rows)
+
+
+def test_near_duplicates_by_row(spark):
+    text = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, text[0]), (5, text[0] + " more"), (5, text[1]), (None, text[0]), (None, text[2]), (None, text[2]), (None, text[2] + " end")]
+    rows += [(7, text[3]), (7, text[3].replace(" ", "  ")), (None, text[4]), (None, None), (None, None), (None, " ")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], schema)
+    found = [(r.doc_id, r.text) for r in corpus_pipeline.remove_near_duplicates(spark, docs.repartition(4), SF).collect()]
+    kept = Counter((d, " ".join((t or "").split()).removesuffix(" end")) for d, t in found)
+    assert kept == {(1, text[0]): 1, (5, text[1]): 1, (None, text[2]): 1, (7, text[3]): 1, (None, text[4]): 1, (None, ""): 3}
