@@ -9,7 +9,8 @@ letters, digits and non-ASCII characters, held as 64-bit numbers.
 Items go to the tasks in blocks of at most ``block_bytes`` of text, checked beforehand; with more
 blocks than one the documents pass once for each block, and what was found travels with them.
 
-Defined results: null and empty texts have no words; items without words are never found; repeated
+Defined results: null and empty texts have no words; items without words are never found; items without an
+id are searched too, their hits contaminate a document but add nothing to its item_ids; repeated
 documents are searched each, repeated items count once by id; other columns are ignored.
 """
 
@@ -39,11 +40,13 @@ class Searcher:
         self.shift: dict[int, int] = {}
         self.buckets: dict[int, dict[tuple[int, ...], set[str]]] = defaultdict(dict)
 
-    def add(self, words: Sequence[int], blocks: Sequence[int], item: str) -> None:
+    def add(self, words: Sequence[int], blocks: Sequence[int], item: str | None) -> None:
         for at, block in enumerate(blocks):
             move = self.length - self.block - at
             self.shift[block] = min(self.shift.get(block, self.far), move)
-        self.buckets[blocks[-1]].setdefault(tuple(words), set()).add(item)
+        items = self.buckets[blocks[-1]].setdefault(tuple(words), set())
+        if item is not None:
+            items.add(item)
 
     def find(self, words: list[int], blocks: list[int], begin: int, end: int) -> Iterator[tuple[int, set[str]]]:
         """Starts of occurrences in words[begin:end] and the items they are of."""
@@ -62,7 +65,7 @@ class Searcher:
             at += 1
 
 
-def searchers(items: Sequence[tuple[str, str | None]], window: int) -> list[Searcher]:
+def searchers(items: Sequence[tuple[str | None, str | None]], window: int) -> list[Searcher]:
     reader, by_length = WordReader(NOT_ALNUM, lower=True), {}
     for item, text in items:
         number = reader([text]).number
@@ -86,7 +89,7 @@ def _merged(starts: Sequence[int], ends: Sequence[int]) -> tuple[list[int], list
     return out
 
 
-def _search(items: list[tuple[str, str | None]], window: int, passed: Sequence[str]):
+def _search(items: list[tuple[str | None, str | None]], window: int, passed: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader(NOT_ALNUM, lower=True)
         search = searchers(items, window)
@@ -150,7 +153,7 @@ def find_items(
     whole = ["id", "text", *(["kept"] if keep else [])]
     kinds = {c: state.schema[c].dataType.simpleString() for c in whole}
     for b in range(n_blocks):
-        block = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).where("item is not null")
+        block = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b)
         patterns = [(r.item, r.text) for r in block.collect()]
         last = b == n_blocks - 1
         passed = ["id"] if last and not keep else whole
@@ -173,7 +176,7 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         n_hit.alias("n_hit"),
         F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("item_ids") > 0).alias("contaminated"),
+        (n_hit > 0).alias("contaminated"),
     )
 
 

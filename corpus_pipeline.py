@@ -56,7 +56,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"), keep=KEPT)
-    return found.where(F.size("item_ids") == 0).select("doc_id", "text", "kept.*")
+    return found.where(F.size("hit_start") == 0).select("doc_id", "text", "kept.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

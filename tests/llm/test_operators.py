@@ -358,6 +358,21 @@ def test_decontamination(spark, block_bytes):
     assert decontaminate.find_items(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [8_000_000, 100])
+def test_decontamination_by_items_without_id(spark, block_bytes):
+    rng = random.Random(13)
+    items = [(None, prose(rng, 12)), (None, prose(rng, 3)), (1, prose(rng, 12)), (None, None)]
+    docs = [(i, f"{prose(rng, 4)} {t} {prose(rng, 4)}") for i, (_, t) in enumerate(items)] + [(9, f"{items[0][1]} {items[2][1]}")]
+    documents, benchmark = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.digest(decontaminate.find_items(documents, benchmark, block_bytes=block_bytes))
+    con = duckdb.connect()
+    con.register("documents", documents.select("doc_id", "text").toArrow())
+    con.register("benchmark", benchmark.toArrow())
+    expected = con.execute(decontaminate.SQL).fetchall()
+    assert got(rows, *[c[0] for c in con.description]) == sorted(expected, key=repr)
+    assert [r.contaminated for r in rows.orderBy("doc_id").collect()] == [True, True, True, False, True]
+
+
 # --- chat formatting -------------------------------------------------------------------------
 
 

@@ -103,3 +103,10 @@ def test_near_duplicates_by_row(spark):
     found = [(r.doc_id, r.text) for r in corpus_pipeline.remove_near_duplicates(spark, docs.repartition(4), SF).collect()]
     kept = Counter((d, " ".join((t or "").split()).removesuffix(" end")) for d, t in found)
     assert kept == {(1, text[0]): 1, (5, text[1]): 1, (None, text[2]): 1, (7, text[3]): 1, (None, text[4]): 1, (None, ""): 3}
+
+
+def test_decontamination_stage_by_hits(spark, tmp_path):
+    spark.createDataFrame([(None, "x y")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "a x y"), (2, "a b")], "doc_id long, text string")
+    docs = docs.withColumns({c: F.lit(None).cast("string") for c in corpus_pipeline.KEPT})
+    assert [r.doc_id for r in corpus_pipeline.remove_contaminated(spark, docs, str(tmp_path)).collect()] == [2]
