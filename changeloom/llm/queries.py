@@ -12,6 +12,7 @@ from . import (
     decontaminate,
     jaccard_join,
     language,
+    minhash_dedup,
     quality_rules,
     substring_dedup,
     token_counts,
@@ -79,6 +80,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -94,4 +99,5 @@ ORACLES = {
     "op6_decontamination": decontaminate.SQL,
     "op7_chat_format": chat_format.SQL,
     "op9_url_filter": url_filter.sql(),
+    "op12_minhash_dedup": minhash_dedup.SQL,
 }

@@ -1,12 +1,14 @@
 """Words of a batch of texts as 64-bit numbers, for code inside tasks.
 
-All texts of a batch are laid one after the other and cut at separator bytes. A word's number is
-a polynomial in its bytes modulo 2**64, taken from one running sum, then mixed; equal words have
-equal numbers and different words differ but for a chance of about 2**-64.
+All texts of a batch are laid one after the other and cut at separator bytes. A word's number takes in its
+length and then its bytes, eight at a time, each time mixed (a step that no sum or polynomial undoes); words of
+more than ``LONG`` bytes are hashed by BLAKE2. Equal words have equal numbers; two different words have equal
+ones with a chance of about 2**-64, whatever their pattern. Where that isn't enough, callers compare the bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -18,7 +20,12 @@ import pyarrow.compute as pc
 BLANK = tuple(b"\x20\x09\x0a\x0b\x0c\x0d")
 #: every ASCII character but 0-9 and a-z (texts are lower-cased before)
 NOT_ALNUM = tuple(b for b in range(128) if not (48 <= b <= 57 or 97 <= b <= 122))
+#: bytes from which on a word is hashed on its own
+LONG = 64
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ROOT = 0x9E3779B97F4A7C15
+#: keeps the first k of eight bytes
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,41 +52,43 @@ class Words:
         return self.data[self.start[i] : self.end[i]]
 
 
+def _numbers(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Number of each word data[start:end]."""
+    at = np.ndarray((len(data),), "<u8", data + bytes(8), strides=(1,))
+    length = end - start
+    number = mix(mix(length.astype(np.uint64) + np.uint64(_ROOT)) ^ (at[start] & _MASK[np.minimum(length, 8)]))
+    more = np.flatnonzero((length > 8) & (length <= LONG))
+    for begin in range(8, LONG, 8):
+        more = more[length[more] > begin]
+        if not len(more):
+            break
+        block = at[start[more] + begin] & _MASK[np.minimum(length[more] - begin, 8)]
+        number[more] = mix((number[more] ^ block) + np.uint64(_ROOT))
+    for i in np.flatnonzero(length > LONG).tolist():
+        number[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return number
+
+
 class WordReader:
     """Turns lists of texts into :class:`Words`; make one for each task."""
 
     def __init__(self, separators: Sequence[int] = BLANK, lower: bool = False):
         self.is_word = np.ones(256, bool)
         self.is_word[list(separators)] = False
-        self.weight = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ROOT))
+        self.lower = LOWER if lower else None
         if lower:
-            upper = np.arange(65, 91)
-            self.is_word[upper] = True
-            self.weight[upper] = self.weight[upper + 32]
-        self.power = np.ones(1, np.uint64)
-        self.inverse = np.ones(1, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if len(self.power) < n:
-            size = 1 << (n - 1).bit_length()
-            for name, base in (("power", _ROOT), ("inverse", pow(_ROOT, -1, 1 << 64))):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+            self.is_word[65:91] = True
 
     def __call__(self, texts: Sequence[str | None]) -> Words:
         encoded = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
         data = b"\n".join(encoded) + b"\n"
         raw = np.frombuffer(data, np.uint8)
-        self._powers(len(raw) + 1)
         inside = self.is_word[raw]
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         if inside[0]:
             edge = np.concatenate(([0], edge))
         start, end = edge[0::2], edge[1::2]
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(self.weight[raw] * self.power[: len(raw)], dtype=np.uint64, out=total[1:])
-        number = mix((total[end] - total[start]) * self.inverse[start])
+        number = _numbers(data.translate(self.lower) if self.lower else data, start, end)
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
         begins = np.concatenate(([0], np.cumsum(lengths + 1)))
         first = np.searchsorted(start, begins)
@@ -90,10 +99,10 @@ class WordReader:
 def grams(number: np.ndarray, n: int) -> np.ndarray:
     """Number of each run of n words; entry i is the run that starts at word i."""
     size = max(0, len(number) - n + 1)
-    out = np.zeros(size, np.uint64)
+    out = np.full(size, n, np.uint64)
     for j in range(n):
-        out = out * np.uint64(_ROOT) + number[j : j + size]
-    return mix(out)
+        out = mix((out ^ number[j : j + size]) + np.uint64(_ROOT))
+    return out
 
 
 def portions(column: pa.Array, size: int = 1 << 18) -> Iterator[tuple[slice, list[str | None]]]:
