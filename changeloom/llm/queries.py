@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import (
     byte_bpe,
     chat_format,
+    collocations,
     decontaminate,
     jaccard_join,
     language,
@@ -84,6 +85,10 @@ def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -100,4 +105,5 @@ ORACLES = {
     "op7_chat_format": chat_format.SQL,
     "op9_url_filter": url_filter.sql(),
     "op12_minhash_dedup": minhash_dedup.SQL,
+    "op13_collocations": collocations.SQL,
 }
