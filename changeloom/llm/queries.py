@@ -10,6 +10,7 @@ from . import (
     byte_bpe,
     chat_format,
     collocations,
+    conversation_repair,
     decontaminate,
     jaccard_join,
     language,
@@ -81,6 +82,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.query(table(spark, sf_dir, "conversations"))
+
+
 def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -104,6 +109,7 @@ ORACLES = {
     "op6_decontamination": decontaminate.SQL,
     "op7_chat_format": chat_format.SQL,
     "op9_url_filter": url_filter.sql(),
+    "op11_conversation_repair": conversation_repair.SQL,
     "op12_minhash_dedup": minhash_dedup.SQL,
     "op13_collocations": collocations.SQL,
 }
