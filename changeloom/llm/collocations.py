@@ -34,15 +34,15 @@ from pyspark.sql import functions as F
 
 from .groups import groups, numbers, objects
 from .tables import written
-from .words import LOWER, WordReader, grams, mix, portions
+from .words import LOWER, WordReader, Words, mix, portions
 
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 UNKNOWN = "und"
 PIECE_END = tuple(b".,;:!?\x0a\x0b\x0c\x0d")
-#: words that a task holds before it combines and sends them
-HELD = 1 << 21
+#: words, and suffix pointers, that a task holds before it combines them
+HELD, HELD_POINTERS = 1 << 19, 1 << 18
 #: bytes of text for each counter of the table of pairs; fewest and most counters; counters in a row
 SLOT_BYTES, LEAST_SLOTS, MOST_SLOTS, SLICE = 128, 1 << 16, 1 << 26, 1 << 16
 #: words of the corpus for each route; a pair of more occurrences than this is routed by further words
@@ -83,6 +83,33 @@ def _pairs(number: np.ndarray, piece: np.ndarray, slots: int) -> tuple[np.ndarra
     return inside, np.append(slot, 0)[: len(number)]
 
 
+def _words(words: Words, number: np.ndarray, langs: list[str]) -> pa.RecordBatch:
+    """Distinct words with their language, spelling and count."""
+    distinct, first, n = np.unique(number, return_index=True, return_counts=True)
+    data = words.data.translate(LOWER)
+    spelled = [data[s:e] for s, e in zip(words.start[first].tolist(), words.end[first].tolist())]
+    return pa.RecordBatch.from_pydict(
+        {
+            "number": pa.array(distinct.view(np.int64)),
+            "lang": pa.array(langs, pa.string()).take(pa.array(words.doc[first])),
+            "word": pa.array(spelled, pa.binary()),
+            "n": pa.array(n),
+        }
+    )
+
+
+def _counted(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The words in batches, with empty columns for slices of the table."""
+    for i in range(0, rows.num_rows, 1 << 15):
+        part = rows.slice(i, 1 << 15)
+        none = [pa.nulls(part.num_rows, pa.int64()), pa.nulls(part.num_rows, pa.binary())]
+        word = pa.array([w.decode("utf-8", "surrogatepass") for w in part.column("word").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [part.column("number"), part.column("lang"), word, part.column("n"), *none],
+            names=["number", "lang", "word", "n", "slice", "counts"],
+        )
+
+
 COUNTED = "number long, lang string, word string, n long, slice long, counts binary"
 
 
@@ -91,46 +118,34 @@ def _count(slots: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, table = Pieces(), np.zeros(slots, np.uint16)
-        held: list[tuple[np.ndarray, np.ndarray, list, list]] = []
+        held: list[pa.RecordBatch] = []
         size = 0
 
-        def flush():
-            number = np.concatenate([h[0] for h in held])
-            count = np.concatenate([h[1] for h in held])
-            lang, word = ([x for h in held for x in h[k]] for k in (2, 3))
-            distinct, first, of = np.unique(number, return_index=True, return_inverse=True)
-            n = np.bincount(of, weights=count).astype(np.int64)
-            for i in range(0, len(distinct), 1 << 15):
-                part = first[i : i + (1 << 15)].tolist()
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "number": pa.array(distinct[i : i + (1 << 15)].view(np.int64)),
-                        "lang": pa.array([lang[k] for k in part], pa.string()),
-                        "word": pa.array([word[k].decode("utf-8", "surrogatepass") for k in part], pa.string()),
-                        "n": pa.array(n[i : i + (1 << 15)]),
-                        "slice": pa.nulls(len(part), pa.int64()),
-                        "counts": pa.nulls(len(part), pa.binary()),
-                    }
-                )
+        def combined() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            _, first, of = np.unique(numbers(rows, "number"), return_index=True, return_inverse=True)
+            n = np.bincount(of, weights=numbers(rows, "n")).astype(np.int64)
+            return rows.take(pa.array(first)).set_column(rows.schema.get_field_index("n"), "n", pa.array(n))
 
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for part, column in portions(batch.column("text")):
                 words, number, piece = pieces(column, langs[part])
+                if not len(number):
+                    continue
                 inside, slot = _pairs(number, piece, slots)
                 at, n = np.unique(slot[inside], return_counts=True)
                 table[at] = np.minimum(table[at] + n, 0xFFFF)
-                distinct, first, n = np.unique(number, return_index=True, return_counts=True)
-                data, doc = words.data.translate(LOWER), words.doc[first].tolist()
-                spelled = [data[s:e] for s, e in zip(words.start[first].tolist(), words.end[first].tolist())]
-                spoken = [UNKNOWN if (x := langs[part][d]) is None else x for d in doc]
-                held.append((distinct, n, spoken, spelled))
-                size += len(distinct)
+                held.append(_words(words, number, [UNKNOWN if x is None else x for x in langs[part]]))
+                size += held[-1].num_rows
                 if size >= HELD:
-                    yield from flush()
-                    held, size = [], 0
+                    held = [combined()]
+                    size = held[0].num_rows
+                    if size >= HELD >> 1:
+                        yield from _counted(held[0])
+                        held, size = [], 0
         if held:
-            yield from flush()
+            yield from _counted(combined())
         for k in range(0, slots, SLICE):
             part = table[k : k + SLICE]
             if part.any():
@@ -236,7 +251,7 @@ def _route(pairs, n_routes: int):
                 if len(number):
                     held.append(suffixes(number, piece, filtered))
                     size += held[-1][0].shape[1]
-                if size >= HELD >> 1:
+                if size >= HELD_POINTERS:
                     yield flush()
                     held, size = [], 0
         if size:
