@@ -159,12 +159,12 @@ def _count(slots: int):
     return run
 
 
-def _sum_slices(least: int):
+def _sum_slices(least: int, very: int):
     """Task code: of each slice the counters of at least ``least``, and those that are very frequent, as bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row(k: int, total: np.ndarray) -> pa.RecordBatch:
-            bits = [np.packbits(total >= x, bitorder="little").tobytes() for x in (least, VERY_FREQUENT)]
+            bits = [np.packbits(total >= x, bitorder="little").tobytes() for x in (least, very)]
             return pa.RecordBatch.from_arrays([pa.array([k]), pa.array(bits[:1]), pa.array(bits[1:])], names=["slice", "often", "very"])
 
         now, total = None, None
@@ -322,7 +322,9 @@ def _mine(pairs, least: int):
     return run
 
 
-def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = MIN_COUNT) -> tuple[DataFrame, ...]:
+def phrases(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = MIN_COUNT, very: int = VERY_FREQUENT
+) -> tuple[DataFrame, ...]:
     """Frequent phrases (words as numbers, a), frequent words (number, lang, word, n) and words of each language."""
     spark = docs.sparkSession
     read = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
@@ -335,7 +337,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     langs = per_word.groupBy("lang").agg(F.sum("n").alias("all"))
     n_words = per_word.agg(F.sum("n").alias("n")).first()["n"] or 0
     slices = counted.where("slice is not null").select("slice", "counts").repartition("slice").sortWithinPartitions("slice")
-    bits = slices.mapInArrow(_sum_slices(least), "slice long, often binary, very binary").collect()  # MOST_SLOTS / 4 bytes at most
+    bits = slices.mapInArrow(_sum_slices(least, very), "slice long, often binary, very binary").collect()  # MOST_SLOTS / 4 bytes at most
     pairs = spark.sparkContext.broadcast(Filter(slots, bits))
     n_routes = max(LEAST_ROUTES, n_words // ROUTE_WORDS)
     routed = read.mapInArrow(_route(pairs, n_routes), "route long, n long, packed binary")
@@ -346,10 +348,15 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
 
 
 def mine(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = MIN_COUNT, top: int = TOP
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    least: int = MIN_COUNT,
+    top: int = TOP,
+    very: int = VERY_FREQUENT,
 ) -> DataFrame:
     """The first ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score."""
-    found, words, langs = phrases(docs, text_col, lang_col, least)
+    found, words, langs = phrases(docs, text_col, lang_col, least, very)
     size = F.size("words")
     # longer phrases that are as frequent
     longer = found.where(size > 2).select(

@@ -8,7 +8,8 @@ that stays although its text doesn't end in ``[.!?]`` costs 3 more. Of equally c
 
 ``Survivors`` holds the best path into each state as leaves of one tree of back pointers. A node counts the nodes
 that point to it and goes with the last of them; what all survivors have in common is handed out at once, so that
-the tree holds only what is open. Paths of equal cost are told apart by their whole open strings: a survivor knows
+the tree holds only what is open; a path that is dearer than another by more than any way on could make good is
+no survivor. Paths of equal cost are told apart by their whole open strings: a survivor knows
 its place among them (no survivor's string begins another's, as each ends in an edit of the same row), and
 a longer string sorts by its predecessor's place and then by its own last edits.
 
@@ -52,6 +53,14 @@ CHUNK, CHUNK_BYTES = 256, 1 << 20
 BLANK = r"[^\x20\x09-\x0D]"
 
 
+#: what it costs at most more to go on from the first state in place of the second, however the rows go on: insertions
+#: that lead there, or a system turn that is deleted
+DEARER = {
+    (BEGIN, SYSTEM): 0, (BEGIN, USER): 3, (BEGIN, ASSISTANT): 0, (SYSTEM, BEGIN): 6, (SYSTEM, USER): 3, (SYSTEM, ASSISTANT): 6,
+    (USER, BEGIN): 7, (USER, SYSTEM): 3, (USER, ASSISTANT): 3, (ASSISTANT, BEGIN): 4, (ASSISTANT, SYSTEM): 0, (ASSISTANT, USER): 3,
+}
+
+
 def _inserted() -> dict[int, list[tuple[str, int]]]:
     """For each state the states that insertions lead to, with their edits; more than three never pay."""
     out = {}
@@ -132,6 +141,11 @@ class Survivors:
                 way = (s.cost + cost, s.place, by)
                 if b not in best or way < best[b][:3]:
                     best[b] = (*way, done, s.leaf)
+        # a path that can't become the best one, nor as good as that, is no survivor
+        least = {b: way[0] for b, way in best.items()}
+        for b, cost in least.items():
+            if any(least[a] + more < cost for (a, x), more in DEARER.items() if x == b and a in least):
+                del best[b]
         order = sorted((place, by, b) for b, (_, place, by, _, _) in best.items())
         before = [s.leaf for s in self.now.values()]
         self.now = {}
@@ -234,7 +248,6 @@ def _turns(df: DataFrame, id_col: str, turn_col: str, role_col: str, text_col: s
     return rows.select("id", "turn", "role", "text", "copies", seen.alias("seen"))
 
 
-_ROW = "struct<role:string,text:string,copies:bigint>"
 _CHUNK = (
     "id {id}, part int, nth long, rows array<struct<role:string,text:string,copies:bigint>>, costs array<bigint>, places array<int>, "
     "edits array<string>, blank long, duplicate long, truncated long, illegal long, first string, last string, "
@@ -291,7 +304,7 @@ class _Open:
                 "last": self.last, "low": self.low, "high": self.high, "turns": self.turns}
 
 
-def _search(schema: pa.Schema):
+def _search(schema: pa.Schema, chunk: int):
     """Task code: chunks of the sorted rows. Only the first chunk of a task may not begin its conversation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +316,7 @@ def _search(schema: pa.Schema):
         for batch in batches:
             for row in batch.to_pylist():
                 other = open_ is None or row["id"] != now
-                if other or len(open_.rows) >= CHUNK or open_.size >= CHUNK_BYTES:
+                if other or len(open_.rows) >= chunk or open_.size >= CHUNK_BYTES:
                     if open_ is not None:
                         out.append({"id": now, "part": part, "nth": nth, **open_.values()})
                         size += open_.size
@@ -436,7 +449,12 @@ class Repair:
 
 
 def repair(
-    df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
+    df: DataFrame,
+    id_col: str = "conv_id",
+    turn_col: str = "turn",
+    role_col: str = "role",
+    text_col: str = "text",
+    chunk: int = CHUNK,
 ) -> Repair:
     """Report: id, gaps, blank, duplicate, truncated, illegal, cost and audit; see the module."""
     turns = _turns(df, id_col, turn_col, role_col, text_col)
@@ -445,7 +463,7 @@ def repair(
     keys = [F.asc_nulls_first(c) for c in ("id", "turn", "role", "text")]
     turns = turns.repartitionByRange(*keys).sortWithinPartitions(*keys)
     kinds, schema = _arrow(turns, _CHUNK)
-    chunks = written(turns.mapInArrow(_search(schema), kinds), "repair-chunks")
+    chunks = written(turns.mapInArrow(_search(schema, chunk), kinds), "repair-chunks")
 
     def in_order(rows: DataFrame, *by: str) -> DataFrame:
         return rows.repartition("id").sortWithinPartitions("id", "part", "nth", *by)

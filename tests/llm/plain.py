@@ -98,3 +98,87 @@ def quality(text):
     count = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
     covered = {i + k for i in range(len(w) - 2) if count[tuple(w[i : i + 3])] > 1 for k in range(3)}
     return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
+
+
+def near_groups(docs, threshold=0.8):
+    """(id, number of shingles, smallest id of its group) of (id, text) rows with different ids; two lower-cased words."""
+    sets = {}
+    for d, text in docs:
+        w = words((text or "").translate(LOWER))
+        sets[d] = {tuple(w[i : i + 2]) for i in range(max(1, len(w) - 1))} if w else set()
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            x, y = sets[a], sets[b]
+            if a < b and x and y and len(x & y) >= threshold * len(x | y) - 1e-9:
+                r, s = find(a), find(b)
+                root[max(r, s)] = min(r, s)
+    return [(d, len(s), find(d)) for d, s in sets.items()]
+
+
+def collocations(docs, least, top):
+    """(lang, rank, phrase, a, l, r, n, score) of (text, lang) rows."""
+    out = []
+    by_lang = defaultdict(list)
+    for text, lang in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            by_lang["und" if lang is None else lang].append(re.findall(r"[^\x20\x09]+", piece))
+    for lang, pieces in by_lang.items():
+        count = Counter(tuple(w[i : i + m]) for w in pieces for m in range(1, 6) for i in range(len(w) - m + 1))
+        n = sum(map(len, pieces))
+        good = {p: a for p, a in count.items() if len(p) > 1 and a >= least}
+        inside = defaultdict(int)
+        for p, a in good.items():
+            for m in range(2, len(p)):
+                for i in range(len(p) - m + 1):
+                    inside[p[i : i + m]] = max(inside[p[i : i + m]], a)
+        rows = []
+        for p, a in good.items():
+            if inside[p] < a:
+                cuts = [(1000 * a * n // (count[p[:k]] * count[p[k:]]), k) for k in range(1, len(p))]
+                score, k = min(cuts)
+                rows.append((-score, -a, " ".join(p).encode(), count[p[:k]], count[p[k:]]))
+        for i, (score, a, p, left, right) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, i, p.decode(), -a, left, right, n, -score))
+    return out
+
+
+def repaired(rows):
+    """(cost, audit, lines) of the (role, text) rows of a conversation: the best whole string of edits to each place."""
+    follow = {"": "su", "s": "u", "u": "a", "a": "u"}
+    named = {"u": "user", "a": "assistant"}
+    best, seen = {"": (0, "", ())}, set()
+
+    def better(into, state, way):
+        if state not in into or way < into[state]:
+            into[state] = way
+
+    def inserted(now):
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(now.items()):
+                for x in follow[state]:
+                    if x in named:
+                        better(now, x, (cost + 3, audit + "I", (*lines, named[x] + ":")))
+        return now
+
+    for role, text in rows:
+        blank, again = not BLANK_WORDS.search(text), (role, text) in seen
+        seen.add((role, text))
+        more = 0 if blank or text.rstrip(" \t\n\v\f\r")[-1] in ".!?" else 3
+        after = {}
+        for state, (cost, audit, lines) in inserted(best).items():
+            better(after, state, (cost + 4, audit + "D", lines))
+            if not (blank or again):
+                for x in follow[state]:
+                    if role[:1] == x:
+                        better(after, x, (cost + more, audit + "K", (*lines, f"{role}:{text}")))
+                    if x in named:
+                        better(after, x, (cost + 3 + more, audit + "R", (*lines, f"{named[x]}:{text}")))
+        best = after
+    return min(v for k, v in inserted(best).items() if k in ("", "a"))
