@@ -25,6 +25,7 @@ from ..operators import checks, progress
 from ..operators.facts import TABLE, attach_facts
 from ..sources import catalog as cat
 from ..sources import changelog as log
+from ..sources import frontier
 from ..sources import registry as reg
 from ..sources import snapshot as snap
 from ..sources.files import list_files, path_exists
@@ -53,7 +54,8 @@ class Result:
     """What a run did.
 
     ``keyless`` names tables of the dump that are left out as they have no primary key, and ``duplicates`` the
-    versions with several definition files (the last by path counts) and their number.
+    versions with several definition files (the last by path counts) and their number. ``held`` has the tables that
+    wait (with ``strict=False``) for the definition of a version, and that version.
     """
 
     run: int
@@ -63,6 +65,7 @@ class Result:
     seconds: dict[str, float] = field(default_factory=dict)
     keyless: list[tuple[str, str]] = field(default_factory=list)
     duplicates: list[tuple[str, str, int, int]] = field(default_factory=list)
+    held: dict[tuple[str, str], int] = field(default_factory=dict)
 
 
 class Clock:
@@ -293,27 +296,28 @@ class Plan:
     range_rows: list[Row]
     streams: DataFrame | None = None
     duplicates: list[tuple[str, str, int, int]] = field(default_factory=list)
+    held: dict[tuple[str, str], int] = field(default_factory=dict)
 
     def touched(self) -> set[tuple[str, str]]:
         """Tables with files to read."""
         return {(r.source_schema, r.source_table) for r in self.range_rows}
 
-    def lowers(self, spark: SparkSession) -> DataFrame:
-        rows = [(*k, self.lower(k)) for k in by_table(self.tables)]
-        return local_frame(spark, rows, "source_schema string, source_table string, lower_ts bigint")
+    def bounds(self, spark: SparkSession) -> DataFrame:
+        rows = [(*k, self.lower(k), upper_of(k, self.saved, self.held, self.upper)) for k in by_table(self.tables)]
+        return local_frame(spark, rows, "source_schema string, source_table string, lower_ts bigint, upper_ts bigint")
 
     def lower(self, key: tuple[str, str]) -> int:
         """Rows up to the last checkpoint are in the state, if their file was named by the index then."""
         row = self.saved.get(key)
         return max(self.position, row.checkpoint if row is not None else 0)
 
-    def with_lower(self, rows: DataFrame) -> DataFrame:
-        """Add ``lower_ts``, the bound below which a row is in the state already.
+    def with_bounds(self, rows: DataFrame) -> DataFrame:
+        """Add ``lower_ts``, the bound below which a row is in the state already, and ``upper_ts``, past which it waits.
 
-        It is the snapshot's position for files that no run has seen, and the checkpoint for others, which a
+        The lower one is the snapshot's position for files that no run has seen, and the checkpoint for others, which a
         run may have applied in part.
         """
-        bounded = attach_facts(rows, self.lowers(rows.sparkSession), n_facts=len(self.tables))
+        bounded = attach_facts(rows, self.bounds(rows.sparkSession), n_facts=len(self.tables))
         if self.streams is None:
             return bounded
         place = F.struct("date", "file_index")
@@ -337,6 +341,13 @@ class Plan:
         self.ranges = local_frame(absent.sparkSession, self.range_rows, kept.schema)
 
 
+def upper_of(key: tuple[str, str], saved: dict, held: dict, upper: int) -> int:
+    """The checkpoint of one table: that of the log, or what lies before the version it waits for."""
+    if key not in held:
+        return upper
+    return max(saved[key].checkpoint, min(upper, held[key] - 1))
+
+
 def by_table(rows) -> dict[tuple[str, str], Row]:
     return {(r.source_schema, r.source_table): r for r in rows}
 
@@ -417,6 +428,11 @@ def plan_log(
     registry = local_frame(spark, rows, definitions.schema)
     effective = ap.effective_watermarks(ap.baseline_versions(registry, position), saved_rows)
     oldest = by_table(effective.collect())
+    past = {k: r.effective_version for k, r in oldest.items()}
+    held = frontier.find(spark, root, scope, rows, past, upper, options.strict, options.date_separator)
+    if held:
+        rows = frontier.defined_until(rows, held)
+        registry = local_frame(spark, rows, definitions.schema)
     cuts = by_table(ap.truncate_points(registry, effective, upper).collect())
     grouped = defaultdict(list)
     for r in rows:
@@ -426,13 +442,14 @@ def plan_log(
     ranges = find_ranges(spark, root, [(*k, d.table_version) for k, ds in grouped.items() for d in ds], streams, options)
     ranges = ranges.drop("path")
     range_rows = ranges.collect()
-    if not range_rows and all(r.checkpoint == upper for r in done):
-        return Result(current, upper, "nothing is new")
+    if not range_rows and all(r.checkpoint == upper_of(r.key, saved, held, upper) for r in done):
+        return Result(current, upper, "nothing is new", held=held)
     return Plan(
         tables, saved, position, upper, registry, grouped, effective,
         {k: r.truncate_version for k, r in cuts.items()},
         local_frame(spark, range_rows, ranges.schema), range_rows, streams,
         [(r.source_schema, r.source_table, r.table_version, r.n_files) for r in rows if r.n_files > 1],
+        held,
     )
 
 
@@ -443,11 +460,11 @@ def apply_run(
     """Write the next version of state and progress from landed rows."""
     run = current + 1
     ts = F.col("commit_ts")
-    landed = plan.with_lower(landed)
+    landed = plan.with_bounds(landed)
     if options.strict:
         saved = [(*k, r.last_commit_ts) for k, r in plan.saved.items()]
         carry = local_frame(spark, saved, "source_schema string, source_table string, last_commit_ts bigint")
-        window = landed.where((ts > F.col("lower_ts")) & (ts <= plan.upper))
+        window = landed.where((ts > F.col("lower_ts")) & (ts <= F.col("upper_ts")))
         checks.raise_if_any(
             checks.commit_order_violations(window, options.commit_order, carry), "commit time goes backwards"
         )
@@ -463,7 +480,7 @@ def apply_run(
         if key not in touched_tables:
             return table, before, buckets
         rows = landed.where(F.col("_target") == table.target_table)
-        window = rows.where(ts.isNull() | ((ts > F.col("lower_ts")) & (ts <= plan.upper))).drop("lower_ts")
+        window = rows.where(ts.isNull() | ((ts > F.col("lower_ts")) & (ts <= F.col("upper_ts")))).drop("lower_ts", "upper_ts")
         if options.on_error != "raise":
             bad = quarantined(window, definitions, options)
             bad.write.mode("overwrite").parquet(f"{store.out}/quarantine/{run}/{table.target_table}")
@@ -500,15 +517,17 @@ def apply_run(
 
 def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) -> Result:
     """Progress and statistics of a change-log run, then its switch."""
-    rows = landed.select(*ap.STREAM, "date", "file_index", "commit_ts", "op", "lower_ts")
+    rows = landed.select(*ap.STREAM, "date", "file_index", "commit_ts", "op", "lower_ts", "upper_ts")
     place = [*ap.STREAM, "date", "file_index"]
     named = log.expand_files(plan.ranges).select(*place)
-    summary = progress.file_summary(rows, F.col("lower_ts"), plan.upper)
+    summary = progress.file_summary(rows, F.col("lower_ts"), F.col("upper_ts"))
     path = f"{store.out}/runs/{run}/files"
     found = named.join(summary, place, "left")
     found.write.mode("overwrite").parquet(path)
     files = spark.read.schema(found.schema).parquet(path)
-    streams = progress.stream_progress(files, plan.ranges, plan.upper, store.streams(current))
+    uppers = plan.bounds(spark).select(*TABLE, "upper_ts")
+    bounded = attach_facts(files, uppers, n_facts=len(plan.tables))
+    streams = progress.stream_progress(bounded, plan.ranges, F.col("upper_ts"), store.streams(current))
     saved = store.tables(current)
     marks = progress.ddl_watermarks(plan.registry, plan.upper, plan.effective, saved)
     managed = local_frame(spark, list(by_table(plan.tables)), "source_schema string, source_table string")
@@ -524,7 +543,8 @@ def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) ->
             in_force, source_schema=key[0], source_table=key[1], snapshot_done=True,
             snapshot_position=plan.position, last_commit_ts=ts_of[key].last_commit_ts,
             ddl_watermark=mark_of[key].ddl_watermark if key in mark_of else 0, target_table=table.target_table,
-            schema_json=json.dumps(schema.jsonValue()), checkpoint=plan.upper, batch_id=batch_id,
+            schema_json=json.dumps(schema.jsonValue()), checkpoint=upper_of(key, plan.saved, plan.held, plan.upper),
+            batch_id=batch_id,
         )
     store.finish(run, list(lines.values()), streams)
     cut = [(*k, "truncate", 1) for k in plan.truncated]
@@ -533,7 +553,7 @@ def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) ->
     stats = stats.unionByName(
         local_frame(spark, cut, "source_schema string, source_table string, operation string, n_operations bigint")
     )
-    return Result(run, plan.upper, None, stats, duplicates=plan.duplicates)
+    return Result(run, plan.upper, None, stats, duplicates=plan.duplicates, held=plan.held)
 
 
 def apply_log(
@@ -592,13 +612,13 @@ def land_run(
     if rows is None:
         return local_frame(spark, [], log.LANDED_SCHEMA), None
     rows = with_target(in_ranges(rows, plan.ranges, len(plan.range_rows)), plan.tables)
-    rows = plan.with_lower(rows)
+    rows = plan.with_bounds(rows)
     skip = F.coalesce(F.col("commit_ts") <= F.col("lower_ts"), F.lit(False))
     path = f"{store.out}/landing/run-{run}"
     rows = rows.withColumns({
         "_target": F.when(skip, F.lit(SKIPPED)).otherwise(F.col("_target")),
         **{c: F.when(~skip, F.col(c)) for c in ("row_values", "record")},
-    }).drop("lower_ts")
+    }).drop("lower_ts", "upper_ts")
     rows.write.mode("overwrite").partitionBy("_target").parquet(path)
     landed = spark.read.schema(log.LANDED_SCHEMA).parquet(path)
     skipped = landed.where(F.col("_target") == SKIPPED).groupBy(*TABLE).agg(F.count("*").alias("n_operations"))
@@ -632,7 +652,8 @@ def read_changes(
     """Typed changes with ``lower < commit_ts <= upper`` of one or more catalog tables.
 
     Needs no store. ``data`` has the columns of all given tables and versions by name, so give
-    tables together only where a column name means the same in each.
+    tables together only where a column name means the same in each. A version without a definition fails in
+    strict mode and ends its table's changes otherwise.
     """
     options = options or Options()
     tables = [tables] if isinstance(tables, Row) else list(tables)
@@ -649,6 +670,8 @@ def read_changes(
         if d.table_version <= lower:
             baseline[key] = max(baseline[key], d.table_version)
     definitions = [d for d in definitions if d.table_version >= baseline[(d.source_schema, d.source_table)]]
+    held = frontier.find(spark, root, keys, definitions, baseline, upper, options.strict, options.date_separator)
+    definitions = frontier.defined_until(definitions, held)
     versions = [(d.source_schema, d.source_table, d.table_version) for d in definitions]
     ranges = find_ranges(spark, root, versions, None, options)
     collected = ranges.collect()
@@ -667,6 +690,9 @@ def read_changes(
             multiline=options.multiline, date_separator=options.date_separator,
         )
         window = fields.where(ts.isNull() | ((ts > lower) & (ts <= upper)))
+        if held:
+            ends = local_frame(spark, [(*k, v) for k, v in held.items()], "source_schema string, source_table string, _end bigint")
+            window = attach_facts(window, ends, n_facts=len(held)).where("_end IS NULL OR commit_ts IS NULL OR commit_ts < _end").drop("_end")
         named = in_ranges(window, wanted, len(collected))
         rows = log.typed_rows(named, layout, on_error=options.on_error, diagnostics=options.diagnostics, **options.coercion)
         parts.append(rows.withColumn("data", F.struct(*shaped("data", rows.schema["data"].dataType, schema))))

@@ -14,6 +14,7 @@ from changeloom.functions.names import natural_order
 from changeloom.functions.types import coerce, is_bad_value
 from changeloom.operators.apply import current_state
 from changeloom.operators.checks import InputError
+from changeloom.plans import replay as rp
 from changeloom.streaming import follow
 
 PARCEL = """CREATE TABLE `{table}` (
@@ -150,6 +151,55 @@ def test_broken_definitions_are_set_aside(spark, two, out):
     assert boxes(spark, out)[0][1] == 1
 
 
+def test_a_version_without_definition_holds_its_table(spark, two, tmp_path):
+    two.definition(4100, PARCEL_COLUMNS, "box").checkpoint(4900)
+    two.changes(4100, lines("box", ("U", 4110, "K1", 1, MARCH[1])), table="box")
+    two.changes(4200, lines("box", ("U", 4201, "K1", 2, MARCH[2]), ("I", 4202, "K3", 2, MARCH[2])), table="box")
+    two.changes(4300, lines("box", ("D", 4301, "K2")[:3], ).replace("K2", "K2,,"), table="box")
+    two.definition(4300, PARCEL_COLUMNS, "box", ddl_type=11, query="TRUNCATE TABLE box")
+    two.changes(3900, lines("visit", ("I", 4210, 4, MARCH[1], "1.50", 0)), table="visit")
+    strict, lenient = str(tmp_path / "strict"), str(tmp_path / "lenient")
+    for _ in range(2):
+        with pytest.raises(InputError, match="without a definition"):
+            cl.replay(spark, str(two), strict)
+    assert [t.checkpoint for t in cl.StateStore(spark, strict).table_states().values()] == [0, 0]
+
+    found = cl.replay(spark, str(two), lenient, strict=False)
+    assert found.held == {("depot", "box"): 4200}
+    assert {k[1]: t.checkpoint for k, t in cl.StateStore(spark, lenient).table_states().items()} == {"box": 4199, "visit": 4900}
+    assert [r[1] for r in boxes(spark, lenient)] == [Decimal("1.000"), Decimal("17.000")] and len(visits(spark, lenient)) == 2
+    again = cl.replay(spark, str(two), lenient, strict=False)
+    assert (again.skipped, again.held) == ("nothing is new", found.held)
+    held = cl.read_changes(spark, str(two), cl.catalog(spark, str(two)).where("source_table = 'box'").collect(), 4000, 4900, rp.Options(strict=False))
+    assert [r.commit_ts for r in held.collect()] == [4110]
+
+    two.definition(4200, PARCEL_COLUMNS, "box")
+    for out in (strict, lenient):
+        assert cl.replay(spark, str(two), out, strict=out == strict).held == {}
+        assert boxes(spark, out) == [] and len(visits(spark, out)) == 2
+        assert {t.checkpoint for t in cl.StateStore(spark, out).table_states().values()} == {4900}
+
+
+def test_late_rows_of_a_defined_version_wait_below_the_frontier(spark, two, out):
+    two.checkpoint(4900).changes(3900, lines("box", ("U", 4100, "K1", 1, MARCH[1]), ("U", 4250, "K1", 3, MARCH[3])), table="box")
+    two.changes(4200, lines("box", ("U", 4201, "K1", 2, MARCH[2])), table="box")
+    cl.replay(spark, str(two), out, strict=False)
+    assert boxes(spark, out)[0][1] == 1
+    two.definition(4200, PARCEL_COLUMNS, "box")
+    assert cl.replay(spark, str(two), out, strict=False, commit_order="stream").skipped is None
+    assert boxes(spark, out)[0][1] == 2
+
+
+def test_folders_that_are_no_versions_hold_nothing(spark, two, out):
+    two.checkpoint(4900).changes(3900, lines("box", ("U", 4100, "K1", 1, MARCH[1])), table="box")
+    two.put("increment/depot/box/notes/meta/CDC.index", "CDC000001.csv\n").put("increment/depot/box/4400/readme", "")
+    two.changes(5000, lines("box", ("U", 5001, "K1", 2, MARCH[2])), table="box")  # past the checkpoint
+    two.changes(3800, lines("box", ("U", 4002, "K1", 2, MARCH[2])), table="box")  # before the baseline
+    two.changes(4300, lines("other", ("U", 4301, 1, 2)), table="other")  # not managed
+    assert cl.replay(spark, str(two), out).held == {}
+    assert boxes(spark, out)[0][1] == 1
+
+
 def test_bad_snapshot_rows_are_kept_aside(spark, workspace, out):
     workspace.snapshot("box", 4000, PARCEL, _1="K1,1,2031-03-01\nK2,x,2031-03-01\nK3,1\nK4,1.0005,\\N\n")
     with pytest.raises(Exception, match="wrong width|cannot read"):
