@@ -226,22 +226,29 @@ def ops_truncates(spark, sf):
 @query(
     "snapshot_then_changes",
     sql(
-        f"""SELECT source_table, CAST(count(*) AS BIGINT) AS n_rows,
+        f"""SELECT true AS applied, source_table, CAST(count(*) AS BIGINT) AS n_rows,
           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
-          FROM ({sql_state("snap", "win")}) GROUP BY ALL""",
+          FROM ({sql_state("snap", "win")}) GROUP BY ALL
+          UNION ALL SELECT false, source_table, CAST(count(*) AS BIGINT), CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT)
+          FROM snap GROUP BY ALL""",
         SQL_SNAP, SQL_WIN,
     ),
 )
 def snapshot_then_changes(spark, sf):
-    """The change log is applied only where every table's snapshot is done."""
+    """The change log is applied only where every table's snapshot is done: with all of them, and without one."""
     tables = views.changes(spark, sf).select(*TABLE).distinct()
-    done = progress.with_defaults(tables, tables.select(
-        *TABLE, F.lit(True).alias("snapshot_done"), F.lit(100).alias("snapshot_position"),
-        F.lit(0).alias("last_commit_ts"), F.lit(0).alias("ddl_watermark")))
-    gate = progress.snapshots_complete(done).scalar()
-    state = ap.current_state(views.snapshot(spark, sf), _window(spark, sf).where(gate), KEYS)
     cents = F.round(F.col("value") * 100).cast("bigint")
-    return state.groupBy("source_table").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(cents).alias("cents"))
+    parts = []
+    for open_ in ("", "e_view"):
+        done = progress.with_defaults(tables, tables.select(
+            *TABLE, (F.col("source_table") != open_).alias("snapshot_done"), F.lit(100).alias("snapshot_position"),
+            F.lit(0).alias("last_commit_ts"), F.lit(0).alias("ddl_watermark")))
+        gate = progress.snapshots_complete(done)
+        window = _window(spark, sf).join(F.broadcast(gate.where("complete")), how="left_semi")
+        state = ap.current_state(views.snapshot(spark, sf), window, KEYS)
+        counted = state.groupBy("source_table").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(cents).alias("cents"))
+        parts.append(counted.join(F.broadcast(gate.withColumnRenamed("complete", "applied"))))
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -316,22 +323,6 @@ def late_version_skip(spark, sf):
     return kept.select("row_seq", "source_table", "table_version")
 
 
-@query(
-    "missing_definitions",
-    sql(
-        """SELECT DISTINCT source_table, table_version, date FROM chg, b
-          WHERE source_table = 'e_signup' AND table_version = step""",
-    ),
-)
-def missing_definitions(spark, sf):
-    b = views.bounds(spark, sf)
-    defs = views.definitions(spark, sf).where(
-        ~((F.col("source_table") == "e_signup") & (F.col("table_version") == b.step))
-    )
-    ranges = views.changes(spark, sf).select(*TABLE, "table_version", "date").distinct()
-    return checks.missing_definitions(ranges, defs).select("source_table", "table_version", "date")
-
-
 @query(
     "effective_columns",
     sql(

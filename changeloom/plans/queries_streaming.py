@@ -18,18 +18,8 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-_stores: dict[tuple[str, str], StateStore] = {}
-
-
-def _followed(spark: SparkSession, sf: str, max_files: int) -> StateStore:
-    """The sample log followed once per session; both queries look at what that left."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _stores:
-        _stores[key] = _follow(spark, sf, max_files)
-    return _stores[key]
-
-
 def _follow(spark: SparkSession, sf: str, max_files: int) -> StateStore:
+    """The sample log followed in several micro-batches."""
     root, out = ws.write_workspace(spark, sf), work_dir(spark, "state")
     query = follow(
         spark, root, out, work_dir(spark, "stream"), buckets=4, max_files=max_files,
@@ -41,7 +31,7 @@ def _follow(spark: SparkSession, sf: str, max_files: int) -> StateStore:
 
 def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
     """Files and rows that several micro-batches landed, per table."""
-    files = landed_files(spark, _followed(spark, sf, 400))
+    files = landed_files(spark, _follow(spark, sf, 400))
     return files.groupBy("target_table").agg(
         F.count_if(F.col("n_rows") > 0).alias("n_files"), F.sum("n_rows").alias("n_rows"), F.max("high_ts").alias("high_ts")
     )
@@ -49,7 +39,7 @@ def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_apply_state(spark: SparkSession, sf: str) -> DataFrame:
     """State after following the log in several micro-batches: the same as a batch replay."""
-    return _state(_followed(spark, sf, 400))
+    return _state(_follow(spark, sf, 400))
 
 
 QUERIES = {"stream_landing": stream_landing, "stream_apply_state": stream_apply_state}

@@ -10,7 +10,7 @@ from ..operators.apply import is_truncate
 from ..sources import catalog as cat
 from ..sources import changelog as log
 from ..sources import registry as reg
-from .sample_views import table
+from .sample_views import SQL_CRC, sql_crc, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -345,19 +345,6 @@ def schema_path_parse(spark, sf):
     return rows.select("p_partkey", *reg.path_parts(F.col("path")))
 
 
-@query(
-    "unknown_files",
-    """SELECT p_partkey, 'app/' || p_brand || '/meta/schema_' || p_size || CASE p_partkey % 3 WHEN 0 THEN '.json'
-      ELSE '_x.json' END AS path FROM part WHERE p_partkey % 3 < 2""",
-)
-def unknown_files(spark, sf):
-    key = F.col("p_partkey")
-    tail = F.when(key % 3 == 0, ".json").when(key % 3 == 1, "_x.json").otherwise(F.concat(F.lit("_"), key.cast("string"), F.lit(".json")))
-    path = F.concat(F.lit("app/"), "p_brand", F.lit("/meta/schema_"), F.col("p_size").cast("string"), tail)
-    rows = table(spark, sf, "part").select("p_partkey", path.alias("path"))
-    return rows.where(~F.col("path").rlike(names.SCHEMA_FILE))
-
-
 @query(
     "index_path_parse",
     """SELECT event_id, 'app' AS source_schema, event_type AS source_table, event_id // 100 AS table_version,
@@ -501,7 +488,51 @@ def schema_identity_violations(spark, sf):
     return reg.definition_violations(rows).select("table_version", "rule")
 
 
-@query("schema_checksum")
+def _sql_canonical(table_: str, schema: str, columns: str, total: str) -> str:
+    return f"""'{{
+ "Table": "' || {table_} || '",
+ "Schema": "' || {schema} || '",
+ "Version": 0,
+ "TableColumns": [' || {columns} || '],
+ "TableColumnsTotal": ' || {total} || '
+}}'"""
+
+
+_SQL_COLUMNS = """CASE p_partkey % 4 WHEN 0 THEN '
+  {
+   "Name": "",
+   "ColumnName": "a",
+   "Type": "INT"
+  },
+  {
+   "ColumnNameO": "b"
+  }
+ ' WHEN 1 THEN '
+  {
+   "name": "a",
+   "type": "INT",
+   "old_type": "BIGINT"
+  },
+  {
+   "Name": "b",
+   "ColumnType": "JSON"
+  }
+ ' ELSE '
+  {
+   "Name": "a",
+   "Type": 3,
+   "type": "x"
+  },
+  {
+   "name": "b",
+   "type": "TEXT"
+  }
+ ' END"""
+_SQL_TEXT = "CASE WHEN p_partkey % 50 = 49 THEN " + _sql_canonical("''", "''", "''", "0") + " ELSE " + _sql_canonical(
+    "CASE WHEN p_partkey % 15 = 1 THEN 'other' ELSE p_name END", "p_brand", _SQL_COLUMNS, "2") + " END"
+
+
+@query("schema_checksum", f"WITH {SQL_CRC}, t AS (SELECT p_partkey, {_SQL_TEXT} AS text FROM part) SELECT p_partkey, {sql_crc('text')} AS checksum FROM t, crc_table")
 def schema_checksum(spark, sf):
     rows = _definition_texts(spark, sf)
     return rows.select("p_partkey", reg.definition_checksum(F.col("text")).alias("checksum"))

@@ -10,6 +10,7 @@ from ..operators import progress
 from ..sources import catalog as cat
 from ..sources import changelog as log
 from ..sources import files as fs
+from ..sources import frontier
 from ..sources import registry as reg
 from ..sources import snapshot as snap
 from ..workdir import work_dir
@@ -17,7 +18,7 @@ from . import sample_views as views
 from . import sample_workspace as ws
 from .queries_apply import SQL_CURRENT_STATE, SQL_EFF, SQL_WIN
 from .replay import Options, StateStore, load_snapshot, read_changes, read_operations, read_snapshot, replay, union_all
-from .sample_views import SQL_DEFS, sql
+from .sample_views import SQL_CRC, SQL_DEFS, sql, sql_crc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -353,11 +354,11 @@ def change_events(spark, sf):
 @query(
     "change_diagnostics",
     sql("""SELECT pk, commit_ts AS _cdc_commit_ts, 'app' AS _cdc_source_schema, source_table AS _cdc_source_table
-      FROM win WHERE source_table = 'e_view'""", SQL_WIN),
+      FROM win""", SQL_WIN),
 )
 def change_diagnostics(spark, sf):
     root, b = ws.write_workspace(spark, sf), views.bounds(spark, sf)
-    rows = read_changes(spark, root, _table(spark, root, "e_view"), b.lower, b.upper, Options(diagnostics="_cdc_"))
+    rows = read_changes(spark, root, cat.catalog(spark, root).collect(), b.lower, b.upper, Options(diagnostics="_cdc_"))
     return rows.select("data.*").select("pk", "_cdc_commit_ts", "_cdc_source_schema", "_cdc_source_table")
 
 
@@ -423,12 +424,86 @@ def change_value_violations(spark, sf):
     return log.value_violations(_messy(spark, sf), ws.SNAPSHOT_COLUMNS).select("source_table", "column_name", "raw_value")
 
 
-@query("workspace_checksums", sql("SELECT DISTINCT source_table, table_version, true AS ok FROM chg"))
+def _sql_column(name: str, kind: str) -> str:
+    return f"""
+  {{
+   "ColumnName": "{name}",
+   "ColumnType": "{kind}"
+  }}"""
+
+
+def _sql_definition() -> str:
+    """Canonical text of a definition file of the workspace; columns in the order of their names."""
+    plain = sorted(ws.SNAPSHOT_COLUMNS)
+    wide = sorted([*ws.SNAPSHOT_COLUMNS, ws.ADDED_COLUMN])
+    listed = [",".join(_sql_column(*c) for c in columns) + "\n " for columns in (plain, wide)]
+    return f"""'{{
+ "Table": "' || source_table || '",
+ "Schema": "app",
+ "Version": 0,
+ "TableColumns": [' || CASE table_version // step WHEN 3 THEN '' WHEN 2 THEN '{listed[1]}' ELSE '{listed[0]}' END || '],
+ "TableColumnsTotal": ' || CASE table_version // step WHEN 3 THEN '0' WHEN 2 THEN '4' ELSE '3' END || '
+}}'"""
+
+
+@query(
+    "workspace_checksums",
+    sql(
+        f"""SELECT source_table, table_version, {sql_crc("text")} AS checksum, {sql_crc("text")} AS computed_checksum FROM crc_table,
+          (SELECT DISTINCT source_table, table_version, {_sql_definition()} AS text FROM chg, b)""",
+        SQL_CRC,
+    ),
+)
 def workspace_checksums(spark, sf):
-    """Checksums of the definition files against the ones in their names."""
+    """Checksums of the definition files, from their names and from their contents."""
     root = ws.write_workspace(spark, sf)
     found = reg.read_definitions(spark, root, scope=[("app", t) for t in views.TABLES])
-    return found.select("source_table", "table_version", (F.col("computed_checksum") == F.col("checksum")).alias("ok"))
+    return found.select("source_table", "table_version", "checksum", "computed_checksum")
+
+
+@query(
+    "unknown_files",
+    """SELECT DISTINCT 'increment/app/' || p_brand || '/meta/schema_' || p_size || CASE p_size % 3 WHEN 0 THEN '.json' ELSE '_x.json' END
+      AS path FROM part WHERE p_size % 3 < 2 AND p_brand <> 'Brand#13'""",
+)
+def unknown_files(spark, sf):
+    """Files beside the definitions that are none, of all tables but one."""
+    root = ws.write_strays(spark, sf)
+    brands = views.table(spark, sf, "part").select("p_brand").distinct().toLocalIterator()
+    scope = [("app", r.p_brand) for r in brands if r.p_brand != "Brand#13"]
+    return log.unknown_files(spark, root, scope).select(names.below(F.col("path"), root).alias("path"))
+
+
+@query(
+    "missing_definitions",
+    sql(
+        f"""SELECT DISTINCT source_table, table_version, date FROM chg, b
+          WHERE source_table = '{ws.NO_HEADER_TABLE}' AND table_version = step AND step <= upper""",
+    ),
+)
+def missing_definitions(spark, sf):
+    """Index files of a version that has no definition."""
+    root, b = ws.write_workspace(spark, sf, undefined=True), views.bounds(spark, sf)
+    scope = [("app", t) for t in views.TABLES]
+    found = reg.registry(spark, root, None, b.upper, scope=scope).select("source_schema", "source_table", "table_version").collect()
+    missing = frontier.undefined_versions(spark, root, scope, found, {}, b.upper)
+    date = log.parse_index_path(names.below(F.col("path"), log.increment_dir(root)))["date"]
+    return missing.select("source_table", "table_version", date.alias("date"))
+
+
+@query(
+    "held_changes",
+    sql(
+        f"""SELECT source_table, table_version, commit_ts, op, pk FROM win, b
+          WHERE source_table <> '{ws.NO_HEADER_TABLE}' OR table_version < step AND commit_ts < step""",
+        SQL_WIN,
+    ),
+)
+def held_changes(spark, sf):
+    """Changes of the window; of a table that lacks a definition only those before it."""
+    root, b = ws.write_workspace(spark, sf, undefined=True), views.bounds(spark, sf)
+    rows = read_changes(spark, root, cat.catalog(spark, root).collect(), b.lower, b.upper, Options(strict=False))
+    return rows.select("source_table", "table_version", "commit_ts", "op", "data.pk")
 
 
 # --- end to end -----------------------------------------------------------------------------

@@ -117,6 +117,17 @@ SQL_DEFS = """defs AS (SELECT DISTINCT source_schema, source_table, table_versio
        ELSE '' END AS query FROM chg, b)"""
 
 
+# CRC-32 by its table of 256 numbers, each worked out from the polynomial; a text's bytes are folded one by one
+SQL_CRC = """crc_table AS MATERIALIZED (SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crcs FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def sql_crc(text: str) -> str:
+    """CRC-32 of an ASCII text that isn't empty; needs ``crc_table``."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT))"
+    return f"xor(4294967295, list_reduce([4294967295] || {codes}, lambda c, b: xor(c >> 8, crcs[1 + (xor(c, b) & 255)])))"
+
+
 def sql(body: str, *views: str) -> str:
     """A statement with the bounds, the change view and the named other views in front."""
     return "WITH " + ",\n".join([SQL_BOUNDS, SQL_CHG, *views]) + "\n" + body

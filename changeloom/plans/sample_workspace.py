@@ -141,12 +141,13 @@ def gap_lines(spark: SparkSession, sf: str) -> DataFrame:
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def write_workspace(spark: SparkSession, sf: str, truncating: bool = False) -> str:
+def write_workspace(spark: SparkSession, sf: str, truncating: bool = False, undefined: bool = False) -> str:
     """Folder of the workspace for these tables; written once per session.
 
-    With ``truncating`` some versions start with a truncate, as in :func:`.sample_views.definitions`.
+    With ``undefined`` one version of ``NO_HEADER_TABLE``, the second, has change files and no definition. With
+    ``truncating`` some versions start with a truncate, as in :func:`.sample_views.definitions`.
     """
-    key = (spark.sparkContext.applicationId, sf, "truncating" if truncating else "clean")
+    key = (spark.sparkContext.applicationId, sf, f"truncating {truncating} undefined {undefined}")
     if key in _written:
         return _written[key]
     b = views.bounds(spark, sf)
@@ -161,6 +162,8 @@ def write_workspace(spark: SparkSession, sf: str, truncating: bool = False) -> s
     for table in views.TABLES:
         put_text(spark, f"{root}/snapshot/app.{table}-schema.sql", ddl(table))
         for version in range(0, b.n, b.step):
+            if undefined and (table, version) == (NO_HEADER_TABLE, b.step):
+                continue
             columns = [] if version == 3 * b.step else [*SNAPSHOT_COLUMNS, *([ADDED_COLUMN] if version == 2 * b.step else [])]
             name, text = definition(table, version, columns, *marks.get((table, version), (0, "")))
             put_text(spark, f"{root}/{name}", text)
@@ -257,6 +260,20 @@ def write_dump(spark: SparkSession, sf: str) -> str:
     return _written[key]
 
 
+def write_strays(spark: SparkSession, sf: str) -> str:
+    """Folder of a change log that has, beside each brand's definitions, files for its sizes that are none."""
+    key = (spark.sparkContext.applicationId, sf, "strays")
+    if key not in _written:
+        root = work_dir(spark, "strays")
+        size = F.col("p_size")
+        tail = F.when(size % 3 == 0, ".json").when(size % 3 == 1, "_x.json").otherwise(F.concat(F.lit("_"), size.cast("string"), F.lit(".json")))
+        file = F.concat(F.lit("increment/app/"), "p_brand", F.lit("/meta/schema_"), size.cast("string"), tail)
+        parts = views.table(spark, sf, "part").select(file.alias("file"), F.col("p_partkey").alias("place"), F.col("p_name").alias("line"))
+        write_files(parts, root)
+        _written[key] = root
+    return _written[key]
+
+
 def write_documents(spark: SparkSession, sf: str) -> str:
     """Whole texts of ``documents`` as a CSV change file set."""
     key = (spark.sparkContext.applicationId, sf, "documents")
