@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.names import below, literal_path, percent_decode, plain_path
 from ..local import local_frame
+from . import csv_ranges
 
 # A text that no writer produces: switches off the CSV reader's own NULL rule.
 _NEVER = "\u0001"
@@ -114,17 +115,43 @@ def read_csv_rows(
     Adds ``path``, ``block_start`` and ``row_seq`` (see :func:`number_rows`) and ``_bad_record``,
     the text of a row with the wrong number of fields. Fields of good rows are never NULL:
     an empty field is ``''``, as it is when quoted. A CR left over from a CRLF record end is
-    dropped from the last field.
+    dropped from the last field. With ``multiline`` values may hold line breaks; files beyond
+    ``spark.sql.files.maxPartitionBytes`` are then read by byte ranges (see :mod:`.csv_ranges`).
     """
     reader = spark.read.schema(csv_schema(columns)).options(**csv_options(len(columns), multiline))
     reader = reader.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     place = [source_path().alias("path"), F.col("_metadata.file_block_start").alias("block_start")]
-    rows = reader.csv([literal_path(r) for r in roots]).select("*", *place).withColumns(clean_fields(columns))
+    rows = reader.csv([literal_path(r) for r in roots])
+    most = csv_ranges.range_bytes(spark)
+    split = multiline and plan_bytes(rows) > most
+    if split:
+        rows = rows.where(F.col("_metadata.file_size") <= most)
+    rows = rows.select("*", *place)
+    if split:
+        rows = rows.unionByName(split_csv_rows(spark, roots, columns, most, glob=glob, recursive=recursive))
+    rows = rows.withColumns(clean_fields(columns))
     return number_rows(rows) if numbered else rows
 
 
+def plan_bytes(rows: DataFrame) -> int:
+    """Bytes of the files behind an untouched scan, as its plan has them."""
+    return int(str(rows._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+
+
+def split_csv_rows(
+    spark: SparkSession, roots: Sequence[str], columns: Sequence[str], larger_than: int, *, glob: str | None = None, recursive: bool = False
+) -> DataFrame:
+    """Rows of the files that are larger, by byte ranges: the same that ``multiLine`` gives with a task for each file."""
+    lines = csv_ranges.lines_of(spark, roots, source_path(), glob, recursive, larger_than)
+    known = csv_ranges.range_states(lines)
+    options = {k: str(v) for k, v in csv_options(len(columns), False).items() if k not in ("header", "multiLine")}
+    ddl = csv_schema(columns).simpleString()[7:-1].replace(":", " ")
+    found = csv_ranges.records(lines, known)
+    return found.select(F.from_csv("record", ddl, options).alias("_r"), "path", "block_start").select("_r.*", "path", "block_start")
+
+
 def number_rows(rows: DataFrame) -> DataFrame:
     """Add ``row_seq``, which rises with the rows of a file block.
 
