@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import time
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -203,16 +203,47 @@ def layouts_of(definitions: Sequence[Row]) -> dict[tuple, list[int]]:
     return groups
 
 
-def range_paths(ranges: Sequence[Row]) -> list[str]:
-    """What to read: whole directories where nothing was read before, else the new files only."""
-    paths = []
-    for r in ranges:
-        if r.first_file_index == 1:
-            paths.append(r.data_dir)
-        else:
-            numbers = range(r.first_file_index, r.latest_file_index + 1)
-            paths += [f"{r.data_dir}/CDC{str(i).rjust(r.file_width, '0')}.csv" for i in numbers]
-    return paths
+# ranges, folders or files that the driver holds at a time (about: they are dealt by hash), and files of a folder that
+# is read as a whole
+WAVE = 5_000
+FOLDER_FILES = 1_000
+
+
+def bounded(spark: SparkSession, rows: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Rows as a local relation where they are few, else written to ``path``; and their number."""
+    few = rows.limit(WAVE + 1).collect()
+    if len(few) <= WAVE:
+        return local_frame(spark, few, rows.schema), len(few)
+    rows.write.mode("overwrite").parquet(path)
+    kept = spark.read.schema(rows.schema).parquet(path)
+    return kept, kept.count()
+
+
+def waves(rows: DataFrame, n: int, key: str) -> Iterator[list[Row]]:
+    """All rows, about ``WAVE`` at a time."""
+    parts = -(-n // WAVE)
+    for k in range(parts):
+        mine = rows if parts == 1 else rows.where(F.pmod(F.xxhash64(key), F.lit(parts)) == k)
+        yield mine.collect()
+
+
+def read_units(ranges: DataFrame) -> DataFrame:
+    """Paths to read: whole folders where nothing was read before, else the new files only."""
+    whole = (F.col("first_file_index") == 1) & (F.col("latest_file_index") <= FOLDER_FILES)
+    place = [*TABLE, "table_version"]
+    folders = ranges.where(whole).select(*place, F.col("data_dir").alias("path"))
+    return folders.unionByName(log.expand_files(ranges.where(~whole)).select(*place, "path"))
+
+
+def listed_files(spark: SparkSession, ranges: DataFrame, path: str) -> DataFrame:
+    """Change files that are there in the folders of the ranges, listed in waves."""
+    folders, n = bounded(spark, ranges.select("data_dir").distinct(), f"{path}/folders")
+    found = None
+    for i, wave in enumerate(waves(folders, n, "data_dir")):
+        found = list_files(spark, sorted(r.data_dir for r in wave), "CDC*.csv").select("path")
+        if n > WAVE:
+            found.write.mode("append" if i else "overwrite").parquet(f"{path}/listed")
+    return spark.read.schema(found.schema).parquet(f"{path}/listed") if n > WAVE else found
 
 
 def read_landing_rows(
@@ -237,11 +268,11 @@ def read_landing_rows(
     return union_all(parts) if parts else None
 
 
-def in_ranges(rows: DataFrame, ranges: DataFrame, n_ranges: int) -> DataFrame:
+def in_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
     """Rows of files that the index names and progress does not cover."""
     wanted = ranges.select(*ap.STREAM, "date", "first_file_index", "latest_file_index")
     inside = F.col("file_index").between(F.col("first_file_index"), F.col("latest_file_index"))
-    joined = attach_facts(rows, wanted, [*ap.STREAM, "date"], "inner", n_ranges)
+    joined = attach_facts(rows, wanted, [*ap.STREAM, "date"], "inner")
     return joined.where(inside).select(*rows.columns)
 
 
@@ -282,7 +313,8 @@ def quarantined(landed: DataFrame, definitions: Sequence[Row], options: Options)
 
 @dataclass
 class Plan:
-    """Metadata of one change-log run. Its size follows the number of tables and versions."""
+    """Metadata of one change-log run. Its size follows the number of tables and versions; the file ranges, of which
+    there may be far more, stay a DataFrame. ``touched`` has the tables with files to read."""
 
     tables: list[Row]
     saved: dict[tuple[str, str], TableState]
@@ -293,15 +325,12 @@ class Plan:
     effective: DataFrame
     truncated: dict[tuple[str, str], int]
     ranges: DataFrame
-    range_rows: list[Row]
+    n_ranges: int
+    touched: set[tuple[str, str]]
     streams: DataFrame | None = None
     duplicates: list[tuple[str, str, int, int]] = field(default_factory=list)
     held: dict[tuple[str, str], int] = field(default_factory=dict)
 
-    def touched(self) -> set[tuple[str, str]]:
-        """Tables with files to read."""
-        return {(r.source_schema, r.source_table) for r in self.range_rows}
-
     def bounds(self, spark: SparkSession) -> DataFrame:
         rows = [(*k, self.lower(k), upper_of(k, self.saved, self.held, self.upper)) for k in by_table(self.tables)]
         return local_frame(spark, rows, "source_schema string, source_table string, lower_ts bigint, upper_ts bigint")
@@ -326,7 +355,7 @@ class Plan:
         seen = F.coalesce(place <= F.col("_seen"), F.lit(False))
         return joined.withColumn("lower_ts", F.when(seen, F.col("lower_ts")).otherwise(self.position)).drop("_seen")
 
-    def without_absent(self, absent: DataFrame) -> None:
+    def without_absent(self, absent: DataFrame, path: str) -> None:
         """Let every stream end before its first absent file."""
         kind = "struct<date:string,file_index:bigint>"
         first = absent.groupBy(*ap.STREAM).agg(F.min(F.struct("date", "file_index").cast(kind)).alias("_absent"))
@@ -337,8 +366,12 @@ class Plan:
         )
         kept = kept.withColumn("latest_file_index", last).drop("_absent")
         kept = kept.where("latest_file_index >= first_file_index")
-        self.range_rows = kept.collect()
-        self.ranges = local_frame(absent.sparkSession, self.range_rows, kept.schema)
+        self.ranges, self.n_ranges = bounded(absent.sparkSession, kept, path)
+        self.touched = tables_of(self.ranges)
+
+
+def tables_of(ranges: DataFrame) -> set[tuple[str, str]]:
+    return {(r.source_schema, r.source_table) for r in ranges.select(*TABLE).distinct().collect()}
 
 
 def upper_of(key: tuple[str, str], saved: dict, held: dict, upper: int) -> int:
@@ -440,14 +473,13 @@ def plan_log(
         if key not in oldest or r.table_version >= oldest[key].effective_version:
             grouped[key].append(r)
     ranges = find_ranges(spark, root, [(*k, d.table_version) for k, ds in grouped.items() for d in ds], streams, options)
-    ranges = ranges.drop("path")
-    range_rows = ranges.collect()
-    if not range_rows and all(r.checkpoint == upper_of(r.key, saved, held, upper) for r in done):
+    ranges, n_ranges = bounded(spark, ranges.drop("path"), f"{store.out}/runs/{current + 1}/ranges")
+    if not n_ranges and all(r.checkpoint == upper_of(r.key, saved, held, upper) for r in done):
         return Result(current, upper, "nothing is new", held=held)
     return Plan(
         tables, saved, position, upper, registry, grouped, effective,
         {k: r.truncate_version for k, r in cuts.items()},
-        local_frame(spark, range_rows, ranges.schema), range_rows, streams,
+        ranges, n_ranges, tables_of(ranges), streams,
         [(r.source_schema, r.source_table, r.table_version, r.n_files) for r in rows if r.n_files > 1],
         held,
     )
@@ -468,7 +500,6 @@ def apply_run(
         checks.raise_if_any(
             checks.commit_order_violations(window, options.commit_order, carry), "commit time goes backwards"
         )
-    touched_tables = plan.touched()
 
     def apply_table(table: Row):
         key = (table.source_schema, table.source_table)
@@ -477,7 +508,7 @@ def apply_run(
         schema = table_schema(table, [column_pairs(d.columns) for d in definitions], options, before)
         cut = plan.truncated.get(key)
         buckets = {} if cut is not None else dict(saved.in_force)
-        if key not in touched_tables:
+        if key not in plan.touched:
             return table, before, buckets
         rows = landed.where(F.col("_target") == table.target_table)
         window = rows.where(ts.isNull() | ((ts > F.col("lower_ts")) & (ts <= F.col("upper_ts")))).drop("lower_ts", "upper_ts")
@@ -526,8 +557,8 @@ def _finish_log(spark, store, current, run, plan, landed, applied, batch_id) ->
     found.write.mode("overwrite").parquet(path)
     files = spark.read.schema(found.schema).parquet(path)
     uppers = plan.bounds(spark).select(*TABLE, "upper_ts")
-    bounded = attach_facts(files, uppers, n_facts=len(plan.tables))
-    streams = progress.stream_progress(bounded, plan.ranges, F.col("upper_ts"), store.streams(current))
+    files_to = attach_facts(files, uppers, n_facts=len(plan.tables))
+    streams = progress.stream_progress(files_to, plan.ranges, F.col("upper_ts"), store.streams(current))
     saved = store.tables(current)
     marks = progress.ddl_watermarks(plan.registry, plan.upper, plan.effective, saved)
     managed = local_frame(spark, list(by_table(plan.tables)), "source_schema string, source_table string")
@@ -566,13 +597,13 @@ def apply_log(
     if isinstance(plan, Result):
         plan.seconds = clock.seconds
         return plan
-    if plan.range_rows:
-        there = list_files(spark, sorted({r.data_dir for r in plan.range_rows}), "CDC*.csv")
-        missing = checks.missing_files(log.expand_files(plan.ranges), there)
+    if plan.n_ranges:
+        base = f"{store.out}/runs/{current + 1}"
+        missing = checks.missing_files(log.expand_files(plan.ranges), listed_files(spark, plan.ranges, base))
         if options.strict:
             checks.raise_if_any(missing.select("path"), "change files named by an index are missing")
         else:
-            plan.without_absent(missing)
+            plan.without_absent(missing, f"{base}/ranges_there")
     landed, skipped = land_run(spark, root, store, current + 1, plan, options)
     clock.mark("land")
     result = apply_run(spark, store, current, plan, landed, options)
@@ -604,22 +635,32 @@ def land_run(
     Skipped rows are landed too, without their values and in a part of their own, so the count needs no
     second pass over the change files.
     """
-    def paths_of(versions: set) -> list[str]:
-        return range_paths([r for r in plan.range_rows if (r.source_schema, r.source_table, r.table_version) in versions])
-
     definitions = [d for ds in plan.definitions.values() for d in ds]
-    rows = read_landing_rows(spark, root, definitions, paths_of, options)
-    if rows is None:
-        return local_frame(spark, [], log.LANDED_SCHEMA), None
-    rows = with_target(in_ranges(rows, plan.ranges, len(plan.range_rows)), plan.tables)
-    rows = plan.with_bounds(rows)
-    skip = F.coalesce(F.col("commit_ts") <= F.col("lower_ts"), F.lit(False))
     path = f"{store.out}/landing/run-{run}"
-    rows = rows.withColumns({
-        "_target": F.when(skip, F.lit(SKIPPED)).otherwise(F.col("_target")),
-        **{c: F.when(~skip, F.col(c)) for c in ("row_values", "record")},
-    }).drop("lower_ts", "upper_ts")
-    rows.write.mode("overwrite").partitionBy("_target").parquet(path)
+    units, n_units = bounded(spark, read_units(plan.ranges), f"{store.out}/runs/{run}/units")
+    landed_any = False
+    for wave in waves(units, n_units, "path"):
+        by_version = defaultdict(list)
+        for r in wave:
+            by_version[r.source_schema, r.source_table, r.table_version].append(r.path)
+
+        def paths_of(versions: set, found: dict = by_version) -> list[str]:
+            return sorted(p for v in versions for p in found.get(v, ()))
+
+        rows = read_landing_rows(spark, root, definitions, paths_of, options)
+        if rows is None:
+            continue
+        rows = with_target(in_ranges(rows, plan.ranges), plan.tables)
+        rows = plan.with_bounds(rows)
+        skip = F.coalesce(F.col("commit_ts") <= F.col("lower_ts"), F.lit(False))
+        rows = rows.withColumns({
+            "_target": F.when(skip, F.lit(SKIPPED)).otherwise(F.col("_target")),
+            **{c: F.when(~skip, F.col(c)) for c in ("row_values", "record")},
+        }).drop("lower_ts", "upper_ts")
+        rows.write.mode("append" if landed_any else "overwrite").partitionBy("_target").parquet(path)
+        landed_any = True
+    if not landed_any:
+        return local_frame(spark, [], log.LANDED_SCHEMA), None
     landed = spark.read.schema(log.LANDED_SCHEMA).parquet(path)
     skipped = landed.where(F.col("_target") == SKIPPED).groupBy(*TABLE).agg(F.count("*").alias("n_operations"))
     skipped = skipped.withColumn("operation", F.lit("skipped"))
@@ -673,27 +714,27 @@ def read_changes(
     held = frontier.find(spark, root, keys, definitions, baseline, upper, options.strict, options.date_separator)
     definitions = frontier.defined_until(definitions, held)
     versions = [(d.source_schema, d.source_table, d.table_version) for d in definitions]
-    ranges = find_ranges(spark, root, versions, None, options)
-    collected = ranges.collect()
-    wanted = local_frame(spark, collected, ranges.schema)
+    folders = set(frontier.version_folders(spark, root, keys))
+    wanted = find_ranges(spark, root, [v for v in versions if v in folders], None, options)
     schema = table_schema(tables[0], [column_pairs(x.columns) for x in [*tables[1:], *definitions]], options)
     groups: dict[tuple, set] = defaultdict(set)
     for d in definitions:
         groups[tuple(column_pairs(d.columns))].add((d.source_schema, d.source_table, d.table_version))
     ts, parts = F.col("commit_ts"), []
     for layout, members in groups.items():
-        paths = range_paths([r for r in collected if (r.source_schema, r.source_table, r.table_version) in members])
+        # all folders of a version, also those without an index, whose rows go with in_ranges
+        paths = sorted(f"{log.increment_dir(root)}/{s}/{t}/{v}" for s, t, v in members & folders)
         if not paths:
             continue
         fields = log.read_fields(
             spark, root, paths, len(layout), extra_field=options.extra_field,
-            multiline=options.multiline, date_separator=options.date_separator,
+            multiline=options.multiline, date_separator=options.date_separator, recursive=True,
         )
         window = fields.where(ts.isNull() | ((ts > lower) & (ts <= upper)))
         if held:
             ends = local_frame(spark, [(*k, v) for k, v in held.items()], "source_schema string, source_table string, _end bigint")
             window = attach_facts(window, ends, n_facts=len(held)).where("_end IS NULL OR commit_ts IS NULL OR commit_ts < _end").drop("_end")
-        named = in_ranges(window, wanted, len(collected))
+        named = in_ranges(window, wanted)
         rows = log.typed_rows(named, layout, on_error=options.on_error, diagnostics=options.diagnostics, **options.coercion)
         parts.append(rows.withColumn("data", F.struct(*shaped("data", rows.schema["data"].dataType, schema))))
     if parts:

@@ -244,10 +244,12 @@ def read_fields(
     extra_field: bool = False,
     multiline: bool = True,
     date_separator: str = "day",
+    recursive: bool = False,
 ) -> DataFrame:
     """Rows of change files as text, with place columns and the rule they break, if any."""
     meta = [*META, "flag"] if extra_field else list(META)
-    raw = read_csv_rows(spark, paths, [*meta, *value_fields(n_values)], glob="CDC*.csv", multiline=multiline, numbered=False)
+    columns = [*meta, *value_fields(n_values)]
+    raw = read_csv_rows(spark, paths, columns, glob="CDC*.csv", multiline=multiline, recursive=recursive, numbered=False)
     rows = with_place(split_rows(raw, n_values, extra_field), root, date_separator)
     checked = rows.withColumn("rule", row_rule()).withColumn("commit_ts", F.col("ts_text").try_cast("bigint"))
     return number_rows(checked)

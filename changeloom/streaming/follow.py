@@ -135,7 +135,7 @@ def apply_landed(
     if still_open:
         paths = [_landing_dir(store, r.batch_id) for r in sorted(still_open)]
         landed = rp.union_all([spark.read.schema(log.LANDED_SCHEMA).parquet(p) for p in paths])
-        landed = rp.in_ranges(landed, plan.ranges, len(plan.range_rows))
+        landed = rp.in_ranges(landed, plan.ranges)
     else:
         landed = local_frame(spark, [], log.LANDED_SCHEMA)
     return rp.apply_run(spark, store, current, plan, landed, options, batch_id)
