@@ -6,10 +6,11 @@ to the runner-up, in bytes, gives the score; narrow margins are marked ``rejecte
 lower-cased and lose ASCII characters other than letters; a text of under ``SHORT`` bytes is repeated,
 as zstandard gives up on blocks that it can't make smaller.
 
-Model: at most ``samples`` different labelled texts a language (those with the smallest hash), of each at most
-``sample_chars`` characters, up to ``dict_bytes``; at most ``max_langs`` languages. Texts that begin with
-the same ``sample_chars`` characters count once, however many copies there are. Labels are learned only
-from the rows that are passed for training.
+Model: every language that is labelled, by at most ``samples`` different texts (those with the smallest hash, copies
+count once). A text gives ``sample_chars`` characters from a place that its hash chooses. A dictionary has ``dict_bytes``
+at most, in equal parts for its texts, and less where there are so many languages that all would have more than
+``all_bytes`` together, which bounds what is sent to the tasks. Labels are learned only from the rows that are passed
+for training.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; with a single learned
 language everything else is that language with score 1; with no labelled row everything is ``und``.
@@ -31,7 +32,7 @@ UNKNOWN = "und"
 SAMPLES = 120
 SAMPLE_CHARS = 700
 DICT_BYTES = 110_000
-MAX_LANGS = 200
+ALL_BYTES = 32_000_000
 LEVEL = 5
 SHORT, REPEATS = 256, 4
 #: bytes of margin that change the odds by a factor e
@@ -80,26 +81,28 @@ def learn(
     samples: int = SAMPLES,
     sample_chars: int = SAMPLE_CHARS,
     dict_bytes: int = DICT_BYTES,
-    max_langs: int = MAX_LANGS,
+    all_bytes: int = ALL_BYTES,
 ) -> dict[str, bytes]:
     """Dictionary contents by language, most frequent first, from a bounded sample chosen by a hash."""
     rows = labelled.select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text")
     ).where("lang is not null and text is not null and text <> ''")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    # one row for each language
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return {}
+    own_bytes = max(1, min(dict_bytes, all_bytes // len(counts)))
+    chars = max(1, min(sample_chars, 4 * own_bytes // samples))
+    start = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - chars + 1, F.lit(1))).cast("int") + 1
+    pieces = rows.select("lang", F.xxhash64("text").alias("unit"), F.substr("text", start, F.lit(chars)).alias("text"))
     # the smallest hashes of each task's rows, then of all
-    heads = rows.where(F.col("lang").isin([r.lang for r in counts])).select("lang", F.substring("text", 1, sample_chars).alias("text"))
-    few = heads.select("lang", F.xxhash64("text").alias("unit"), "text").mapInArrow(
-        _smallest(samples), "lang string, unit long, text string"
-    )
+    few = pieces.mapInArrow(_smallest(samples), "lang string, unit long, text string")
     by_lang = Window.partitionBy("lang").orderBy("unit")
     few = few.dropDuplicates(["lang", "unit"]).withColumn("place", F.row_number().over(by_lang)).where(F.col("place") <= samples)
     found: dict[str, list[bytes]] = {r.lang: [] for r in counts}
     for r in sorted(few.collect(), key=lambda r: r.place):
         found[r.lang].append(plain(r.text))
-    return {lang: b" ".join(parts)[-dict_bytes:] for lang, parts in found.items() if parts}
+    return {lang: b" ".join(p[: own_bytes // len(parts)] for p in parts) for lang, parts in found.items() if parts}
 
 
 class Classifier:

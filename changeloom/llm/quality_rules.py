@@ -28,6 +28,8 @@ BLANKS = r"\x20\x09-\x0D"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 #: bits for a window's place in its text, and in a text with more windows; the other bits are for its hash
 PLACE_BITS, MOST_BITS = 24, 31
+#: bits of a window's hash that are used; the result is the same with any
+HASH_MASK = -1
 ROUNDS = 20
 KEEP = 0.5
 #: starting values and limits of the estimates
@@ -48,9 +50,53 @@ RULES = (
 )
 
 
+def _hashed(words: Column, i: Column) -> Column:
+    whole = F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+    return whole if HASH_MASK == -1 else whole.bitwiseAND(F.lit(HASH_MASK))
+
+
+def _covered(places: Column) -> Column:
+    """Words in the 3-word windows that start at the given places, which are in order."""
+    return F.aggregate(
+        places,
+        F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last")),
+        lambda s, i: F.struct((s["n"] + F.least(F.lit(3), i - s["last"])).alias("n"), i.alias("last")),
+        lambda s: s["n"],
+    )
+
+
+def _by_words(words: Column) -> Column:
+    """Words in windows that occur twice or more, from the windows ordered by their words."""
+    windows = F.sort_array(
+        F.transform(
+            F.sequence(F.lit(0), F.size(words) - 3),
+            lambda i: F.struct(*[F.get(words, i + k).alias(f"w{k}") for k in range(3)], i.alias("i")),
+        )
+    )
+
+    def again(all_: Column) -> Column:
+        def same(x: Column, other: Column) -> Column:
+            return F.coalesce((x["w0"] == other["w0"]) & (x["w1"] == other["w1"]) & (x["w2"] == other["w2"]), F.lit(False))
+
+        kept = F.filter(all_, lambda x, j: same(x, F.get(all_, j + 1)) | same(x, F.get(all_, j - 1)))
+        return F.sort_array(F.transform(kept, lambda x: x["i"]))
+
+    # the ordered array is worked out once, as the only element of an array
+    return F.transform(F.array(windows), lambda all_: _covered(again(all_)))[0]
+
+
 def _repeat_words(words: Column, ordered: Column, bits: int) -> Column:
-    """Words in 3-word windows that occur twice or more, from the windows as :func:`_windows` has them."""
+    """Words in 3-word windows that occur twice or more, from the windows as :func:`_windows` has them.
+
+    Where two different windows have one hash, the text's windows are ordered by their words instead."""
     hashed = F.shiftrightunsigned
+    mask = F.lit((1 << bits) - 1)
+
+    def collides(x: Column, i: Column) -> Column:
+        other = F.get(ordered, i + 1)
+        here, there = x.bitwiseAND(mask).cast("int"), other.bitwiseAND(mask).cast("int")
+        equal = [F.get(words, here + k) == F.get(words, there + k) for k in range(3)]
+        return F.coalesce((hashed(x, bits) == hashed(other, bits)) & ~(equal[0] & equal[1] & equal[2]), F.lit(False))
 
     def again(x: Column, i: Column) -> Column:
         """Equal hashes stand side by side; the words decide."""
@@ -64,20 +110,16 @@ def _repeat_words(words: Column, ordered: Column, bits: int) -> Column:
         nothing = F.lit(False)
         return F.coalesce(same(F.get(ordered, i + 1)), nothing) | F.coalesce(same(F.get(ordered, i - 1)), nothing)
 
-    places = F.sort_array(F.transform(F.filter(ordered, again), lambda x: x.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")))
-    return F.aggregate(
-        places,
-        F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last")),
-        lambda s, i: F.struct((s["n"] + F.least(F.lit(3), i - s["last"])).alias("n"), i.alias("last")),
-        lambda s: s["n"],
-    )
+    places = F.sort_array(F.transform(F.filter(ordered, again), lambda x: x.bitwiseAND(mask).cast("int")))
+    clash = F.size(F.filter(ordered, collides)) > 0
+    return F.when(clash, _by_words(words)).otherwise(_covered(places))
 
 
 def _windows(words: Column, bits: int) -> Column:
     """Hash (upper bits) and place (lower bits) of each 3-word window, ordered."""
     hashes = F.transform(
         F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.shiftleft(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits).bitwiseOR(
+        lambda i: F.shiftleft(_hashed(words, i), bits).bitwiseOR(
             i.cast("bigint")
         ),
     )

@@ -109,17 +109,27 @@ def scan(texts_: Sequence[str | None], model_token, model_score, drift: float, r
 
 
 def chance(scores: Sequence[float], n_tokens: int, decay: float, rate: float) -> float:
-    """The least chance, over r, that clean text of this length has r segments as good as the r-th best."""
+    """The least chance, over r, that clean text of this length has r segments as good as the r-th best.
+
+    The number of such segments is Poisson with the expected number e. For e < r the chance of r or more is the
+    r-th term and the falling ones after it, in logarithms; a term that isn't below the least chance so far settles
+    it, so that few sums are taken however many segments there are."""
     least = 1.0
+    begin = math.log(rate * max(n_tokens, 1)) if rate > 0 else -math.inf
     for r, s in enumerate(sorted(scores, reverse=True), 1):
-        expected = rate * max(n_tokens, 1) * math.exp(-decay * s)
-        if expected < r:  # else it can't be small
-            term, below = math.exp(-expected), 0.0
-            for k in range(r):
-                below += term
-                term *= expected / (k + 1)
-            tail = term / max(1e-9, 1 - expected / (r + 1))  # a bound on the rest of the Poisson sum
-            least = min(least, max(1 - below, 0.0) if 1 - below > 1e-9 else tail)
+        log_expected = begin - decay * s
+        expected = math.exp(min(log_expected, 700.0))
+        if expected >= r:  # then it can't be small
+            continue
+        term = math.exp(r * log_expected - expected - math.lgamma(r + 1)) if expected > 0 else 0.0
+        if term >= least:
+            continue
+        tail, k = term, r
+        while term > 1e-15 * tail:
+            k += 1
+            term *= expected / k
+            tail += term
+        least = min(least, tail)
     return least
 
 
@@ -151,12 +161,14 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _best(token: np.ndarray, score: np.ndarray, drift: float):
+def _scored(token: np.ndarray, score: np.ndarray, drift: float):
+    """Task code: label, number of tokens and the scores of all segments of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = token_reader()
         for batch in batches:
             for part, column in portions(batch.column("text")):
-                found = [(n, sorted((x[0] for x in s), reverse=True)[:50]) for n, s in scan(column, token, score, drift, reader)]
+                found = [(n, [x[0] for x in s]) for n, s in scan(column, token, score, drift, reader)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("toxic").slice(part.start, part.stop - part.start),
@@ -169,6 +181,18 @@ def _best(token: np.ndarray, score: np.ndarray, drift: float):
     return run
 
 
+def _chances(decay: float, rate: float):
+    """Task code: label and chance of each scored row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("scores").to_pylist(), batch.column("n").to_pylist())
+            found = pa.array([chance(s, n, decay, rate) for s, n in rows], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), found], names=["toxic", "chance"])
+
+    return run
+
+
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int) -> DataFrame:
     """Texts and labels of at most max_rows labelled documents."""
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
@@ -208,10 +232,12 @@ def learn(
     token = np.array([r.token & (2**64 - 1) for r in order], np.uint64)
     score = np.array([r.score for r in order])
     decay = _decay([(r.score, r.n0 / n.n0) for r in terms], drift)
-    best = rows.mapInArrow(_best(token, score, drift), "toxic int, n long, scores array<double>").collect()
-    weight = [r.n * math.exp(-decay * max(r.scores, default=0.0)) for r in best if r.toxic == 0 and r.n]
+    scored = written(rows.mapInArrow(_scored(token, score, drift), "toxic int, n long, scores array<double>"), "toxicity")
+    clean = scored.where("toxic = 0 and n > 0").select("n", F.coalesce(F.array_max("scores"), F.lit(0.0)).alias("best"))
+    weight = [r.n * math.exp(-decay * r.best) for r in clean.collect()]
     rate = len(weight) / max(sum(weight), 1e-9)
-    chances = sorted((chance(r.scores, r.n, decay, rate), r.toxic) for r in best)
+    judged = scored.mapInArrow(_chances(decay, rate), "toxic int, chance double").collect()
+    chances = sorted((r.chance, r.toxic) for r in judged)
     return Model(token, score, drift, decay, rate, _best_cut(chances))
 
 
