@@ -30,6 +30,7 @@ from ..sources import registry as reg
 from ..sources import snapshot as snap
 from ..sources.files import list_files, path_exists
 from .state import StateStore, TableState, common_type, table_row
+from .sweep import sweep
 
 @dataclass
 class Options:
@@ -45,6 +46,7 @@ class Options:
     diagnostics: str | None = None
     on_error: str = "raise"
     parallel_tables: int = 4
+    keep_runs: int | None = 5
     type_keys: Sequence[str] = ()
     coercion: dict = field(default_factory=dict)
 
@@ -682,6 +684,8 @@ def replay(spark: SparkSession, root: str, out: str, *, buckets: int = 64, **opt
     clock.mark("snapshot")
     result = apply_log(spark, root, store, settings, tables)
     result.seconds = clock.seconds | result.seconds
+    if settings.keep_runs is not None and result.skipped is None:
+        sweep(spark, out, settings.keep_runs)
     left_out = cat.without_key(cat.discover(spark, root, settings.tables))
     result.keyless = [(r.source_schema, r.source_table) for r in left_out.collect()]
     return result

@@ -21,6 +21,7 @@ from ..functions import names
 from ..local import local_frame
 from ..plans import replay as rp
 from ..plans.state import StateStore
+from ..plans.sweep import sweep
 from ..sources import changelog as log
 from ..sources import registry as reg
 
@@ -169,7 +170,9 @@ def follow(
         session = files.sparkSession
         own = StateStore(session, out, buckets)
         land_files(session, root, own, files, batch_id, options)
-        apply_landed(session, root, own, options, batch_id)
+        done = apply_landed(session, root, own, options, batch_id)
+        if options.keep_runs is not None and done.skipped is None:
+            sweep(session, out, options.keep_runs, root, landed_files(session, own))
 
     files = file_stream(spark, root, max_files)
     if not available_now:
