@@ -8,9 +8,11 @@
    ``TOLERANCE``. A pair is looked at only in the first band that it shares.
 4. The rest is verified with the shingle sets themselves (48 bits of each shingle's hash).
 
-A band's members beyond ``BLOCK`` are dealt into blocks, and each two blocks go to a task of their own; so
-do the members of a cell in step 4. Pairs leave a task as each member's list of neighbours and then as
-counts, never as a row each.
+A band's members beyond ``BLOCK`` are dealt into blocks, and each two blocks (a cell) go to a task of their own.
+Step 4 works on units of bounded size: a cell in which many members have candidates is one, and what is found in
+small cells is put together by its smallest member, who is in at most one cell of each band. A unit gets the sets
+of its members and the candidates as bits (a large cell) or a list (else), and hands out counts, never a row for
+a pair. So a group of g near copies sends about BANDS * g / BLOCK times its sets, and g * g / 16 bytes of bits.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A text of one to four words has one shingle, of all of them.
 
@@ -41,6 +43,10 @@ HASHES, BANDS = 128, 32
 STEP = 16
 TOLERANCE = 1e-6
 BLOCK = 512
+#: members with candidates up to which a cell is put together with others
+SMALL = 64
+#: parts in which the members of a band's value are counted
+PARTS = 64
 
 
 def shingles(words: Words, d: int, runs: np.ndarray) -> np.ndarray:
@@ -112,21 +118,25 @@ def needed_matches(threshold: float, tolerance: float) -> list[int]:
     return out
 
 
+#: candidates of a node within a unit: bits over the unit's sorted nodes where it is a whole cell, else their nodes
+NEAR = pa.schema([("unit", pa.int64()), ("node", pa.int64()), ("whole", pa.bool_()), ("near", pa.binary())])
+
+
 def _similar_sizes(n: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
     return np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
 
 
-def _candidates(threshold: float, tolerance: float):
-    """Task code: within each block pair of a band, the pairs that survive the pruning."""
+def _candidates(threshold: float, tolerance: float, small: int):
+    """Task code: within each cell of a band, the pairs that survive the pruning, by the unit that verifies them."""
 
     def arrays(batch: pa.RecordBatch):
-        out = {c: numbers(batch, c) for c in ("band", "value", "p", "q", "node", "n", "block")}
+        out = {c: numbers(batch, c) for c in ("band", "value", "p", "q", "node", "n", "block", "n_blocks")}
         out["signature"] = batch.column("signature").flatten().to_numpy().reshape(batch.num_rows, -1)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         need = needed_matches(threshold, tolerance)
-        rows = Rows(pa.schema([("unit", pa.int64()), ("node", pa.int64()), ("near", pa.binary())]))
+        rows = Rows(NEAR)
         for g in groups(batches, ("band", "value", "p", "q"), arrays):
             node, n, block, packed, band = g["node"], g["n"], g["block"], g["signature"], int(g["band"][0])
             values = np.ascontiguousarray(packed).view(np.uint16)
@@ -157,14 +167,26 @@ def _candidates(threshold: float, tolerance: float):
             i, j = (np.concatenate(c) for c in zip(*found))
             if not len(i):
                 continue
-            swap = node[i] > node[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            lowest = roots(node, i, j)
+            low, high = node[np.minimum(i, j)], node[np.maximum(i, j)]  # a cell is sorted by node
+            members = np.unique(np.concatenate((low, high)))
+            i, j = np.searchsorted(members, low), np.searchsorted(members, high)
             order = np.argsort(i, kind="stable")
             i, j = i[order], j[order]
-            for m in np.unique(np.concatenate((i, j))).tolist():
-                near = node[j[np.searchsorted(i, m) : np.searchsorted(i, m, "right")]]
-                rows.add(int(lowest[m]), int(node[m]), near.tobytes())
+            cuts = np.searchsorted(i, np.arange(len(members) + 1))
+            whole = g["n_blocks"][0] > 1 or len(members) > small
+            if whole:
+                place = np.array([band, g["value"][0], g["p"][0], g["q"][0]], np.int64).view(np.uint64)
+                units = np.repeat(grams(place, len(place)).view(np.int64), len(members))
+            else:
+                units = roots(members, i, j)
+            for m, (unit, own) in enumerate(zip(units.tolist(), members.tolist())):
+                others = j[cuts[m] : cuts[m + 1]]
+                if whole:
+                    bits = np.zeros(len(members), bool)
+                    bits[others] = True
+                    rows.add(unit, own, True, np.packbits(bits).tobytes())
+                else:
+                    rows.add(unit, own, False, members[others].tobytes())
             if rows.full():
                 yield rows.batch()
         yield rows.batch()
@@ -203,34 +225,31 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(threshold: float):
-    """Task code: exact similarity of the listed pairs of each cell."""
+    """Task code: exact similarity of the candidate pairs of each unit."""
 
     def arrays(batch: pa.RecordBatch):
-        out = {c: numbers(batch, c) for c in ("unit", "p", "q", "node", "size", "block")}
+        out = {c: numbers(batch, c) for c in ("unit", "node", "size", "whole")}
         return out | {c: objects(batch, c) for c in ("near", "packed")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = ("node", "n_classes", "n_docs", "root")
         rows = Rows(pa.schema([(c, pa.int64()) for c in fields]))
-        for g in groups(batches, ("unit", "p", "q"), arrays):
+        for g in groups(batches, ("unit",), arrays):
             node, place = np.unique(g["node"], return_index=True)
-            size, block, near, packed = (g[c][place] for c in ("size", "block", "near", "packed"))
+            size, whole, near, packed = (g[c][place] for c in ("size", "whole", "near", "packed"))
             parts = [np.frombuffer(x, np.uint8).reshape(-1, 6) for x in packed]
             n = np.array([len(x) for x in parts])
             wide = np.zeros((n.sum(), 8), np.uint8)
             wide[:, :6] = np.concatenate(parts)
             distinct, ids = np.unique(wide.view(np.int64).ravel(), return_inverse=True)
             starts = np.concatenate(([0], np.cumsum(n)[:-1]))
-            inner = g["p"][0] == g["q"][0]
             links: list[tuple[np.ndarray, np.ndarray]] = []
             for i in range(len(node)):
-                others = np.frombuffer(near[i], np.int64) if near[i] else near[i]
-                if others is None or not len(others):
-                    continue
-                j = np.searchsorted(node, others)
-                j = j[(j < len(node))]
-                j = np.unique(j[np.isin(node[j], others)])
-                j = j[(block[j] == block[i]) == inner]
+                if whole[i]:
+                    bits = np.unpackbits(np.frombuffer(near[i], np.uint8), count=len(node))
+                    j = np.flatnonzero(bits)
+                else:
+                    j = np.searchsorted(node, np.unique(np.frombuffer(near[i], np.int64)))
                 if not len(j):
                     continue
                 own = np.zeros(len(distinct), bool)
@@ -269,7 +288,7 @@ def _dealt(rows: DataFrame, count: str, keys: list[str]) -> DataFrame:
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
         .withColumn("cell", F.explode(cells))
         .select("*", "cell.p", "cell.q")
-        .drop("cell", "n_blocks", count)
+        .drop("cell", count)
     )
     return dealt.repartition(*keys, "p", "q").sortWithinPartitions(*keys, "p", "q", "node")
 
@@ -282,6 +301,23 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     return written(rows.mapInArrow(_sketch(passed), kinds), "jaccard-sketches")
 
 
+def candidates(classes: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """Pairs of classes that share a band and survive the pruning: (unit, node, whole, near), see ``NEAR``."""
+    bands = classes.select("node", F.posexplode("signature").alias("band", "value"))
+    # a value's members are counted part by part, so that no task gets all members of a frequent one
+    parts = bands.groupBy("band", "value", F.pmod(F.xxhash64("node"), F.lit(PARTS)).alias("part"))
+    parts = parts.agg(F.collect_list("node").alias("nodes"))
+    count = F.sum(F.size("nodes")).over(Window.partitionBy("band", "value"))
+    shared = parts.withColumn("members", count).where("members > 1")
+    shared = shared.select("band", "value", "members", F.explode("nodes").alias("node"))
+    members = shared.join(classes.select("node", "n", "signature"), "node")
+    cells = _dealt(members, "members", ["band", "value"]).select(
+        "band", "value", "p", "q", "node", "n", "block", "n_blocks", "signature"
+    )
+    kinds = "unit long, node long, whole boolean, near binary"
+    return cells.mapInArrow(_candidates(threshold, tolerance, SMALL), kinds)
+
+
 def links(
     docs: DataFrame,
     sketched: DataFrame,
@@ -290,7 +326,7 @@ def links(
     threshold: float = THRESHOLD,
     tolerance: float = TOLERANCE,
 ) -> tuple[DataFrame, DataFrame]:
-    """Classes (node, copy_id, size) and, of those with links, (node, n_classes, n_docs, root) by cell."""
+    """Classes (node, copy_id, size) and, of those with links, (node, n_classes, n_docs, root) by unit."""
     # of rows with a key of their own: the first of each class, rows without an id last
     lead = [F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row")).alias("lead")] if "row" in sketched.columns else []
     classes = written(
@@ -306,18 +342,9 @@ def links(
         .drop("node2"),
         "jaccard-classes",
     )
-    bands = classes.select("node", F.posexplode("signature").alias("band", "value"))
-    counted = bands.withColumn("members", F.count("*").over(Window.partitionBy("band", "value"))).where("members > 1")
-    members = counted.join(classes.select("node", "n", "signature"), "node")
-    pruned = _dealt(members, "members", ["band", "value"]).select(
-        "band", "value", "p", "q", "node", "n", "block", "signature"
-    )
-    near = written(
-        pruned.mapInArrow(_candidates(threshold, tolerance), "unit long, node long, near binary"), "jaccard-near"
-    )
+    near = written(candidates(classes, threshold, tolerance), "jaccard-near")
     joined = F.aggregate(F.collect_list("near"), F.lit(bytearray()), lambda all_, x: F.concat(all_, x))
-    by_unit = near.groupBy("unit", "node").agg(joined.alias("near"))
-    by_unit = by_unit.withColumn("members", F.count("*").over(Window.partitionBy("unit")))
+    by_unit = near.groupBy("unit", "node").agg(joined.alias("near"), F.bool_or("whole").alias("whole"))
     wanted = near.select("node").distinct().join(classes, "node").select("node", "copy_id", "size")
     read = texts(docs, id_col, text_col).withColumn("id", F.col("id").cast("bigint"))
     sets = (
@@ -326,8 +353,9 @@ def links(
         .withColumnRenamed("of", "node")
     )
     rows = by_unit.join(wanted.select("node", "size"), "node").join(sets, "node")
-    cells = _dealt(rows, "members", ["unit"]).select("unit", "p", "q", "node", "size", "block", "near", "packed")
-    found = cells.mapInArrow(_verify(threshold), "node long, n_classes long, n_docs long, root long")
+    rows = rows.select("unit", "node", "size", "whole", "near", "packed")
+    units = rows.repartition("unit").sortWithinPartitions("unit", "node")
+    found = units.mapInArrow(_verify(threshold), "node long, n_classes long, n_docs long, root long")
     return classes, written(found, "jaccard-links")
 
 

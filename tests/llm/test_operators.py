@@ -414,6 +414,30 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.join(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("small", [64, 3])
+def test_group_of_near_copies(spark, monkeypatch, small):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
+    rng, sent = random.Random(3), []
+    base = prose(rng, 300).split()
+    docs = []
+    for d in range(320):
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        docs.append((d, " ".join(words)))
+    for n in (80, 160, 320):
+        some = frame(spark, docs[:n])
+        rows = jaccard_join.join(some)
+        assert got(rows, "doc_id", "copy_id", "class_id", "n_links") == sorted(plain.jaccard(docs[:n]), key=repr)
+        sketched = jaccard_join.sketches(some)
+        near = jaccard_join.candidates(sketched.select("node", "n", "signature").dropDuplicates(["node"]))
+        sizes = near.groupBy("unit").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 32 * max(small, 16)
+        sent.append(near.agg(F.sum(F.length("near") + 16)).first()[0])
+    assert sent[1] < 5 * sent[0] and sent[2] < 5 * sent[1]
+
+
 def test_pruning_keeps_what_can_reach_the_threshold():
     need = jaccard_join.needed_matches(0.8, 1e-6)
     assert need == sorted(need) and need[-1] < 0.8 * 128
