@@ -27,7 +27,7 @@ from .words import portions
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: characters of a leaf of the tree
-LEAF = 2048
+LEAF = 256
 #: characters on each side of a seam that are looked at first
 WINDOW = 32
 
