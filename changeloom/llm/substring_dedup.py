@@ -6,7 +6,8 @@ is thus the whole corpus before it, too much to broadcast; so the reference is d
 content, and passages meet only the shard that can hold them:
 
 1. A window's key is the smallest hash of its 5-word runs, so equal windows have equal keys.
-   Consecutive windows with one key are a span; a span is named by the hash of its words.
+   Consecutive windows with one key are a span, cut after 16 windows where a text repeats itself; a span is
+   named by the hash of its words.
 2. By key: of spans with equal names all but the first go whole. A first one needs a closer look if other
    spans have its key (they may share windows) or it repeats a 5-word run in itself.
 3. The words of these are sent to the shards. A shard's suffix automaton takes in its spans in order, word
@@ -64,6 +65,13 @@ def _leaders(first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(first)[np.cumsum(first) - 1] if len(first) else np.zeros(0, int)
 
 
+def _pieces(begin: np.ndarray, end: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges cut into consecutive ones of ``most`` at most."""
+    n = -(-(end - begin) // most)
+    begins = np.repeat(begin - most * (np.cumsum(n) - n), n) + most * np.arange(n.sum())
+    return begins, np.minimum(begins + most, np.repeat(end, n))
+
+
 def _spans(window: int):
     """Task code: spans of a batch; of equal ones only the first (of each row with the smallest id) is left to be
     compared with others. ``at`` packs the start, the number of windows, whether a run comes again, and whether
@@ -88,7 +96,7 @@ def _spans(window: int):
         change[1:] = (least[1:] != least[:-1]) | (words.doc[1:n] != words.doc[: n - 1]) | (inside[1:] != inside[:-1])
         begin = np.flatnonzero(change)
         end = np.concatenate((begin[1:], [n]))
-        begin, end = begin[inside[begin]], end[inside[begin]]
+        begin, end = _pieces(begin[inside[begin]], end[inside[begin]], width)
         total = np.zeros(len(words.number) + 1, np.uint64)
         # a span's name: its words' numbers weighed by their place in it
         power = np.cumprod(np.full(len(words.number), 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
@@ -115,9 +123,17 @@ def _spans(window: int):
             own = _leaders(_changes(key, name, doc, row))
             later = (doc != doc[leader]) | (start != start[own])
             keep = _changes(key, name, doc, row, start)
-            # one that goes in any case is dealt by its place, not with the others of its key
+            # those that go in any case are put together where they touch, and dealt by their place
+            goes = np.flatnonzero(later & keep)
+            goes = goes[np.lexsort((start[goes], row[goes], doc[goes]))]
+            if len(goes):
+                touch = np.zeros(len(goes), bool)
+                touch[1:] = (start[goes[1:]] == start[goes[:-1]] + n[goes[:-1]]) & ~_changes(doc[goes], row[goes])[1:]
+                heads = np.flatnonzero(~touch)
+                keep[goes[touch]] = False
+                n[goes[heads]] = np.add.reduceat(n[goes], heads)
             place = mix(doc.view(np.uint64) * np.uint64(31) + row.view(np.uint64) + start.astype(np.uint64)).view(np.int64)
-            key = np.where(later, place, key)
+            key, inner = np.where(later, place, key), inner & ~later
             at = (start.astype(np.int64) << 33) | (n.astype(np.int64) << 2) | (inner.astype(np.int64) << 1) | later
             for i in range(0, len(key), 1 << 16):
                 part = slice(i, i + (1 << 16))
@@ -139,10 +155,14 @@ def _span_words(window: int):
         rows = Rows(pa.schema(kinds))
         for batch in batches:
             single: list[tuple[int, int, int, int, int, int, bytes]] = []
+            sent: set[tuple[int, int]] = set()
             for part, column in portions(batch.column("text")):
                 words = reader(column)
                 asked = [batch.column(c).slice(part.start, len(column)).to_pylist() for c in ("id", "row", "spans")]
                 for d, (doc, row, spans) in enumerate(zip(*asked)):
+                    if (doc, row) in sent:
+                        continue  # a repetition of a row
+                    sent.add((doc, row))
                     own = words.number[words.first[d] : words.first[d + 1]]
                     for s in spans:
                         start, n, key, cells = s["start"], s["n"], s["key"], s["cells"]
@@ -366,16 +386,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         spans.withColumn("least", F.first("id").over(by_name))
         .withColumn("number", F.row_number().over(by_name))
         .withColumn("rank", F.rank().over(by_row))
+        .withColumn("again", F.coalesce(F.lag("at").over(by_row) == F.col("at"), F.lit(False)))  # from a repeated row
     )
     classes = F.sum((F.col("number") == 1).cast("int")).over(Window.partitionBy("key"))
     inner, local = F.col("at").bitwiseAND(2) != 0, F.col("at").bitwiseAND(1) != 0
     later = local | (F.col("id") > F.col("least")) | (F.col("rank") > 1)
-    # a span has window - KEY + 1 windows at most, or repeats a run
+    # a span has window - KEY + 1 windows at most
     cells = F.when(F.col("classes") > SHARD, F.ceil(F.col("classes") * (window - KEY + 1) / SHARD)).otherwise(1)
     marks = (
-        ranked.select("key", "id", "row", "at", later.alias("later"), "number")
+        ranked.select("key", "id", "row", "at", later.alias("later"), "number", "again")
         .withColumn("classes", classes)
-        .where(F.col("later") | (F.col("classes") > 1) | inner)
+        .where(~F.col("again") & (F.col("later") | (F.col("classes") > 1) | inner))
     )
     start, n = F.shiftright("at", 33), F.shiftright("at", 2).bitwiseAND((1 << 31) - 1)
     marks = written(

@@ -393,6 +393,36 @@ def test_language_of_copies(spark):
     assert all(language.learn(frame(spark, docs), samples=1).values())
 
 
+@pytest.mark.parametrize("period", [2, 7, 16, 23])
+def test_periodic_texts_stay_small(spark, period):
+    cycle = [f"w{i}" for i in range(period)]
+    docs = [(1, " ".join(cycle * 400)), (2, " ".join(cycle[1:] + cycle * 300)), (3, " ".join(["x", *cycle, *cycle, "y"] * 50))]
+    rows = substring_dedup.dedup(frame(spark, docs), joined=True)
+    assert got(rows, "doc_id", "n_words", "n_removed", "text") == sorted(plain.dedup(docs), key=repr)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1], pa.int64()), pa.array([5], pa.int64()), pa.array([" ".join(cycle * 20000)])], names=["id", "row", "text"]
+    )
+    at = pa.Table.from_batches(substring_dedup._spans(20)(iter([batch]))).column("at").to_numpy()
+    at = at[at & 1 == 0]
+    assert len(at) <= 4 * period and ((at >> 2) & (2**31 - 1)).max() <= 16
+
+
+def test_repeated_rows_send_their_words_once():
+    names = ["id", "row", "text", "spans"]
+    spans = [{"start": 0, "n": 16, "key": 9, "cells": 1}]
+    words = " ".join(f"w{i}" for i in range(40))
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, (substring_dedup.NO_ID, 3, words, spans)))] * 1000)
+    assert sum(b.num_rows for b in substring_dedup._span_words(20)(iter([batch]))) == 1
+
+
+def test_marks_of_repeated_rows(spark):
+    rng = random.Random(11)
+    text = prose(rng, 200, [f"v{i}" for i in range(500)])
+    docs = [(None, text)] * 600 + [(4, text + " and more words"), (5, prose(rng, 100))]
+    rows = substring_dedup.dedup(frame(spark, docs).repartition(6), joined=True)
+    assert got(rows, "doc_id", "n_words", "n_removed", "text") == sorted(plain.dedup(docs), key=repr)
+
+
 # --- jaccard join ----------------------------------------------------------------------------
 
 
