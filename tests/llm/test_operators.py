@@ -570,6 +570,41 @@ def test_prefix_tables(tokenizer):
     check()
 
 
+def test_prefixes_of_words_and_long_stretches(tokenizer):
+    counts = token_counts.load(public_tokenizers.path(token_counts.TOKENIZER))
+    rng = random.Random(21)
+    texts = [prose(rng, 12).replace(" ", rng.choice("-_'.5é")) for _ in range(60)]
+    texts += ["".join(rng.choice("abcdeorstz'!9éßİñ한글\x1c") for _ in range(rng.randint(1, 60))) for _ in range(140)]
+    texts += ["it're", "x're!'s", "''s'll", "'ve", "a\u0301b", "!" * 50, "z" * 300]
+    for t in texts:
+        every = [len(e.ids) for e in tokenizer.encode_batch([t[:i] for i in range(len(t) + 1)], add_special_tokens=False)]
+        table = token_counts.PrefixTable(t, counts)
+        assert [table.at(i) for i in range(len(t) + 1)] == every, t
+        assert not t.isascii() or counts.words.stretch(t) == every
+    for unit in ("z", "the.", "abcdefghij"):
+        text = unit * (100_000 // len(unit))
+        table = token_counts.PrefixTable(text, counts)
+        asked = [rng.randint(0, len(text)) for _ in range(20)]
+        assert [table.at(i) for i in asked] == [len(tokenizer.encode(text[:i], add_special_tokens=False).ids) for i in asked]
+
+
+def test_budgets(spark, tokenizer):
+    size = lambda t: len(tokenizer.encode(t or "", add_special_tokens=False).ids)
+    docs = [*odd_documents()[:40], (900, None), (901, ""), (902, "one-two'three re're"), (902, "one-two'three re're")]
+    df = frame(spark, docs).withColumn("n", F.lit(7))
+    at = token_counts.count_at(df, F.col("n"))
+    assert got(at, "doc_id", "n_tokens") == sorted([(d, size((t or "")[:7])) for d, t in docs], key=repr)
+    fit = token_counts.fits(df, 20)
+    assert got(fit, "doc_id", "fits") == sorted([(d, size(t) <= 20) for d, t in docs], key=repr)
+    longest = lambda t: t and t[: max(i for i in range(len(t) + 1) if size(t[:i]) <= 5)]
+    short = [(d, t) for d, t in docs if len(t or "") < 300]
+    cut = token_counts.truncate_to(frame(spark, short), 5)
+    assert got(cut, "doc_id", "text") == sorted([(d, longest(t)) for d, t in short], key=repr)
+    assert {r.text for r in token_counts.truncate_to(frame(spark, short), -1).collect()} <= {"", None}
+    assert token_counts.fits(frame(spark, []), 5).count() == 0
+    assert not any(r.fits for r in token_counts.fits(df, F.lit(None)).collect())
+
+
 def test_token_counts(spark, tokenizer):
     docs = odd_documents() + [(900, "A<|endoftext|>b <|startoftext|>"), (901, "It's  2024's\u3000end"), (902, "z" * 5000)]
     rows = token_counts.count_tokens(frame(spark, docs), prefixes=True).collect()
