@@ -2,7 +2,7 @@
 
 The vocabulary is searched with an Aho-Corasick automaton; a term counts only where no ASCII
 letter or digit stands on either side of it. One strict term blocks, and so do ``soft_limit``
-different soft terms.
+different soft terms. The terms are two lists, or a table (term, strict) read by :func:`read_terms`.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule, and is judged
 by the vocabulary (null: allow). Repeated rows are judged each; other columns are ignored.
@@ -28,6 +28,8 @@ RULES = (
 STRICT = ("casino", "escort", "hentai", "jackpot", "malware", "porn", "viagra", "warez", "xxx")
 SOFT = ("adult", "bet", "bets", "bonus", "cheap", "dating", "deals", "free", "loan", "pills", "poker", "slots", "win")
 SOFT_LIMIT = 2
+#: terms of a table that are sent to every task, at most
+MOST_TERMS = 200_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,6 +52,21 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return out
 
 
+def read_terms(table: DataFrame, most: int = MOST_TERMS) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Strict and soft terms of a table (term, strict), A-Z lower-cased; a term that is both is strict.
+
+    Null and empty terms are passed over, null in ``strict`` is soft. More than ``most`` different terms are an
+    error: the automaton is built in every task.
+    """
+    term = F.translate(F.col("term").cast("string"), _UPPER, _LOWER)
+    strict = F.coalesce(F.col("strict").cast("boolean"), F.lit(False))
+    terms = table.select(term.alias("term"), strict.alias("strict")).where("term <> ''")
+    rows = terms.groupBy("term").agg(F.max("strict").alias("strict")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} terms")
+    return tuple(sorted(r.term for r in rows if r.strict)), tuple(sorted(r.term for r in rows if not r.strict))
+
+
 def _counter(strict: Sequence[str], soft: Sequence[str]):
     """Task code: adds the numbers of different strict and soft terms of each url."""
 
@@ -57,7 +74,8 @@ def _counter(strict: Sequence[str], soft: Sequence[str]):
         search = ahocorasick.Automaton()
         for term in (*strict, *soft):
             search.add_word(term, (len(term), term))
-        search.make_automaton()
+        if len(search):
+            search.make_automaton()
         alnum = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
         lower = str.maketrans(_UPPER, _LOWER)
         hard = frozenset(strict)
@@ -66,7 +84,7 @@ def _counter(strict: Sequence[str], soft: Sequence[str]):
             for url in batch.column("url").to_pylist():
                 found = set()
                 text = (url or "").translate(lower)
-                for last, (size, term) in search.iter(text):
+                for last, (size, term) in search.iter(text) if len(search) else ():
                     begin = last - size + 1
                     if (begin == 0 or text[begin - 1] not in alnum) and (last + 1 == len(text) or text[last + 1] not in alnum):
                         found.add(term)

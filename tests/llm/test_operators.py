@@ -620,6 +620,25 @@ def test_token_counts(spark, tokenizer):
 # --- url filter ------------------------------------------------------------------------------
 
 
+def test_url_terms_of_a_table(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcde12") for _ in range(rng.randint(2, 4))) for _ in range(3000)]
+    terms = [(w.upper() if i % 3 else w, i % 40 == 0) for i, w in enumerate(words)] + [(None, True), ("", True), ("zz", None)]
+    strict, soft = url_filter.read_terms(spark.createDataFrame(terms, "term string, strict boolean").withColumn("id", F.lit(1)))
+    assert not set(strict) & set(soft) and "zz" in soft and set(strict) | set(soft) == {w.lower() for w in words} | {"zz"}
+    urls = ["http://h.org/" + "-".join("".join(rng.choice("abcde12x") for _ in range(3)) for _ in range(4)) for _ in range(300)]
+    pages = spark.createDataFrame(list(enumerate([*urls, None, ""])), "page_id long, url string")
+    rows = url_filter.filter_urls(pages, strict=strict, soft=soft).orderBy("page_id").collect()
+    for r, url in zip(rows, [*urls, None, ""]):
+        found = set((url or "").replace("/", "-").replace(":", "-").replace(".", "-").split("-"))
+        assert (r.n_strict, r.n_soft) == (len(found & set(strict)), len(found & set(soft)))
+    assert {r.verdict for r in rows} == {"allow", "block"}
+    none = url_filter.read_terms(spark.createDataFrame([], "term string, strict boolean"))
+    assert none == ((), ()) and url_filter.filter_urls(pages, strict=(), soft=()).where("n_soft > 0").count() == 0
+    with pytest.raises(ValueError):
+        url_filter.read_terms(spark.createDataFrame(terms, "term string, strict boolean"), most=10)
+
+
 def test_url_filter(spark):
     urls = [
         None, "", "no scheme", "http://a.com", "http://A.com/", "https://example.com/en/x", "https://www.example.com/en/1?q=/fr/",
