@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .apply import POSITION, STREAM
 from .facts import TABLE, attach_facts
+from .prefix import max_before
 
 # fixed values: operation codes of a change row
 OPERATIONS = ("I", "U", "D")
@@ -51,7 +52,8 @@ def commit_order_violations(
     gives ``last_commit_ts`` per table from earlier runs.
 
     Rows are compared inside chunks of at most ``chunk_rows`` rows of one file block, and
-    chunks through one summary row each, so no task ever sorts a whole table or a whole file.
+    chunks through one summary row each, so no task ever sorts a whole table or a whole file;
+    the summaries of a table are scanned in ranges of their order.
     """
     scope = list(STREAM if commit_order == "stream" else TABLE)
     chunk = [*TABLE, *POSITION[:-1], "chunk"]
@@ -62,8 +64,7 @@ def commit_order_violations(
     rows = rows.withColumn("_seen", F.max("commit_ts").over(inside))
 
     summary = rows.groupBy(*chunk).agg(F.max("commit_ts").alias("_high"), F.min("commit_ts").alias("_low"))
-    between = W.partitionBy(*scope).orderBy(*[c for c in chunk if c not in scope])
-    summary = summary.withColumn("_carried", F.max("_high").over(between.rowsBetween(W.unboundedPreceding, -1)))
+    summary = max_before(summary, scope, chunk, "_high", "_carried")
     if carry is not None:
         facts = carry.select(*TABLE, F.col("last_commit_ts").alias("_saved"))
         summary = attach_facts(summary, facts).withColumn(
