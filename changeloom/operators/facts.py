@@ -16,7 +16,8 @@ TABLE = ("source_schema", "source_table")
 # facts up to this many rows and bytes (as JSON text) are broadcast
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 8_000_000
-SPREAD = 32
+# equal shares of the rows that a heavy key is counted in, where there are fewer shuffle partitions
+MIN_PARTS = 32
 
 
 def attach_facts(
@@ -31,8 +32,8 @@ def attach_facts(
     The facts are counted and measured first, and fetched if they are within both limits, unless the
     caller made them on the driver and passes their number. Within the limits they are broadcast, so the many rows
     stay where they are; a plan made from estimates would often shuffle those first and find out
-    later that it had no need to. Past the limit the join shuffles, with each key spread over
-    ``SPREAD`` parts, because one table may hold a third of all rows.
+    later that it had no need to. Past the limit the join shuffles, with the rows of heavy keys spread
+    (:func:`spread_join`), because one table may hold most of all rows.
     """
     if n_facts is None:
         size = facts.agg(
@@ -46,11 +47,34 @@ def attach_facts(
     return spread_join(rows, facts, on, how)
 
 
-def spread_join(rows: DataFrame, facts: DataFrame, on: Sequence[str], how: str, parts: int = SPREAD) -> DataFrame:
-    """Join on ``on`` with the rows of each key spread over several parts."""
+def spread_join(rows: DataFrame, facts: DataFrame, on: Sequence[str], how: str, parts: int | None = None) -> DataFrame:
+    """Join on ``on`` with the rows of heavy keys spread over several parts.
+
+    A key is heavy with more than one of ``parts`` equal shares of the rows, so there are fewer than ``parts`` such
+    keys; each is given as many parts as it has shares, and its fact that many copies. All other keys keep one.
+    A key with a NULL joins with nothing, so its rows may go anywhere.
+    """
+    spark = rows.sparkSession
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), MIN_PARTS)
+    heavy = heavy_keys(rows, on, parts)
     plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     mixed = ["row_seq"] if "row_seq" in plain else plain
-    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in mixed]), F.lit(parts)).cast("int")
-    copies = facts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    joined = rows.withColumn("_part", part).join(copies, [*on, "_part"], how)
-    return joined.drop("_part")
+    place = F.xxhash64(*[F.col(f"`{c}`") for c in mixed])
+    keyless = F.lit(False)
+    for c in on:
+        keyless = keyless | F.col(f"`{c}`").isNull()
+    known = rows.join(F.broadcast(heavy), list(on), "left")
+    shares = F.when(keyless, F.lit(parts)).otherwise(F.coalesce("_shares", F.lit(1)))
+    dealt = known.withColumn("_part", F.pmod(place, shares).cast("int")).drop("_shares")
+    last = F.coalesce("_shares", F.lit(1)) - 1
+    copies = facts.join(F.broadcast(heavy), list(on), "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.join(copies.drop("_shares"), [*on, "_part"], how).drop("_part")
+
+
+def heavy_keys(rows: DataFrame, on: Sequence[str], parts: int) -> DataFrame:
+    """Keys with more than one of ``parts`` equal shares of the rows, with the number of their shares."""
+    share = max(rows.count() / parts, 1)
+    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share)
+    shares = counts.dropna(subset=list(on)).withColumn("_shares", F.ceil(F.col("_n") / share).cast("int")).drop("_n")
+    # fewer than ``parts`` rows
+    return local_frame(rows.sparkSession, shares.collect(), shares.schema)
