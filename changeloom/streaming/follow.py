@@ -2,7 +2,8 @@
 
 The stream is over *files*: Spark's file source remembers which change files it has handed out
 and how many a trigger may take. Each micro-batch lands the rows of its files in Parquet under
-its batch id, so a repeated batch overwrites what it wrote before. Rows are applied up to a
+its batch id, so a repeated batch overwrites what it wrote before; a manifest of file numbers tells
+what has been landed without the listings of all batches. Rows are applied up to a
 checkpoint only when every file that the index files name for it has been landed; until then
 state and watermarks stay as they are.
 
@@ -24,6 +25,7 @@ from ..plans.state import StateStore
 from ..plans.sweep import sweep
 from ..sources import changelog as log
 from ..sources import registry as reg
+from . import manifest
 
 _FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 _LANDED_FILES = "path string, target_table string, batch_id bigint, high_ts bigint, n_rows bigint"
@@ -90,6 +92,9 @@ def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFra
         F.coalesce("high_ts", F.lit(0)).cast("bigint").alias("high_ts"),
         F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
     ).write.mode("overwrite").parquet(listed)
+    # a store without snapshots takes all its listings into the first one
+    mine = all_files.select("path") if manifest.snapshots(spark, store) else landed_files(spark, store).select("path")
+    manifest.add(spark, store, log.with_place(mine, root, options.date_separator), batch_id)
 
 
 def _definitions(spark, root, tables, scope, options) -> list[Row]:
@@ -126,6 +131,10 @@ def apply_landed(
     plan = rp.plan_log(spark, root, store, current, options)
     if isinstance(plan, rp.Result):
         return plan
+    known = manifest.read(spark, store)
+    if known is not None and not manifest.not_landed(plan.ranges, known).isEmpty():
+        return rp.Result(current, plan.upper, "landing is behind the index")
+    # file by file, once all are there by their numbers
     files = landed_files(spark, store)
     behind = rp.checks.missing_files(log.expand_files(plan.ranges), files)
     if not behind.isEmpty():
