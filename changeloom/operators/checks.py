@@ -80,8 +80,12 @@ def commit_order_violations(
 
 
 def missing_files(expected: DataFrame, files: DataFrame, on: Sequence[str] = ("path",)) -> DataFrame:
-    """Files that an index names but the listing does not have."""
-    return expected.join(files.select(*on), list(on), "left_anti")
+    """Files that an index names but the listing does not have.
+
+    File names are made from ranges, so there may be far more than Spark's size estimate says: both sides are sorted
+    by task, and none is sent through the driver as a broadcast.
+    """
+    return expected.join(files.select(*on).hint("merge"), list(on), "left_anti")
 
 
 def missing_definitions(ranges: DataFrame, registry: DataFrame) -> DataFrame:

@@ -114,6 +114,12 @@ def landed_files(spark: SparkSession, store: StateStore) -> DataFrame:
     return spark.read.schema(_LANDED_FILES).option("recursiveFileLookup", True).parquet(base)
 
 
+def open_batches(files: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Batches that landed a file of the ranges; the names of these files are not broadcast, as in ``missing_files``."""
+    wanted = log.expand_files(ranges).select("path")
+    return files.join(wanted.hint("merge"), "path").select("batch_id").distinct()
+
+
 def apply_landed(
     spark: SparkSession, root: str, store: StateStore, options: rp.Options, batch_id: int | None = None
 ) -> rp.Result:
@@ -140,8 +146,7 @@ def apply_landed(
     if not behind.isEmpty():
         return rp.Result(current, plan.upper, "landing is behind the index")
     # batches with a file that is not finished; earlier ones are not opened again
-    wanted = log.expand_files(plan.ranges).select("path")
-    still_open = files.join(wanted, "path").select("batch_id").distinct().collect()
+    still_open = open_batches(files, plan.ranges).collect()
     if still_open:
         paths = [_landing_dir(store, r.batch_id) for r in sorted(still_open)]
         landed = rp.union_all([spark.read.schema(log.LANDED_SCHEMA).parquet(p) for p in paths])
