@@ -14,6 +14,8 @@ the batch replay.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +27,7 @@ from ..plans.state import StateStore
 from ..plans.sweep import sweep
 from ..sources import changelog as log
 from ..sources import registry as reg
+from ..sources.files import path_exists
 from . import manifest
 
 _FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
@@ -53,25 +56,73 @@ def _landing_dir(store: StateStore, batch_id: int) -> str:
     return f"{store.out}/landing/batch-{batch_id}"
 
 
-def land_files(spark: SparkSession, root: str, store: StateStore, files: DataFrame, batch_id: int, options: rp.Options) -> None:
+@dataclass
+class Known:
+    """What the batches of one query hand on, so that a batch that can't be the last reads no metadata again.
+
+    ``tables`` are read again when a file of another table comes, ``definitions`` when the files of the tables'
+    definitions are others (``stamp``). ``awaited`` is a range of one file that an index names, that is there and
+    that has not been landed: until it is, nothing can be applied, and a later batch will have it.
+    """
+
+    tables: list[Row] = field(default_factory=list)
+    stamp: list[tuple] | None = None
+    definitions: list[Row] = field(default_factory=list)
+    awaited: DataFrame | None = None
+
+    def tables_for(self, spark: SparkSession, root: str, options: rp.Options, seen: set[tuple[str, str]]) -> list[Row]:
+        if not seen <= set(rp.by_table(self.tables)):
+            self.tables, self.stamp = rp.managed_tables(spark, root, options), None
+        return self.tables
+
+    def definitions_for(self, spark: SparkSession, root: str, options: rp.Options, tables: list[Row], scope: list[tuple]) -> list[Row]:
+        stamp = reg.definition_files(spark, root, scope)
+        if stamp != self.stamp:
+            self.definitions, self.stamp = _definitions(spark, root, tables, scope, options), stamp
+        return self.definitions
+
+    def waits(self, spark: SparkSession, store: StateStore) -> bool:
+        """Whether the awaited file has still not been landed; it is forgotten once it has."""
+        if self.awaited is None:
+            return False
+        landed = manifest.read(spark, store)
+        if landed is None or manifest.not_landed(self.awaited, landed).isEmpty():
+            self.awaited = None
+        return self.awaited is not None
+
+    def wait_for(self, spark: SparkSession, ranges: DataFrame, landed: DataFrame) -> None:
+        """Choose the file to wait for: the newest of the last day that lacks its newest file."""
+        last = F.greatest("first_file_index", "latest_file_index")
+        newest = manifest.not_landed(ranges.withColumn("first_file_index", last), landed)
+        day = newest.orderBy(F.desc("date"), F.desc("table_version"), F.desc("latest_file_index")).limit(1)
+        found = log.expand_files(day).select("path").first()
+        if found is not None and path_exists(spark, found.path):
+            self.awaited = local_frame(spark, day.collect(), ranges.schema)
+
+
+def land_files(
+    spark: SparkSession, root: str, store: StateStore, files: DataFrame, batch_id: int, options: rp.Options, known: Known | None = None
+) -> None:
     """Land the rows of a micro-batch's files, managed tables only."""
+    known = known or Known()
     relative = names.below(names.plain_path(F.col("path")), log.increment_dir(root))
     placed = files.select("path", F.split(relative, "/").alias("p")).select(
         "path", F.col("p")[0].alias("source_schema"), F.col("p")[1].alias("source_table"),
         F.col("p")[2].try_cast("bigint").alias("table_version"),
     )
-    tables = rp.managed_tables(spark, root, options)
-    managed = rp.by_table(tables)
     # at most maxFilesPerTrigger names
-    found = [r for r in placed.collect() if (r.source_schema, r.source_table) in managed]
+    named = placed.collect()
+    tables = known.tables_for(spark, root, options, {(r.source_schema, r.source_table) for r in named})
+    managed = rp.by_table(tables)
+    found = [r for r in named if (r.source_schema, r.source_table) in managed]
     path = _landing_dir(store, batch_id)
     listed = f"{store.out}/landed_files/batch-{batch_id}"
     touched = sorted({(r.source_schema, r.source_table) for r in found})
     if not touched:
         return
-    definitions = _definitions(spark, root, [managed[k] for k in touched], touched, options)
-    known = {(d.source_schema, d.source_table, d.table_version) for d in definitions}
-    unknown = {(r.source_schema, r.source_table, r.table_version) for r in found} - known
+    definitions = known.definitions_for(spark, root, options, [managed[k] for k in touched], touched)
+    defined = {(d.source_schema, d.source_table, d.table_version) for d in definitions}
+    unknown = {(r.source_schema, r.source_table, r.table_version) for r in found} - defined
     if unknown:
         raise rp.checks.InputError(f"change files without a definition of their version: {sorted(unknown)[:5]}")
 
@@ -121,12 +172,12 @@ def open_batches(files: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def apply_landed(
-    spark: SparkSession, root: str, store: StateStore, options: rp.Options, batch_id: int | None = None
+    spark: SparkSession, root: str, store: StateStore, options: rp.Options, batch_id: int | None = None, known: Known | None = None
 ) -> rp.Result:
     """Apply landed rows up to the checkpoint, if every file that counts has been landed.
 
     The checkpoint is read before the index files: files that appear in between only add rows
-    past it.
+    past it. While a file that ``known`` waits for has not been landed, neither is read.
     """
     current = store.latest_run()
     applied = max((t.batch_id for t in store.table_states(current).values() if t.batch_id is not None), default=None)
@@ -134,11 +185,15 @@ def apply_landed(
         batch_id = applied
     elif applied is not None and applied >= batch_id:
         return rp.Result(current, None, f"batch {batch_id} was applied before")
+    if known is not None and known.waits(spark, store):
+        return rp.Result(current, None, "landing is behind the index")
     plan = rp.plan_log(spark, root, store, current, options)
     if isinstance(plan, rp.Result):
         return plan
-    known = manifest.read(spark, store)
-    if known is not None and not manifest.not_landed(plan.ranges, known).isEmpty():
+    landed = manifest.read(spark, store)
+    if landed is not None and not manifest.not_landed(plan.ranges, landed).isEmpty():
+        if known is not None:
+            known.wait_for(spark, plan.ranges, landed)
         return rp.Result(current, plan.upper, "landing is behind the index")
     # file by file, once all are there by their numbers
     files = landed_files(spark, store)
@@ -180,11 +235,13 @@ def follow(
     rp.load_snapshot(spark, root, store, options)
     apply_landed(spark, root, store, options)
 
+    known = Known()
+
     def each(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         own = StateStore(session, out, buckets)
-        land_files(session, root, own, files, batch_id, options)
-        done = apply_landed(session, root, own, options, batch_id)
+        land_files(session, root, own, files, batch_id, options, known)
+        done = apply_landed(session, root, own, options, batch_id, known)
         if options.keep_runs is not None and done.skipped is None:
             sweep(session, out, options.keep_runs, root, landed_files(session, own))
 
